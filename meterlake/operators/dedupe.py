@@ -38,12 +38,12 @@ def content_order(df: DataFrame, first: Sequence[str]) -> list[str]:
 
 def mark_surplus(
     df: DataFrame,
-    key: str,
+    keys: Sequence[str],
     order_by: Sequence[str],
     *,
     row_id: Sequence[str] = ROW_ID,
 ) -> DataFrame:
-    """Add the flag SURPLUS: true on each row of a repeated key but its latest. Null keys are not marked.
+    """Add the flag SURPLUS: true on each row of a repeated key but its latest. A key with a null is not marked.
 
     No window over the key, since all copies of one key would sort in one task. The winner of each
     repeated key is found by a partial aggregate over a few columns; its row identity is then looked up
@@ -51,13 +51,13 @@ def mark_surplus(
     """
     ranked = F.max(F.struct(*order_by, *row_id)).alias("top")
     repeated = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        df.dropna(subset=list(keys))
+        .groupBy(*keys)
         .agg(rows().alias("n"), ranked)
         .where("n > 1")
-        .select(key, *[F.col(f"top.{c}").alias(f"_keep{c}") for c in row_id])
+        .select(*keys, *[F.col(f"top.{c}").alias(f"_keep{c}") for c in row_id])
     )
-    marked = lookup_join(df, settle(repeated, "repeated-keys"), [key], spread_by=row_id)
+    marked = lookup_join(df, settle(repeated, "repeated-keys"), keys, spread_by=row_id)
     kept = reduce(and_, [F.col(c) == F.col(f"_keep{c}") for c in row_id])
     return marked.withColumn(SURPLUS, F.coalesce(~kept, F.lit(False))).drop(
         *[f"_keep{c}" for c in row_id]

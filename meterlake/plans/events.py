@@ -143,7 +143,7 @@ def classify(
     row_id: Sequence[str] = ROW_ID,
 ) -> DataFrame:
     """Every event once, with the reasons it breaks: valid + quarantined = all, by construction."""
-    marked = mark_surplus(enriched, "event_id", copy_order, row_id=row_id)
+    marked = mark_surplus(enriched, ["event_id"], copy_order, row_id=row_id)
     return apply_rules(marked, event_rules(as_of)).drop(SURPLUS)
 
 

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.measures import rows
+from ..schemas import columns
 from ..sinks.parquet import write_partitioned
 from .tables import exists, read_parquet
 
-_LOG = "version bigint, folder string, rows bigint, token string"
+_LOG = columns("version bigint, folder string, rows bigint, token string")
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,8 @@ class VersionedTable:
 
     def read_or_empty(self) -> DataFrame:
         if self.current() is None:
-            return self.spark.createDataFrame([], self.schema)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
+            return self.spark.range(0).select(*nothing)
         return self.read()
 
     def publish(
@@ -86,6 +88,7 @@ class VersionedTable:
             raise ValueError(f"{self.root}: {written} rows written, {expect_rows} expected; not published")
         last = self.current()
         version = Version((last.version if last else 0) + 1, folder, written, token)
-        line = self.spark.createDataFrame([(version.version, folder, written, token)], _LOG)
+        fields = {f.name: F.lit(getattr(version, f.name)).cast(f.dataType) for f in _LOG}
+        line = self.spark.range(1).select(*[value.alias(name) for name, value in fields.items()])
         line.coalesce(1).write.mode("append").json(self._log)
         return version
