@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import catalog as fixed
-from ..session import settle
+from ..session import Measured, settle_measured
 from ..sources.tables import ROW_ID
 from .lookup import lookup_join
 
@@ -43,16 +43,14 @@ def cost_statistics(events: DataFrame, group: Sequence[str] = GROUP, cost: str =
 
 def median_deviation(
     events: DataFrame,
-    statistics: DataFrame,
+    statistics: DataFrame | Measured,
     group: Sequence[str] = GROUP,
     cost: str = COST,
     spread_by: Sequence[str] = ROW_ID,
 ) -> DataFrame:
     """Median absolute deviation from the group's median."""
     narrow = events.select(*group, cost, *spread_by).dropna(subset=list(group))
-    joined = lookup_join(
-        narrow, statistics.select(*group, "median_cost"), group, spread_by=spread_by
-    )
+    joined = lookup_join(narrow, statistics, group, spread_by=spread_by)
     deviation = F.abs(F.col(cost) - F.col("median_cost"))
     return joined.groupBy(*group).agg(F.percentile_approx(deviation, 0.5).alias("mad_cost"))
 
@@ -83,17 +81,17 @@ def flag_cost_anomalies(
     group: Sequence[str] = GROUP,
     cost: str = COST,
     spread_by: Sequence[str] = ROW_ID,
-    stats_scope: Column | None = None,
+    population: DataFrame | None = None,
 ) -> DataFrame:
     """Add the five anomaly flags. A row without statistics (no service, no cost) gets false.
 
-    Statistics cover every row given, or only those in ``stats_scope``. Two narrow passes build them;
-    the full rows are read once, and stay in place while the statistics fit a broadcast.
+    Statistics cover every row given, or those of ``population``. Two narrow passes build them; the full
+    rows are read once, and stay in place while the statistics fit a broadcast.
     """
-    measured = events if stats_scope is None else events.where(stats_scope)
-    base = settle(cost_statistics(measured, group, cost), "cost-statistics")
-    deviation = median_deviation(measured, base, group, cost, spread_by)
-    statistics = settle(base.join(deviation, list(group), "left"), "cost-deviations")
+    counted = events if population is None else population
+    base = settle_measured(cost_statistics(counted, group, cost), "cost-statistics")
+    deviation = median_deviation(counted, base, group, cost, spread_by)
+    statistics = settle_measured(base.df.join(deviation, list(group), "left"), "cost-deviations")
     return lookup_join(events, statistics, group, spread_by=spread_by).withColumns(
         flag_conditions(cost)
     ).drop("mean_cost", "std_cost", "p01_cost", "median_cost", "p99_cost", "mad_cost")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import rows
-from ..session import settle
+from ..session import settle_measured
 from ..sources.tables import ROW_ID
 from .lookup import lookup_join
 
@@ -57,7 +57,7 @@ def mark_surplus(
         .where("n > 1")
         .select(*keys, *[F.col(f"top.{c}").alias(f"_keep{c}") for c in row_id])
     )
-    marked = lookup_join(df, settle(repeated, "repeated-keys"), keys, spread_by=row_id)
+    marked = lookup_join(df, settle_measured(repeated, "repeated-keys"), keys, spread_by=row_id)
     kept = reduce(and_, [F.col(c) == F.col(f"_keep{c}") for c in row_id])
     return marked.withColumn(SURPLUS, F.coalesce(~kept, F.lit(False))).drop(
         *[f"_keep{c}" for c in row_id]

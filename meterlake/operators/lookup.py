@@ -8,27 +8,23 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.measures import rows
-from ..session import settle
+from ..session import Measured, settle, total_bytes
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.001
 SALTS = 128
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the frame's values, from one aggregate: text by length, the rest by a fixed width."""
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    fixed = 16 * len(df.columns)
-    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in text]
-    return df.agg(F.sum(sum(lengths, F.lit(fixed)).cast("bigint"))).first()[0] or 0
+def measure(dim: DataFrame) -> Measured:
+    """Measure a dimension that is cheap to read, with one aggregate over it."""
+    return Measured(dim, dim.agg(total_bytes(dim)).first()[0])
 
 
 def lookup_join(
     facts: DataFrame,
-    dim: DataFrame,
+    dim: DataFrame | Measured,
     on: Sequence[str],
     *,
     spread_by: Sequence[str],
@@ -36,9 +32,10 @@ def lookup_join(
 ) -> DataFrame:
     """Left join. The dimension is measured: small enough, it is broadcast and the facts stay where they
     are; otherwise both sides are shuffled with hot and null keys salted (``salted_join``)."""
-    if measured_bytes(dim) <= limit_bytes:
-        return facts.join(F.broadcast(dim), list(on), "left")
-    return salted_join(facts, dim, on, spread_by=spread_by)
+    table, size = dim if isinstance(dim, Measured) else measure(dim)
+    if size <= limit_bytes:
+        return facts.join(F.broadcast(table), list(on), "left")
+    return salted_join(facts, table, on, spread_by=spread_by)
 
 
 def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators.anomaly import flag_cost_anomalies
 from ..operators.dedupe import SURPLUS, mark_surplus
 from ..operators.lookup import lookup_join
 from ..operators.rules import Rule, apply_rules
-from ..session import settle
+from ..session import settle, settle_measured
 from ..sources.tables import ROW_ID
 
 EVENT_TEXT = {"service": "service", "region": "region", "metric": "text", "unit": "text"}
@@ -80,10 +80,10 @@ def enrich(
             "resource_region": clean_region(F.col("resource_region")),
         }
     )
-    staff = settle(user_statistics(users), "user-statistics")
+    # One table per key, so that events meet org_id once.
+    by_org = settle_measured(orgs.join(user_statistics(users), "org_id", "full"), "orgs")
 
-    joined = lookup_join(events, orgs, ["org_id"], spread_by=spread_by)
-    joined = lookup_join(joined, staff, ["org_id"], spread_by=spread_by)
+    joined = lookup_join(events, by_org, ["org_id"], spread_by=spread_by)
     joined = lookup_join(joined, stock, ["resource_id"], spread_by=spread_by)
     conformed = joined.withColumns(
         {
@@ -136,14 +136,9 @@ COPY_ORDER = (
 )
 
 
-def classify(
-    enriched: DataFrame,
-    as_of: Column | None = None,
-    copy_order: Sequence[str] = COPY_ORDER,
-    row_id: Sequence[str] = ROW_ID,
-) -> DataFrame:
-    """Every event once, with the reasons it breaks: valid + quarantined = all, by construction."""
-    marked = mark_surplus(enriched, ["event_id"], copy_order, row_id=row_id)
+def classify(marked: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Every event (with its SURPLUS mark) once, with the reasons it breaks: valid + quarantined = all, by
+    construction."""
     return apply_rules(marked, event_rules(as_of)).drop(SURPLUS)
 
 
@@ -155,11 +150,15 @@ def silver_events(
     as_of: Column | None = None,
     row_id: Sequence[str] = ROW_ID,
 ) -> DataFrame:
-    """Bronze events to classified events. The flags count every row, the bad ones too. The enriched
-    rows are written once, as four later passes read a few or all of their columns."""
+    """Bronze events to classified events. The anomaly statistics count every row, the bad ones too.
+
+    The enriched rows are written once. Three passes then read a few of their columns (repeated ids,
+    statistics, deviations), and the last reads the rows and looks the findings up.
+    """
     enriched = settle(enrich(events, customers, resources, users, row_id), "enriched-events")
-    flagged = flag_cost_anomalies(enriched, spread_by=row_id)
-    return classify(flagged, as_of, row_id=row_id)
+    marked = mark_surplus(enriched, ["event_id"], COPY_ORDER, row_id=row_id)
+    flagged = flag_cost_anomalies(marked, spread_by=row_id, population=enriched)
+    return classify(flagged, as_of)
 
 
 def service_daily(valid: DataFrame) -> DataFrame:

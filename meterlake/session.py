@@ -6,7 +6,11 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings this library is tuned for. Operators never set them; a job's entry point may.
 SETTINGS = {
@@ -54,3 +58,24 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Measured(NamedTuple):
+    """A frame and the size of its values."""
+
+    df: DataFrame
+    bytes: int
+
+
+def total_bytes(df: DataFrame) -> Column:
+    """Aggregate: size of the frame's values, text by length and the rest by a fixed width."""
+    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in text]
+    return F.coalesce(F.sum(sum(lengths, F.lit(16 * len(df.columns))).cast("bigint")), F.lit(0))
+
+
+def settle_measured(df: DataFrame, label: str) -> Measured:
+    """``settle``, with the size taken while the rows are written."""
+    seen = Observation()
+    stored = settle(df.observe(seen, total_bytes(df).alias("bytes")), label)
+    return Measured(stored, seen.get["bytes"])

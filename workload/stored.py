@@ -1,0 +1,203 @@
+"""Registered queries that write and read back: sources, sinks, layouts, streams and serving loads."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from meterlake.catalog import EVENT_BRONZE, EVENT_LANDING, EVENT_RELAID, MASTERS
+from meterlake.plans import checks, marts, serving
+from meterlake.plans.layout import relayout
+from meterlake.plans.masters import bronze_master, landed_master
+from meterlake.session import fresh_path, settle
+from meterlake.sinks.parquet import save_to, write_partitioned
+from meterlake.sources.tables import read_parquet
+from meterlake.sources.versioned import VersionedTable
+from meterlake.streaming.ingest import finish, start_ingest
+from meterlake.streaming.publish import load_frame, load_stream
+
+from .proxies import bronze_events, landed, table
+from .queries import _LINE_ORDER, tickets_mart, usage
+from .registry import query, rounded, rounded_sql
+
+
+@query(
+    "csv_typed_ingest",
+    """SELECT user_id, org_id, email, role, active, created_at, last_login, 'landing/users.csv' AS source_file
+       FROM (SELECT user_id, org_id, trim(email) AS email, role, lower(trim(active)) IS NOT DISTINCT FROM 'true'
+                        AS active,
+                    try_cast(created_at AS DATE) AS created_at, try_cast(last_login AS DATE) AS last_login,
+                    row_number() OVER (PARTITION BY user_id ORDER BY org_id DESC NULLS LAST,
+                                       trim(email) DESC NULLS LAST) AS nth
+             FROM users_raw)
+       WHERE nth = 1""",
+)
+def csv_typed_ingest(spark, sf):
+    """The users as CSV, then typed, stamped and deduplicated as bronze does it."""
+    path = f"{fresh_path(spark, 'landing')}/users.csv"
+    landed(spark, sf, "users").write.option("header", True).csv(path)
+    users = MASTERS["users"]
+    found = bronze_master(landed_master(spark, users, path), users)
+    return found.drop("ingest_ts", "ingest_date")
+
+
+@query(
+    "ingest_counters",
+    """SELECT 'lineitem' AS dataset, count(*)::BIGINT AS raw_count,
+              count(DISTINCT (l_orderkey, l_linenumber))::BIGINT AS deduped_count,
+              (count(*) - count(DISTINCT (l_orderkey, l_linenumber)))::BIGINT AS removed_duplicates
+       FROM lineitem""",
+)
+def ingest_counters(spark, sf):
+    from meterlake.operators.dedupe import keep_latest
+
+    lines = table(spark, sf, "lineitem")
+    kept = keep_latest(lines, ["l_orderkey", "l_linenumber"], _LINE_ORDER)
+    return checks.ingest_counters(lines, kept, "lineitem")
+
+
+@query(
+    "partitioned_write_roundtrip",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+)
+def partitioned_write_roundtrip(spark, sf):
+    """Hive-partitioned Parquet, read with its schema, then through the generic sink and back."""
+    orders = table(spark, sf, "orders").drop("o_orderdate")
+    first, second = fresh_path(spark, "by-status"), fresh_path(spark, "generic")
+    write_partitioned(orders, first, ["o_orderstatus"])
+    save_to(read_parquet(spark, first, orders.schema), "orc", {"path": second})
+    return spark.read.schema(orders.schema).orc(second)
+
+
+_BRONZE_PICK = "event_id, org_id, resource_id, service, region, metric, unit, value, cost_usd_increment, schema_version"
+
+
+def _bronze_layout(df: DataFrame) -> DataFrame:
+    return df.withColumn("source_file", F.lit("events")).select(*[f.name for f in EVENT_BRONZE])
+
+
+@query("relayout", f"SELECT {_BRONZE_PICK}, event_ts::DATE AS usage_date FROM bronze")
+def relayout_events(spark, sf):
+    stream_folder = fresh_path(spark, "bronze-events")
+    write_partitioned(_bronze_layout(bronze_events(spark, sf)), stream_folder, ["ingest_date"])
+    target = VersionedTable(spark, fresh_path(spark, "bronze-by-date"), EVENT_RELAID)
+    relayout(read_parquet(spark, stream_folder, EVENT_BRONZE), target)
+    return target.read().select(*_BRONZE_PICK.split(", "), "usage_date")
+
+
+# Streams ----------------------------------------------------------------------------------------------
+def _landing_rows(spark, sf) -> DataFrame:
+    """Usage events as they land, each under an id of its own; some without."""
+    own = F.when(F.col("event_id").isNotNull(), F.concat(F.lit("evt-"), "src"))
+    rows = landed(spark, sf, "usage_events").withColumn("event_id", own)
+    return rows.select(*[f.name for f in EVENT_LANDING])
+
+
+def _ingested(spark, landing: str, folder: str, **options) -> tuple[int, DataFrame]:
+    query_ = start_ingest(spark, landing, f"{folder}/events", f"{folder}/checkpoint", **options)
+    rows = finish(query_, poll_seconds=0.2)
+    return rows, read_parquet(spark, f"{folder}/events", EVENT_BRONZE)
+
+
+_STREAMED = "event_id, org_id, service, region, metric, unit, value, cost_usd_increment, genai_tokens"
+_STREAMED_SQL = f"""
+    SELECT CASE WHEN event_id IS NOT NULL THEN 'evt-' || src END AS event_id,
+           {_STREAMED.partition(', ')[2]}, event_ts::DATE AS ingest_date,
+           CASE WHEN event_ts IS NOT NULL THEN 0::BIGINT END AS event_latency_sec,
+           CASE WHEN event_ts IS NOT NULL THEN false END AS is_late_arrival
+    FROM bronze"""
+
+
+def _streamed(df: DataFrame) -> DataFrame:
+    return df.select(*_STREAMED.split(", "), "ingest_date", "event_latency_sec", "is_late_arrival")
+
+
+@query("stream_ingest", _STREAMED_SQL)
+def stream_ingest(spark, sf):
+    """JSON lines through the stream into bronze, on the replay clock."""
+    landing = fresh_path(spark, "landing-events")
+    _landing_rows(spark, sf).write.json(landing)
+    return _streamed(_ingested(spark, landing, fresh_path(spark, "stream"))[1])
+
+
+@query(
+    "stream_dedupe",
+    f"SELECT * FROM ({_STREAMED_SQL}) UNION ALL SELECT * FROM ({_STREAMED_SQL}) WHERE event_id IS NULL",
+)
+def stream_dedupe(spark, sf):
+    """Every event lands twice; those with an id come out once."""
+    rows = _landing_rows(spark, sf)
+    landing = fresh_path(spark, "landing-events")
+    rows.unionAll(rows).write.json(landing)
+    return _streamed(_ingested(spark, landing, fresh_path(spark, "stream"), dedupe="bounded")[1])
+
+
+@query(
+    "stream_resume",
+    """SELECT schema_version, count(*)::BIGINT AS n, count(event_id)::BIGINT AS named,
+              (SELECT count(*) FROM events_raw WHERE schema_version = 1)::BIGINT AS first_run,
+              (SELECT count(*) FROM events_raw WHERE schema_version = 2)::BIGINT AS second_run,
+              0::BIGINT AS third_run
+       FROM events_raw GROUP BY schema_version""",
+)
+def stream_resume(spark, sf):
+    """Files land in two lots with a run after each, and a third run finds nothing new."""
+    rows = _landing_rows(spark, sf)
+    landing, folder = fresh_path(spark, "landing-events"), fresh_path(spark, "stream")
+    older = F.col("schema_version") == 1
+    rows.where(older).write.json(landing)
+    first, _ = _ingested(spark, landing, folder)
+    rows.where(~older).write.mode("append").json(landing)
+    second, _ = _ingested(spark, landing, folder)
+    third, bronze = _ingested(spark, landing, folder)
+    counted = bronze.groupBy("schema_version").agg(
+        F.count(F.lit(1)).alias("n"), F.count("event_id").alias("named")
+    )
+    runs = {"first_run": first, "second_run": second, "third_run": third}
+    return counted.withColumns({name: F.lit(n).cast("bigint") for name, n in runs.items()})
+
+
+# Serving loads ----------------------------------------------------------------------------------------
+@query(
+    "serving_upsert",
+    f"""SELECT org_id, severity, ticket_date, org_name, ticket_count::INT AS ticket_count,
+               sla_breach_count::INT AS sla_breach_count, {rounded_sql("sla_breach_rate avg_csat")}
+        FROM tickets_mart WHERE severity IS NOT NULL AND ticket_date IS NOT NULL""",
+)
+def serving_upsert(spark, sf):
+    """A first load with wrong counts, then the right rows as new files: the same keys, the last wins."""
+    spec = serving.SERVING["tickets_by_org_date"]
+    mart = settle(tickets_mart(spark, sf).dropna(subset=list(spec.keys)), "tickets")
+    source, checkpoint = fresh_path(spark, "mart-files"), fresh_path(spark, "load-checkpoint")
+    target = VersionedTable(spark, fresh_path(spark, "serving"), spec.schema)
+    mart.withColumn("ticket_count", F.col("ticket_count") + 1000).write.parquet(source)
+    load_stream(spark, source, target, spec, checkpoint)
+    mart.write.mode("append").parquet(source)
+    load_stream(spark, source, target, spec, checkpoint)
+    return target.read().withColumns(
+        dict(zip(("sla_breach_rate", "avg_csat"), rounded("sla_breach_rate avg_csat")))
+    )
+
+
+@query(
+    "replace_partitions",
+    """SELECT org_id, period_end, rank, service, period_start,
+              round(accumulated_cost_usd, 4) AS accumulated_cost_usd
+       FROM tops WHERE rank <= 3 AND service IS NOT NULL
+       UNION ALL
+       SELECT org_id, (period_end - 30)::DATE, rank, service, period_start, round(accumulated_cost_usd, 4)
+       FROM tops WHERE service IS NOT NULL""",
+)
+def replace_partitions(spark, sf):
+    """Five ranks of two periods are loaded, then three ranks of the last: ranks four and five of that
+    period go, the other period stays."""
+    spec = serving.SERVING["org_top_services_by_cost"]
+    daily = settle(usage(spark, sf), "usage")
+    five = settle(marts.top_services(daily).dropna(subset=list(spec.keys)), "five")
+    three = marts.top_services(daily, n=3).dropna(subset=list(spec.keys))
+    earlier = five.withColumn("period_end", F.date_sub("period_end", 30))
+    target = VersionedTable(spark, fresh_path(spark, "serving"), spec.schema)
+    staging, checkpoint = fresh_path(spark, "staging"), fresh_path(spark, "load-checkpoint")
+    load_frame(five.unionByName(earlier), staging, target, spec, checkpoint)
+    load_frame(three, staging, target, spec, checkpoint)
+    return target.read().withColumn("accumulated_cost_usd", F.round("accumulated_cost_usd", 4))
