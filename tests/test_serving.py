@@ -1,0 +1,129 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterlake.operators.keyed import replace_partitions, upsert
+from meterlake.plans import serving
+from meterlake.plans.layout import file_count, needs_relayout
+from meterlake.plans.serving import SERVING
+from meterlake.schemas import columns
+from meterlake.sinks.parquet import write_partitioned
+from meterlake.sources.versioned import VersionedTable
+from meterlake.streaming.publish import load_stream, merge_batch
+
+TICKETS = SERVING["tickets_by_org_date"]
+DAY = date(2025, 8, 10)
+
+
+def tickets(spark, *data):
+    return spark.createDataFrame(
+        list(data),
+        "org_id string, severity string, ticket_date date, org_name string, ticket_count bigint, "
+        "sla_breach_count bigint, sla_breach_rate double, avg_csat double",
+    )
+
+
+def row(org="o1", day=DAY, count=1, severity="high"):
+    return (org, severity, day, "acme", count, 0, 0.0, None)
+
+
+def test_upsert_last_wins(spark, rows):
+    old = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    new = spark.createDataFrame([("b", 2), ("c", 3), ("c", 4)], "k string, v int")
+    assert rows(upsert(old, new, ["k"], ["v"])) == [("a", 1), ("b", 2), ("c", 4)]
+
+
+def test_replaced_partitions_keep_nothing_stale(spark, rows):
+    old = spark.createDataFrame([("o1", 1), ("o1", 2), ("o2", 1)], "org string, rank int")
+    new = spark.createDataFrame([("o1", 1)], "org string, rank int")
+    assert rows(replace_partitions(old, new, ["org"])) == [("o1", 1), ("o2", 1)]
+
+
+def test_projection_casts_and_refuses_nulls(spark):
+    good = serving.to_serving(tickets(spark, row()), TICKETS)
+    assert [(f.name, f.dataType) for f in good.schema] == [(f.name, f.dataType) for f in TICKETS.schema]
+    bad = serving.to_serving(tickets(spark, row(severity=None)), TICKETS)
+    with pytest.raises(Exception, match="tickets_by_org_date.severity is null"):
+        bad.collect()
+
+
+def test_stream_load_is_idempotent(spark, tmp_path, rows):
+    source, target = str(tmp_path / "mart"), VersionedTable(spark, str(tmp_path / "served"), TICKETS.schema)
+    checkpoint = str(tmp_path / "checkpoint")
+    tickets(spark, row(count=1), row(org="o2")).write.parquet(source)
+    first = load_stream(spark, source, target, TICKETS, checkpoint)
+    assert (first.input_rows, first.served_rows) == (2, 2)
+    again = load_stream(spark, source, target, TICKETS, checkpoint)
+    assert (again.input_rows, again.served_rows) == (0, 2)
+    tickets(spark, row(count=7)).write.mode("append").parquet(source)
+    third = load_stream(spark, source, target, TICKETS, checkpoint)
+    assert (third.input_rows, third.served_rows) == (1, 2)
+    assert rows(target.read(), "org_id", "ticket_count") == [("o1", 7), ("o2", 1)]
+
+
+def test_a_replayed_batch_counts_once(spark, tmp_path, rows):
+    target = VersionedTable(spark, str(tmp_path / "served"), TICKETS.schema)
+    merge_batch(target, TICKETS, tickets(spark, row(count=1)), token="q#0")
+    version = target.current().version
+    merge_batch(target, TICKETS, tickets(spark, row(count=1)), token="q#0")
+    assert target.current().version == version
+
+
+def test_a_bad_row_fails_the_load_and_leaves_the_table(spark, tmp_path, rows):
+    target = VersionedTable(spark, str(tmp_path / "served"), TICKETS.schema)
+    merge_batch(target, TICKETS, tickets(spark, row()), token="q#0")
+    with pytest.raises(Exception, match="is null"):
+        merge_batch(target, TICKETS, tickets(spark, row(org="o2"), row(org=None)), token="q#1")
+    assert rows(target.read(), "org_id") == [("o1",)]
+
+
+def test_layout_is_sorted_and_lookups_reach_the_scan(spark, tmp_path):
+    data = [row(org=f"o{i % 9}", day=date(2025, 1, 1 + i % 28), count=i) for i in range(500)]
+    target = VersionedTable(spark, str(tmp_path / "served"), TICKETS.schema)
+    merge_batch(target, TICKETS, tickets(spark, *data))
+    stored = target.read()
+    parts = stored.select(F.input_file_name().alias("f"), "org_id", "severity", "ticket_date").collect()
+    by_file = {}
+    for r in parts:
+        by_file.setdefault(r["f"], []).append((r["org_id"], r["severity"], -r["ticket_date"].toordinal()))
+    assert all(keys == sorted(keys) for keys in by_file.values())
+    found = serving.critical_tickets_sla(stored, "o3", "high", "2025-01-01", "2025-01-31")
+    plan = found._explain_string(mode="formatted")
+    assert "EqualTo(org_id,o3)" in plan and "GreaterThanOrEqual(ticket_date" in plan
+    days = [r["ticket_date"] for r in found.collect()]
+    assert days == sorted(days, reverse=True) and days
+
+
+def test_an_incomplete_version_is_not_published(spark, tmp_path, rows):
+    table = VersionedTable(spark, str(tmp_path / "t"), columns("id bigint"))
+    table.publish(spark.range(3), expect_rows=3)
+    with pytest.raises(ValueError, match="not published"):
+        table.publish(spark.range(2), expect_rows=3)
+    assert rows(table.read()) == [(0,), (1,), (2,)]
+    assert table.publish(spark.range(1)).version == 2
+
+
+def test_a_version_may_be_made_from_the_current_one(spark, tmp_path, rows):
+    table = VersionedTable(spark, str(tmp_path / "t"), columns("id bigint"))
+    table.publish(spark.range(3))
+    table.publish(table.read().where("id > 0"))
+    assert rows(table.read()) == [(1,), (2,)]
+
+
+def test_partitioned_write(spark, tmp_path, rows):
+    df = spark.range(100).select((F.col("id") % 3).cast("string").alias("p"), "id")
+    write_partitioned(df, str(tmp_path / "a"), ["p"])
+    stored = spark.read.schema(df.schema).parquet(str(tmp_path / "a"))
+    assert rows(stored, "p", "id") == rows(df, "p", "id")
+    assert "PartitionFilters: [isnotnull(p" in stored.where("p = '1'")._jdf.queryExecution().executedPlan().toString()
+    write_partitioned(df, str(tmp_path / "b"), files=1)
+    assert file_count(spark.read.parquet(str(tmp_path / "b"))) == 1
+
+
+@pytest.mark.parametrize(
+    ("reset", "new_rows", "published", "expected"),
+    [(True, 0, True, True), (False, 1, True, True), (False, 0, False, True), (False, 0, True, False)],
+)
+def test_when_to_relayout(reset, new_rows, published, expected):
+    assert needs_relayout(reset=reset, new_rows=new_rows, published=published) is expected

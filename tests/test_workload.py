@@ -1,0 +1,48 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+import math
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as entry_point
+
+SF = "/root/testdata/sf0.001"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    duckdb = pytest.importorskip("duckdb")
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    return connection
+
+
+def plain(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return None
+    return float(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else value
+
+
+def table(columns, data):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted((tuple(plain(row[i]) for i in order) for row in data), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+def test_query_agrees_with_sql(spark, duck, name):
+    found = entry_point.queries()[name](spark, SF)
+    expected = duck.sql(entry_point.oracle_sql()[name])
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert table(found.columns, found.collect()) == table(expected.columns, expected.fetchall())
+
+
+def test_entry(spark):
+    assert entry_point.entry(spark).count() > 0
