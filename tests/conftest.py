@@ -1,3 +1,5 @@
+import contextlib
+import io
 import sys
 from pathlib import Path
 
@@ -34,3 +36,16 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=repr)
 
     return collect
+
+
+@pytest.fixture()
+def plan():
+    """The plan of a frame as text."""
+
+    def explain(df, mode="formatted"):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            df.explain(mode=mode)
+        return text.getvalue()
+
+    return explain

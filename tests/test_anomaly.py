@@ -75,6 +75,6 @@ def test_statistics_of_another_population(spark, rows):
     assert rows(flag_cost_anomalies(df, spread_by=ID).where("is_cost_anomaly_p99_x")) == []
 
 
-def test_statistics_aggregate_before_the_shuffle(spark):
-    plan = cost_statistics(frame(spark, {("o", "compute"): [1.0]}))._jdf.queryExecution().executedPlan().toString()
-    assert "partial_percentile_approx" in plan
+def test_statistics_aggregate_before_the_shuffle(spark, plan):
+    text = plan(cost_statistics(frame(spark, {("o", "compute"): [1.0]})))
+    assert "partial_percentile_approx" in text

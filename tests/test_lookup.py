@@ -40,13 +40,13 @@ def test_hot_keys_are_few_by_definition(spark, rows):
     assert rows(hot_keys(facts(spark), ["k"], 0.05)) == [("hot",)]
 
 
-def test_a_dimension_over_the_limit_is_not_broadcast(spark, rows):
+def test_a_dimension_over_the_limit_is_not_broadcast(spark, rows, plan):
     small = lookup_join(facts(spark), dim(spark), ["k"], spread_by=["id"])
     large = lookup_join(facts(spark), dim(spark), ["k"], spread_by=["id"], limit_bytes=10)
     assert rows(small, "k", "id", "w") == rows(large, "k", "id", "w")
-    plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    assert "_salt" in large._jdf.queryExecution().optimizedPlan().toString()
+    text = plan(small)
+    assert "BroadcastHashJoin" in text
+    assert "_salt" in plan(large)
 
 
 def test_measured_size(spark):

@@ -103,15 +103,15 @@ def test_top_services_of_nothing(spark):
     assert marts.top_services(usage(spark, [])).isEmpty()
 
 
-def test_top_services_plan(spark, tmp_path):
+def test_top_services_plan(spark, tmp_path, plan):
     """The rank is limited before its shuffle, the last date is a subquery that prunes partitions, and
     there is no cross join."""
     path = str(tmp_path / "usage")
     usage(spark, [("o1", DAY, "a", 1.0)]).write.partitionBy("usage_date").parquet(path)
-    plan = marts.top_services(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
-    assert "PartitionFilters: [isnotnull(usage_date" in plan and "Subquery" in plan
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    text = plan(marts.top_services(spark.read.parquet(path)))
+    assert "WindowGroupLimit" in text
+    assert "PartitionFilters: [isnotnull(usage_date" in text and "Subquery" in text
+    assert "NestedLoop" not in text and "Cartesian" not in text
 
 
 def test_cost_anomaly_score(spark, rows):
@@ -127,13 +127,13 @@ def test_cost_anomaly_score(spark, rows):
     ) == [(2, 12.0, 10.0, 0.5, True, 1, 0, 1)]
 
 
-def test_marts_join_names_after_they_aggregate(spark, customers):
+def test_marts_join_names_after_they_aggregate(spark, customers, plan):
     tickets = spark.createDataFrame(
         [("o1", DAY, "high", 4.0, True)],
         "org_id string, created_at date, severity string, csat double, sla_breached boolean",
     )
-    plan = marts.tickets(tickets, customers)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Join") < plan.index("Aggregate")
+    text = plan(marts.tickets(tickets, customers), "extended").split("== Optimized")[1].split("== Physical")[0]
+    assert text.index("Join") < text.index("Aggregate")
 
 
 def test_checks_tell_good_from_bad(spark, rows):

@@ -78,7 +78,7 @@ def test_a_bad_row_fails_the_load_and_leaves_the_table(spark, tmp_path, rows):
     assert rows(target.read(), "org_id") == [("o1",)]
 
 
-def test_layout_is_sorted_and_lookups_reach_the_scan(spark, tmp_path):
+def test_layout_is_sorted_and_lookups_reach_the_scan(spark, tmp_path, plan):
     data = [row(org=f"o{i % 9}", day=date(2025, 1, 1 + i % 28), count=i) for i in range(500)]
     target = VersionedTable(spark, str(tmp_path / "served"), TICKETS.schema)
     merge_batch(target, TICKETS, tickets(spark, *data))
@@ -89,8 +89,8 @@ def test_layout_is_sorted_and_lookups_reach_the_scan(spark, tmp_path):
         by_file.setdefault(r["f"], []).append((r["org_id"], r["severity"], -r["ticket_date"].toordinal()))
     assert all(keys == sorted(keys) for keys in by_file.values())
     found = serving.critical_tickets_sla(stored, "o3", "high", "2025-01-01", "2025-01-31")
-    plan = found._explain_string(mode="formatted")
-    assert "EqualTo(org_id,o3)" in plan and "GreaterThanOrEqual(ticket_date" in plan
+    text = plan(found)
+    assert "EqualTo(org_id,o3)" in text and "GreaterThanOrEqual(ticket_date" in text
     days = [r["ticket_date"] for r in found.collect()]
     assert days == sorted(days, reverse=True) and days
 
@@ -111,12 +111,12 @@ def test_a_version_may_be_made_from_the_current_one(spark, tmp_path, rows):
     assert rows(table.read()) == [(1,), (2,)]
 
 
-def test_partitioned_write(spark, tmp_path, rows):
+def test_partitioned_write(spark, tmp_path, rows, plan):
     df = spark.range(100).select((F.col("id") % 3).cast("string").alias("p"), "id")
     write_partitioned(df, str(tmp_path / "a"), ["p"])
     stored = spark.read.schema(df.schema).parquet(str(tmp_path / "a"))
     assert rows(stored, "p", "id") == rows(df, "p", "id")
-    assert "PartitionFilters: [isnotnull(p" in stored.where("p = '1'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan(stored.where("p = '1'"))
     write_partitioned(df, str(tmp_path / "b"), files=1)
     assert file_count(spark.read.parquet(str(tmp_path / "b"))) == 1
 
