@@ -36,6 +36,12 @@ def content_order(df: DataFrame, first: Sequence[str]) -> list[str]:
     return [*first, *[c for c in df.columns if c not in first]]
 
 
+def drop_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per value of those ``columns`` that the frame has."""
+    present = [c for c in columns if c in df.columns]
+    return df.dropDuplicates(present) if present else df
+
+
 def mark_surplus(
     df: DataFrame,
     keys: Sequence[str],

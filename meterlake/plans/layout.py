@@ -1,14 +1,22 @@
-"""Re-layout of the stream's bronze files for range scans."""
+"""Re-layout of the stream's bronze files for range scans.
+
+The stream's own folder is only read, so its commit log and checkpoint stay good. Each call re-lays the
+files that came since the last one, as one more folder of the current version; now and then the folders
+are merged. The work grows with what is new, not with the table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..catalog import EVENT_BRONZE
 from ..functions.measures import rows
-from ..sources.versioned import Version, VersionedTable
+from ..sources.versioned import VersionedTable
+from ..streaming.ingest import finish
 
 LAYOUT = ("usage_date", "service")
+MERGE_AFTER = 24
 
 
 def needs_relayout(*, reset: bool, new_rows: int, published: bool) -> bool:
@@ -16,13 +24,43 @@ def needs_relayout(*, reset: bool, new_rows: int, published: bool) -> bool:
     return reset or new_rows > 0 or not published
 
 
-def relayout(bronze: DataFrame, target: VersionedTable) -> Version:
-    """Write bronze by usage date and service as a new version of ``target``. The stream's own folder is
-    only read, so its commit log and checkpoint stay good; the new version is published only if it has
-    every row."""
-    expected = bronze.agg(rows()).first()[0]
-    dated = bronze.withColumn("usage_date", F.to_date("event_ts"))
-    return target.publish(dated, partition_by=LAYOUT, expect_rows=expected)
+def relayout(spark: SparkSession, bronze: str, target: VersionedTable, checkpoint: str) -> int:
+    """Bring the new files of a bronze folder into ``target``, by usage date and service; give their rows.
+    The first batch of a checkpoint starts the table anew, later ones add to it; a batch is published
+    only if it has every row."""
+
+    def lay(batch: DataFrame, batch_id: int) -> None:
+        token = f"{checkpoint}#{batch_id}"
+        if target.committed(token):
+            return
+        target.publish(
+            batch.withColumn("usage_date", F.to_date("event_ts")),
+            partition_by=LAYOUT,
+            append=batch_id > 0,
+            expect_rows=batch.agg(rows()).first()[0],
+            token=token,
+        )
+
+    query = (
+        spark.readStream.schema(EVENT_BRONZE)
+        .parquet(bronze)
+        .writeStream.foreachBatch(lay)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    laid = finish(query)
+    merge_folders(target)
+    return laid
+
+
+def merge_folders(target: VersionedTable, after: int = MERGE_AFTER) -> bool:
+    """Rewrite the table as one folder once it has more than ``after``."""
+    version = target.current()
+    if version is None or len(version.folders) <= after:
+        return False
+    target.publish(target.read(), partition_by=LAYOUT, expect_rows=version.rows)
+    return True
 
 
 def file_count(df: DataFrame) -> int:

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from .. import catalog as fixed
 from ..operators.rules import REASON, REASONS
 from ..schemas import columns
-from ..sources.tables import exists, read_events, read_parquet, with_row_id
+from ..files import exists
+from ..session import scratch
 from ..sources.versioned import VersionedTable
 from ..streaming.ingest import finish, start_ingest
 from ..streaming.publish import LoadResult, load_stream
@@ -132,14 +133,16 @@ class Lake:
         version = target.current()
         relay = needs_relayout(reset=reset, new_rows=new_rows, published=version is not None)
         if relay:
-            version = relayout(read_parquet(self.spark, f"{run}/events", fixed.EVENT_BRONZE), target)
-        return EventIngest(new_rows, relay, version.rows)
+            relayout(self.spark, f"{run}/events", target, f"{run}/relayout-checkpoint")
+            version = target.current()
+        return EventIngest(new_rows, relay, version.rows if version else 0)
 
     def bronze_events(self) -> DataFrame:
-        version = self.bronze_events_table().current()
-        if version is None:
+        """Relaid events with their row identity, or an error that says what to run first."""
+        table = self.bronze_events_table()
+        if table.current() is None:
             raise FileNotFoundError(f"no usage events under {self.root}; run ingest_events first")
-        return read_events(self.spark, version.folder, fixed.EVENT_RELAID)
+        return table.read(row_id=True)
 
     # Silver -------------------------------------------------------------------------------------------
     def build_silver_master(self, name: str) -> None:
@@ -149,17 +152,17 @@ class Lake:
         self.silver_table(name).publish(_with_outcome(classified), partition_by=(OUTCOME, "ingest_date"))
 
     def build_silver_events(self, as_of: Column | None = None) -> None:
-        classified = silver_events(
-            self.bronze_events(),
-            self.silver("customers_orgs"),
-            self.silver("resources"),
-            self.silver("users"),
-            as_of,
-        )
-        names = [f.name for f in self.silver_table("usage_events").schema]
-        self.silver_table("usage_events").publish(
-            _with_outcome(classified).select(*names), partition_by=(OUTCOME, "usage_date")
-        )
+        table = self.silver_table("usage_events")
+        with scratch(self.spark):
+            classified = silver_events(
+                self.bronze_events(),
+                self.silver("customers_orgs"),
+                self.silver("resources"),
+                self.silver("users"),
+                as_of,
+            )
+            judged = _with_outcome(classified).select(*table.schema.names)
+            table.publish(judged, partition_by=(OUTCOME, "usage_date"))
         daily = service_daily(self.silver("usage_events"))
         stamped = daily.withColumn("silver_ts", F.current_timestamp())
         self.daily_table().publish(stamped, partition_by=("usage_date",))
@@ -191,7 +194,7 @@ class Lake:
         version = self.mart_table(name).current()
         return load_stream(
             self.spark,
-            version.folder,
+            version.folders[-1],
             self.serving_table(name),
             SERVING[name],
             f"{self.root}/serving/{name}/checkpoint",
@@ -221,6 +224,18 @@ class Lake:
         self.load_all_serving()
         return ingested
 
+    def expire(self, keep: int = 2) -> int:
+        """Delete versions of all tables before the last ``keep``; give the number of folders."""
+        tables = [
+            *[self.bronze_table(n) for n in fixed.MASTERS],
+            self.bronze_events_table(),
+            *[self.silver_table(n) for n in (*fixed.MASTERS, "usage_events")],
+            self.daily_table(),
+            *[self.mart_table(n) for n in marts()],
+            *[self.serving_table(n) for n in SERVING],
+        ]
+        return sum(table.expire(keep) for table in tables)
+
     # Checks -------------------------------------------------------------------------------------------
     def check_bronze(self) -> DataFrame:
         masters = [checks.unique(self.bronze_table(n).read(), f"bronze.{n}", t.keys) for n, t in fixed.MASTERS.items()]
@@ -271,6 +286,13 @@ class Lake:
         found.append(checks.has_columns(usage, "gold.org_daily_usage_by_service", checks.REQUIRED_ORG_DAILY))
         return checks.suite(found)
 
+    def check_serving(self) -> DataFrame:
+        """Every key of each mart is served."""
+        return checks.suite(
+            checks.covered(self.mart(n), self.serving_table(n).read(), table.keys, f"serving.{n}")
+            for n, table in SERVING.items()
+        )
+
     def snapshot(self) -> DataFrame:
         """(metric, n): row counts of the layers, to compare before and after a rerun."""
         counted = {

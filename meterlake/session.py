@@ -5,6 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from typing import NamedTuple
 
@@ -12,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import remove
+
 # Settings this library is tuned for. Operators never set them; a job's entry point may.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,6 +27,11 @@ SETTINGS = {
     # (org_id, service) groups must not inherit a hash on org_id alone: one org may hold a third of the rows.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Streaming dedupe remembers ids: on disk, and checkpointed by their changes.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -48,6 +58,22 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is settled inside the block when it ends. Publish first: frames built on it die too."""
+    paths: list[str] = []
+    outer = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(outer)
+        for path in paths:
+            remove(spark, path)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a frame that several later steps read to the shared folder, and read it back.
 
@@ -56,6 +82,9 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

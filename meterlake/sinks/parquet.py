@@ -25,7 +25,7 @@ def write_partitioned(
     if arranged:
         out = df
     elif files is not None:
-        out = df.repartition(files, *partition_by)
+        out = df.repartition(files, *partition_by) if partition_by else df.coalesce(files)
     else:
         out = df.hint("rebalance", *partition_by)
     writer = out.write.mode(mode)

@@ -37,16 +37,3 @@ def with_row_id(df: DataFrame) -> DataFrame:
         F.xxhash64("_metadata.file_path").alias(ROW_ID[0]),
         F.col("_metadata.row_index").alias(ROW_ID[1]),
     )
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists, on whatever file system it names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
-def read_events(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Stored usage events with ROW_ID, or an error that says what to run when there are none yet."""
-    if not exists(spark, path):
-        raise FileNotFoundError(f"no usage events under {path}; run the event ingest first")
-    return with_row_id(read_parquet(spark, path, schema))

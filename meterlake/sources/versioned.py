@@ -9,23 +9,25 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..files import exists, remove
 from ..functions.measures import rows
 from ..schemas import columns
 from ..sinks.parquet import write_partitioned
-from .tables import exists, read_parquet
+from .tables import read_parquet, with_row_id
 
-_LOG = columns("version bigint, folder string, rows bigint, token string")
+_LOG = columns("version bigint, folders strings, rows bigint, token string")
 
 
 @dataclass(frozen=True)
 class Version:
     version: int
-    folder: str
+    folders: list[str]
     rows: int
     token: str | None
 
@@ -37,29 +39,30 @@ class VersionedTable:
         self.schema = schema
 
     @property
-    def _log(self) -> str:
+    def _path(self) -> str:
         return f"{self.root}/commits"
 
+    def _log(self) -> DataFrame:
+        """One line per publish."""
+        return self.spark.read.schema(_LOG).json(self._path)
+
     def current(self) -> Version | None:
-        """The last committed version, if any. The log has one line per publish."""
-        if not exists(self.spark, self._log):
+        """The last committed version, if any."""
+        if not exists(self.spark, self._path):
             return None
-        line = self.spark.read.schema(_LOG).json(self._log).agg(
-            F.max_by(F.struct("version", "folder", "rows", "token"), "version").alias("last")
-        ).first()
-        return Version(*line["last"]) if line["last"] else None
+        last = self._log().agg(F.max_by(F.struct(*_LOG.names), "version").alias("last")).first()["last"]
+        return Version(*last) if last else None
 
     def committed(self, token: str) -> bool:
         """Whether a version with this token was published: makes a replayed batch a no-op."""
-        if not exists(self.spark, self._log):
-            return False
-        return not self.spark.read.schema(_LOG).json(self._log).where(F.col("token") == token).isEmpty()
+        return exists(self.spark, self._path) and not self._log().where(F.col("token") == token).isEmpty()
 
-    def read(self) -> DataFrame:
+    def read(self, row_id: bool = False) -> DataFrame:
         version = self.current()
         if version is None:
             raise FileNotFoundError(f"{self.root} has no published version")
-        return read_parquet(self.spark, version.folder, self.schema)
+        parts = [read_parquet(self.spark, folder, self.schema) for folder in version.folders]
+        return reduce(DataFrame.unionByName, [with_row_id(p) for p in parts] if row_id else parts)
 
     def read_or_empty(self) -> DataFrame:
         if self.current() is None:
@@ -73,11 +76,13 @@ class VersionedTable:
         *,
         partition_by: Sequence[str] = (),
         arranged: bool = False,
+        append: bool = False,
         expect_rows: int | None = None,
         token: str | None = None,
     ) -> Version:
-        """Write a new version and commit it. ``arranged`` keeps the frame's own partitions and order;
-        a row count other than ``expect_rows`` leaves the old version current."""
+        """Write a new version and commit it. ``append`` keeps the current folders and adds one;
+        ``arranged`` keeps the frame's own partitions and order; a row count other than ``expect_rows``
+        leaves the old version current."""
         counted = Observation()
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         write_partitioned(
@@ -87,8 +92,27 @@ class VersionedTable:
         if expect_rows is not None and written != expect_rows:
             raise ValueError(f"{self.root}: {written} rows written, {expect_rows} expected; not published")
         last = self.current()
-        version = Version((last.version if last else 0) + 1, folder, written, token)
+        kept = last if append else None
+        version = Version(
+            (last.version if last else 0) + 1,
+            [*(kept.folders if kept else []), folder],
+            written + (kept.rows if kept else 0),
+            token,
+        )
         fields = {f.name: F.lit(getattr(version, f.name)).cast(f.dataType) for f in _LOG}
         line = self.spark.range(1).select(*[value.alias(name) for name, value in fields.items()])
-        line.coalesce(1).write.mode("append").json(self._log)
+        line.coalesce(1).write.mode("append").json(self._path)
         return version
+
+    def expire(self, keep: int = 2) -> int:
+        """Delete the folders that only versions before the last ``keep`` use; give their number. Keep as
+        many versions as readers may still hold."""
+        if not exists(self.spark, self._path):
+            return 0
+        log = self._log().orderBy(F.desc("version")).select("folders").collect()
+        used = {folder for line in log[:keep] for folder in line["folders"]}
+        stale = {folder for line in log[keep:] for folder in line["folders"]} - used
+        gone = [folder for folder in stale if exists(self.spark, folder)]
+        for folder in gone:
+            remove(self.spark, folder)
+        return len(gone)

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.dedupe import content_order
 from ..operators.keyed import replace_partitions, upsert
 from ..plans.serving import ServingTable, laid_out, to_serving
-from ..session import settle
+from ..session import scratch, settle
 from ..sources.versioned import VersionedTable
 from .ingest import finish
 
@@ -33,15 +34,14 @@ def merge_batch(
     that a restart replays counts once. Executors do all of it; the driver sees no rows."""
     if token is not None and target.committed(token):
         return
-    changes = settle(to_serving(batch, table), f"serving-{table.name}")
-    existing = target.read_or_empty()
-    if table.replaces_partitions:
-        merged = replace_partitions(existing, changes, table.partition_key)
-    else:
-        columns = [f.name for f in table.schema]
-        tie_break = [*order_by, *[c for c in columns if c not in order_by]]
-        merged = upsert(existing, changes, table.keys, tie_break)
-    target.publish(laid_out(merged, table), arranged=True, token=token)
+    with scratch(batch.sparkSession):
+        changes = settle(to_serving(batch, table), f"serving-{table.name}")
+        existing = target.read_or_empty()
+        if table.replaces_partitions:
+            merged = replace_partitions(existing, changes, table.partition_key)
+        else:
+            merged = upsert(existing, changes, table.keys, content_order(changes, order_by))
+        target.publish(laid_out(merged, table), arranged=True, token=token)
 
 
 def load_stream(

@@ -1,12 +1,15 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
-from landing import FIRST, SECOND, add_events, write_landing
+from landing import FIRST, SECOND, add_events, event, write_landing
 from pyspark.sql import functions as F
 
 from meterlake import catalog
 from meterlake.plans import checks
+from meterlake.plans.layout import merge_folders
 from meterlake.plans.pipeline import Lake
+from meterlake.session import work_folder
 
 
 @pytest.fixture(scope="module")
@@ -86,7 +89,7 @@ def test_enrichment(lake, rows):
 
 
 def test_all_checks_pass(lake, rows):
-    for suite in (lake.check_bronze(), lake.check_silver(), lake.check_gold()):
+    for suite in (lake.check_bronze(), lake.check_silver(), lake.check_gold(), lake.check_serving()):
         assert rows(checks.failed(suite)) == []
 
 
@@ -137,6 +140,26 @@ def test_reset_replays_into_a_new_run(lake):
     assert replay.bronze_rows == len(FIRST) + len(SECOND) - 1
 
 
+def test_folders_merge_and_old_versions_go(lake, rows):
+    table = lake.bronze_events_table()
+    before = rows(table.read(), "event_id", "usage_date", "service", "value")
+    add_events(lake.folder, "part-3", [event("e30"), event("e31", resource_id=None, service="ai")])
+    assert lake.ingest_events().input_rows == 2
+    assert len(table.current().folders) == 2
+    assert merge_folders(table, after=1)
+    assert not merge_folders(table, after=1)
+    assert len(table.current().folders) == 1
+    assert len(rows(table.read(), "event_id", "usage_date", "service", "value")) == len(before) + 2
+    assert lake.expire(keep=1) > 0
+    assert table.read().count() == len(before) + 2
+    assert rows(checks.failed(lake.check_gold())) == []
+
+
+def test_no_scratch_is_left(lake, spark):
+    left = [p.name for p in Path(work_folder(spark)).iterdir() if p.name.startswith("enriched-events")]
+    assert left == []
+
+
 def test_missing_events_are_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="ingest"):
         Lake(spark, str(tmp_path)).bronze_events()

@@ -206,10 +206,10 @@ def bronze(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return typed(landed(spark, sf, name), MASTERS[name].typed)
 
 
-def silver(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def silver(spark: SparkSession, sf: str, name: str, customers: DataFrame | None = None) -> DataFrame:
     """Valid rows of a master."""
-    owned = MASTERS[name].owned_by_org
-    customers = silver(spark, sf, "customers_orgs") if owned else None
+    if MASTERS[name].owned_by_org and customers is None:
+        customers = silver(spark, sf, "customers_orgs")
     return valid_rows(classify_master(bronze(spark, sf, name), MASTERS[name], customers))
 
 

@@ -24,23 +24,20 @@ ORG = "org-3"
 
 
 # Shared steps -----------------------------------------------------------------------------------------
+def _event_inputs(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Bronze events, customers, resources and users. Events and customers, which several steps read, are
+    stored first, as they are in the lake."""
+    customers = settle(silver(spark, sf, "customers_orgs"), "customers")
+    masters = [silver(spark, sf, name, customers) for name in ("resources", "users")]
+    return [settle(bronze_events(spark, sf), "bronze-events"), customers, *masters]
+
+
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return events.enrich(
-        bronze_events(spark, sf),
-        silver(spark, sf, "customers_orgs"),
-        silver(spark, sf, "resources"),
-        silver(spark, sf, "users"),
-    )
+    return events.enrich(*_event_inputs(spark, sf))
 
 
 def classified(spark: SparkSession, sf: str) -> DataFrame:
-    return events.silver_events(
-        bronze_events(spark, sf),
-        silver(spark, sf, "customers_orgs"),
-        silver(spark, sf, "resources"),
-        silver(spark, sf, "users"),
-        as_of=F.lit(AS_OF).cast("timestamp"),
-    )
+    return events.silver_events(*_event_inputs(spark, sf), as_of=F.lit(AS_OF).cast("timestamp"))
 
 
 def valid(spark: SparkSession, sf: str) -> DataFrame:

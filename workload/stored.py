@@ -81,7 +81,7 @@ def relayout_events(spark, sf):
     stream_folder = fresh_path(spark, "bronze-events")
     write_partitioned(_bronze_layout(bronze_events(spark, sf)), stream_folder, ["ingest_date"])
     target = VersionedTable(spark, fresh_path(spark, "bronze-by-date"), EVENT_RELAID)
-    relayout(read_parquet(spark, stream_folder, EVENT_BRONZE), target)
+    relayout(spark, stream_folder, target, fresh_path(spark, "relayout-checkpoint"))
     return target.read().select(*_BRONZE_PICK.split(", "), "usage_date")
 
 
