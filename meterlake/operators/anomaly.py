@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import catalog as fixed
 from ..session import Measured, settle_measured
 from ..sources.tables import ROW_ID
-from .lookup import lookup_join
+from .lookup import lookup_join, with_keys
 
 GROUP = ("org_id", "service")
 COST = "cost_usd_increment"
@@ -24,8 +24,7 @@ def cost_statistics(events: DataFrame, group: Sequence[str] = GROUP, cost: str =
     """
     cut = F.percentile_approx(cost, [fixed.LOW_PERCENTILE, 0.5, fixed.HIGH_PERCENTILE])
     return (
-        events.select(*group, cost)
-        .dropna(subset=list(group))
+        with_keys(events.select(*group, cost), group)
         .groupBy(*group)
         .agg(
             F.avg(cost).alias("mean_cost"),
@@ -49,7 +48,7 @@ def median_deviation(
     spread_by: Sequence[str] = ROW_ID,
 ) -> DataFrame:
     """Median absolute deviation from the group's median."""
-    narrow = events.select(*group, cost, *spread_by).dropna(subset=list(group))
+    narrow = with_keys(events.select(*group, cost, *spread_by), group)
     joined = lookup_join(narrow, statistics, group, spread_by=spread_by)
     deviation = F.abs(F.col(cost) - F.col("median_cost"))
     return joined.groupBy(*group).agg(F.percentile_approx(deviation, 0.5).alias("mad_cost"))

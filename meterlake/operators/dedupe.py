@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import rows
 from ..session import settle_measured
 from ..sources.tables import ROW_ID
-from .lookup import lookup_join
+from .lookup import lookup_join, with_keys
 
 SURPLUS = "_surplus"
 
@@ -57,7 +57,7 @@ def mark_surplus(
     """
     ranked = F.max(F.struct(*order_by, *row_id)).alias("top")
     repeated = (
-        df.dropna(subset=list(keys))
+        with_keys(df, keys)
         .groupBy(*keys)
         .agg(rows().alias("n"), ranked)
         .where("n > 1")

@@ -34,7 +34,7 @@ def top_services(
     last = usage.agg(F.max("usage_date")).scalar()
     first = F.date_sub(last, days - 1)
     totals = (
-        usage.where(F.col("usage_date").between(first, last))
+        usage.where(F.col("usage_date") >= first)
         .groupBy("org_id", "service")
         .agg(F.sum("total_daily_cost_usd").alias("accumulated_cost_usd"))
     )

@@ -116,6 +116,7 @@ class Lake:
         ingest_ts: Column | None = None,
         watermark: str = fixed.REPLAY_WATERMARK,
         dedupe: str = "global",
+        spread_copies: int = 1,
     ) -> EventIngest:
         """Stream what has landed since the last call into bronze; re-lay it if anything is new."""
         run = self._stream_run(reset)
@@ -127,6 +128,7 @@ class Lake:
             ingest_ts=ingest_ts,
             watermark=watermark,
             dedupe=dedupe,
+            spread_copies=spread_copies,
         )
         new_rows = finish(query)
         target = self.bronze_events_table()

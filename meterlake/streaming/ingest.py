@@ -28,20 +28,29 @@ def event_stream(
     )
 
 
-def dedupe_stream(events: DataFrame, *, watermark: str, mode: str = "global") -> DataFrame:
+def dedupe_stream(
+    events: DataFrame, *, watermark: str, mode: str = "global", spread_copies: int = 1
+) -> DataFrame:
     """Each event id once. Rows without an id all pass, each under a key of its own: they are not copies of
     one another, and silver quarantines them.
 
     ``global`` keeps every id seen, forever. ``bounded`` forgets an id once the watermark has passed it,
     so state stays small, but an id that returns later is let in again; silver removes it then.
+
+    The copies of one id meet in one task. Where an id may hold much of a batch, ``spread_copies`` deals
+    them over that many tasks first, each of which lets one through; ids are then remembered twice.
     """
     if mode not in ("global", "bounded"):
         raise ValueError(f"mode is global or bounded, not {mode}")
     once = F.coalesce("event_id", F.uuid())
     keyed = events.withColumn("_once", once).withWatermark("event_ts", watermark)
-    if mode == "global":
-        return keyed.dropDuplicates(["_once"]).drop("_once")
-    return keyed.dropDuplicatesWithinWatermark(["_once"]).drop("_once")
+    distinct = (
+        DataFrame.dropDuplicates if mode == "global" else DataFrame.dropDuplicatesWithinWatermark
+    )
+    if spread_copies > 1:
+        dealt = keyed.withColumn("_deal", F.floor(F.rand() * spread_copies))
+        keyed = distinct(dealt, ["_once", "_deal"]).drop("_deal")
+    return distinct(keyed, ["_once"]).drop("_once")
 
 
 def start_ingest(
@@ -53,12 +62,15 @@ def start_ingest(
     ingest_ts: Column | None = None,
     watermark: str = fixed.REPLAY_WATERMARK,
     dedupe: str = "global",
+    spread_copies: int = 1,
     every: str | None = None,
     files_per_trigger: int = fixed.FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Start the query. It takes what has landed and stops, or runs on with a trigger ``every`` interval."""
     stream = event_stream(spark, landing, files_per_trigger=files_per_trigger)
-    events = dedupe_stream(to_bronze(stream, ingest_ts), watermark=watermark, mode=dedupe)
+    events = dedupe_stream(
+        to_bronze(stream, ingest_ts), watermark=watermark, mode=dedupe, spread_copies=spread_copies
+    )
     columns = [f.name for f in fixed.EVENT_BRONZE]
     writer = (
         events.select(*columns)

@@ -76,6 +76,29 @@ def test_bounded_dedupe_forgets_behind_the_watermark(ingest, mode, times):
     assert stored().where("event_id = 'e1'").count() == times
 
 
+@pytest.mark.parametrize("mode", ["global", "bounded"])
+def test_spread_copies_still_come_out_once(ingest, rows, mode):
+    land, run, stored = ingest
+    land("a", *[event("hot")] * 200, event("e1"), event(None), event(None))
+    land("b", *[event("hot")] * 200, event("e2"))
+    run(dedupe=mode, spread_copies=8)
+    land("c", *[event("hot")] * 50, event("e1"))
+    run(dedupe=mode, spread_copies=8)
+    assert rows(stored(), "event_id") == [("e1",), ("e2",), ("hot",), (None,), (None,)]
+
+
+def test_runs_on_an_interval(spark, ingest, tmp_path):
+    land, _, stored = ingest
+    land("a", event("e1"))
+    query = start_ingest(
+        spark, f"{tmp_path}/landing/*.jsonl", f"{tmp_path}/bronze", f"{tmp_path}/checkpoint", every="1 second"
+    )
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert stored().count() == 1
+
+
 def test_unknown_mode(spark, tmp_path):
     with pytest.raises(ValueError, match="global or bounded"):
         dedupe_stream(event_stream(spark, str(tmp_path)), watermark="1 day", mode="all")
