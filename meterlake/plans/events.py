@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,9 @@ from ..functions.parse import to_instant, to_number
 from ..functions.text import RULES, clean_region, clean_service, clean_text, unknown_region, unknown_service
 from ..operators.anomaly import flag_cost_anomalies
 from ..operators.dedupe import SURPLUS, mark_surplus
-from ..operators.lookup import lookup_join
+from ..operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join
 from ..operators.rules import Rule, apply_rules
-from ..session import settle, settle_measured
+from ..session import Measured, settle, settle_measured
 from ..sources.tables import ROW_ID
 
 EVENT_TEXT = {"service": "service", "region": "region", "metric": "text", "unit": "text"}
@@ -61,14 +62,20 @@ def metric_features(events: DataFrame) -> DataFrame:
     return events.withColumns({**{m: metric_value(m) for m in fixed.METRIC_FEATURES}, **filled})
 
 
-def enrich(
-    events: DataFrame,
-    customers: DataFrame,
-    resources: DataFrame,
-    users: DataFrame,
-    spread_by: Sequence[str] = ROW_ID,
-) -> DataFrame:
-    """Org, resource and user attributes on every event; the resource's service and region win."""
+class Dimensions(NamedTuple):
+    """What events are enriched with, one stored and measured table per key."""
+
+    by_org: Measured
+    by_resource: Measured
+
+    @property
+    def broadcast(self) -> bool:
+        return max(self.by_org.bytes, self.by_resource.bytes) <= BROADCAST_LIMIT_BYTES
+
+
+def dimensions(customers: DataFrame, resources: DataFrame, users: DataFrame) -> Dimensions:
+    """Org attributes with user counts, and resource attributes. Orgs without users, and users of orgs
+    unknown to customers, both count, as they do when each is looked up by itself."""
     orgs = customers.select(
         "org_id", *[F.col(c).alias(a) for c, a in fixed.ORG_ATTRIBUTES.items()]
     ).withColumn("org_hq_region", clean_region(F.col("org_hq_region")))
@@ -80,11 +87,16 @@ def enrich(
             "resource_region": clean_region(F.col("resource_region")),
         }
     )
-    # One table per key, so that events meet org_id once.
-    by_org = settle_measured(orgs.join(user_statistics(users), "org_id", "full"), "orgs")
+    return Dimensions(
+        settle_measured(orgs.join(user_statistics(users), "org_id", "full"), "orgs"),
+        settle_measured(stock, "resources"),
+    )
+
 
-    joined = lookup_join(events, by_org, ["org_id"], spread_by=spread_by)
-    joined = lookup_join(joined, stock, ["resource_id"], spread_by=spread_by)
+def enrich(events: DataFrame, known: Dimensions, spread_by: Sequence[str] = ROW_ID) -> DataFrame:
+    """Org, resource and user attributes on every event; the resource's service and region win."""
+    joined = lookup_join(events, known.by_org, ["org_id"], spread_by=spread_by)
+    joined = lookup_join(joined, known.by_resource, ["resource_id"], spread_by=spread_by)
     conformed = joined.withColumns(
         {
             "service": F.coalesce("resource_service", clean_service(F.col("service"))),
@@ -152,10 +164,14 @@ def silver_events(
 ) -> DataFrame:
     """Bronze events to classified events. The anomaly statistics count every row, the bad ones too.
 
-    The enriched rows are written once. Three passes then read a few of their columns (repeated ids,
-    statistics, deviations), and the last reads the rows and looks the findings up.
+    Three passes read a few columns (repeated ids, statistics, deviations), and the last reads the rows
+    and looks the findings up. Enriching again in each pass is cheaper than storing all events once more,
+    unless the dimensions were too large to broadcast and enriching means a shuffle.
     """
-    enriched = settle(enrich(events, customers, resources, users, row_id), "enriched-events")
+    known = dimensions(customers, resources, users)
+    enriched = enrich(events, known, row_id)
+    if not known.broadcast:
+        enriched = settle(enriched, "enriched-events")
     marked = mark_surplus(enriched, ["event_id"], COPY_ORDER, row_id=row_id)
     flagged = flag_cost_anomalies(marked, spread_by=row_id, population=enriched)
     return classify(flagged, as_of)

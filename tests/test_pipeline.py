@@ -156,7 +156,7 @@ def test_folders_merge_and_old_versions_go(lake, rows):
 
 
 def test_no_scratch_is_left(lake, spark):
-    left = [p.name for p in Path(work_folder(spark)).iterdir() if p.name.startswith("enriched-events")]
+    left = [p.name for p in Path(work_folder(spark)).iterdir() if p.name.startswith("serving-")]
     assert left == []
 
 

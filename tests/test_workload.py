@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_point
+from meterlake.operators import lookup
+from meterlake.plans import events
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -44,5 +46,12 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert table(found.columns, found.collect()) == table(expected.columns, expected.fetchall())
 
 
+@pytest.mark.parametrize("name", ["quarantine_split", "mart_cost_anomaly", "duplicate_extract", "master_conform"])
+def test_same_results_where_nothing_fits_a_broadcast(spark, duck, name, monkeypatch):
+    monkeypatch.setitem(lookup.lookup_join.__kwdefaults__, "limit_bytes", -1)
+    monkeypatch.setattr(events, "BROADCAST_LIMIT_BYTES", -1)
+    test_query_agrees_with_sql(spark, duck, name)
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0

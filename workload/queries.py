@@ -33,7 +33,8 @@ def _event_inputs(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return events.enrich(*_event_inputs(spark, sf))
+    bronze_rows, *masters = _event_inputs(spark, sf)
+    return events.enrich(bronze_rows, events.dimensions(*masters))
 
 
 def classified(spark: SparkSession, sf: str) -> DataFrame:
