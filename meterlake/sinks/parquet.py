@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+
+from ..functions.measures import rows
 
 
 def write_partitioned(
@@ -15,8 +17,8 @@ def write_partitioned(
     files: int | None = None,
     arranged: bool = False,
     mode: str = "errorifexists",
-) -> None:
-    """Write a hive-partitioned Parquet folder.
+) -> int:
+    """Write a hive-partitioned Parquet folder; give the number of rows written.
 
     By default the rows are rebalanced on the partition columns: adaptive execution merges small pieces
     and splits a value that holds too much, so a hot day or org becomes several files instead of one
@@ -28,10 +30,13 @@ def write_partitioned(
         out = df.repartition(files, *partition_by) if partition_by else df.coalesce(files)
     else:
         out = df.hint("rebalance", *partition_by)
-    writer = out.write.mode(mode)
+    # Counted after the shuffle, in the tasks that write: a map task that runs again is not counted twice.
+    counted = Observation()
+    writer = out.observe(counted, rows().alias("rows")).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    return counted.get["rows"]
 
 
 def save_to(

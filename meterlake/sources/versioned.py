@@ -11,12 +11,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..files import exists, remove
-from ..functions.measures import rows
 from ..schemas import columns
 from ..sinks.parquet import write_partitioned
 from .tables import read_parquet, with_row_id
@@ -83,12 +82,8 @@ class VersionedTable:
         """Write a new version and commit it. ``append`` keeps the current folders and adds one;
         ``arranged`` keeps the frame's own partitions and order; a row count other than ``expect_rows``
         leaves the old version current."""
-        counted = Observation()
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        write_partitioned(
-            df.observe(counted, rows().alias("rows")), folder, partition_by, arranged=arranged
-        )
-        written = counted.get["rows"]
+        written = write_partitioned(df, folder, partition_by, arranged=arranged)
         if expect_rows is not None and written != expect_rows:
             raise ValueError(f"{self.root}: {written} rows written, {expect_rows} expected; not published")
         last = self.current()

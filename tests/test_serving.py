@@ -113,7 +113,7 @@ def test_a_version_may_be_made_from_the_current_one(spark, tmp_path, rows):
 
 def test_partitioned_write(spark, tmp_path, rows, plan):
     df = spark.range(100).select((F.col("id") % 3).cast("string").alias("p"), "id")
-    write_partitioned(df, str(tmp_path / "a"), ["p"])
+    assert write_partitioned(df, str(tmp_path / "a"), ["p"]) == 100
     stored = spark.read.schema(df.schema).parquet(str(tmp_path / "a"))
     assert rows(stored, "p", "id") == rows(df, "p", "id")
     assert "PartitionFilters: [isnotnull(p" in plan(stored.where("p = '1'"))

@@ -76,6 +76,20 @@ def test_bounded_dedupe_forgets_behind_the_watermark(ingest, mode, times):
     assert stored().where("event_id = 'e1'").count() == times
 
 
+@pytest.mark.parametrize("mode", ["global", "bounded"])
+def test_rows_without_id_or_time_pass_in_every_batch(ingest, rows, mode):
+    land, run, stored = ingest
+    for name in ("a", "b", "c"):
+        land(name, event(None), event(None), event(f"e-{name}"), event(f"bad-{name}", "no time"))
+        run(dedupe=mode)
+    land("d", event(None), event("e-a"))
+    land("e", event(None), event("bad-e", "no time"))
+    run(dedupe=mode)
+    found = rows(stored(), "event_id")
+    assert found.count((None,)) == 8
+    assert len(found) == 8 + 3 + 4
+
+
 @pytest.mark.parametrize("mode", ["global", "bounded"])
 def test_spread_copies_still_come_out_once(ingest, rows, mode):
     land, run, stored = ingest
