@@ -201,6 +201,7 @@ class Lake:
             SERVING[name],
             f"{self.root}/serving/{name}/checkpoint",
             order_by=("gold_ts",) if "gold_ts" in SERVING[name].schema.names else (),
+            schema=version.struct,
         )
 
     def load_all_serving(self) -> list[LoadResult]:
@@ -240,7 +241,10 @@ class Lake:
 
     # Checks -------------------------------------------------------------------------------------------
     def check_bronze(self) -> DataFrame:
-        masters = [checks.unique(self.bronze_table(n).read(), f"bronze.{n}", t.keys) for n, t in fixed.MASTERS.items()]
+        masters = [
+            checks.unique(self.bronze_table(n).read(), f"bronze.{n}", t.keys)
+            for n, t in fixed.MASTERS.items()
+        ]
         events = self.bronze_events_table().read()
         required = checks.has_columns(events, "bronze.usage_events", checks.REQUIRED_BRONZE_EVENTS)
         named = events.where(F.col("event_id").isNotNull())
@@ -306,5 +310,6 @@ class Lake:
             **{f"gold_{n}": self.mart(n) for n in marts()},
         }
         return checks.suite(
-            df.agg(F.lit(metric).alias("metric"), F.count(F.lit(1)).alias("n")) for metric, df in counted.items()
+            df.agg(F.lit(metric).alias("metric"), F.count(F.lit(1)).alias("n"))
+            for metric, df in counted.items()
         )

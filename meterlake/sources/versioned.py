@@ -6,6 +6,7 @@ never overwrites what it reads and a crash leaves the last good version in place
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ from ..schemas import columns
 from ..sinks.parquet import write_partitioned
 from .tables import read_parquet, with_row_id
 
-_LOG = columns("version bigint, folders strings, rows bigint, token string")
+_LOG = columns("version bigint, folders strings, rows bigint, token string, schema string")
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,12 @@ class Version:
     folders: list[str]
     rows: int
     token: str | None
+    schema: str
+
+    @property
+    def struct(self) -> T.StructType:
+        """The schema it was written with, partition columns included: their types are not in the files."""
+        return T.StructType.fromJson(json.loads(self.schema))
 
 
 class VersionedTable:
@@ -60,7 +67,8 @@ class VersionedTable:
         version = self.current()
         if version is None:
             raise FileNotFoundError(f"{self.root} has no published version")
-        parts = [read_parquet(self.spark, folder, self.schema) for folder in version.folders]
+        schema = self.schema or version.struct
+        parts = [read_parquet(self.spark, folder, schema) for folder in version.folders]
         return reduce(DataFrame.unionByName, [with_row_id(p) for p in parts] if row_id else parts)
 
     def read_or_empty(self) -> DataFrame:
@@ -93,6 +101,7 @@ class VersionedTable:
             [*(kept.folders if kept else []), folder],
             written + (kept.rows if kept else 0),
             token,
+            df.schema.json(),
         )
         fields = {f.name: F.lit(getattr(version, f.name)).cast(f.dataType) for f in _LOG}
         line = self.spark.range(1).select(*[value.alias(name) for name, value in fields.items()])

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators.dedupe import content_order
 from ..operators.keyed import replace_partitions, upsert
@@ -53,12 +54,14 @@ def load_stream(
     *,
     order_by: Sequence[str] = (),
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    schema: T.StructType | None = None,
 ) -> LoadResult:
     """Stream a mart's Parquet files into its serving table; only files not loaded before are read.
 
-    Without a cap on files per trigger all new files form one batch, so a load writes one version.
+    Without a cap on files per trigger all new files form one batch, so a load writes one version. The
+    schema is taken from the files unless given.
     """
-    schema = spark.read.parquet(source).schema
+    schema = schema or spark.read.parquet(source).schema
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch

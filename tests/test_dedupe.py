@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from meterlake.operators.dedupe import SURPLUS, keep_latest, mark_surplus
+from meterlake.operators.dedupe import SURPLUS, drop_copies, keep_latest, mark_surplus
 from meterlake.sources.tables import with_row_id
 
 
@@ -52,6 +52,12 @@ def test_null_keys_and_null_times(spark, tmp_path, rows):
     ]
 
 
+def test_drop_copies_uses_the_columns_there_are(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "k string, t int")
+    assert rows(drop_copies(df, ["k", "absent"]), "k") == [("a",), ("b",)]
+    assert drop_copies(df, ["absent"]).count() == 3
+
+
 def test_no_window_over_the_key(spark, tmp_path, plan):
     marked = mark_surplus(stored(spark, tmp_path, [("a", 1), ("a", 2)], "k string, t int"), ["k"], ["t"])
     assert "Window" not in plan(marked)

@@ -7,6 +7,7 @@ from meterlake import catalog
 from meterlake.catalog import EVENT_LANDING
 from meterlake.operators.dedupe import SURPLUS
 from meterlake.operators.rules import REASON, REASONS, Rule, apply_rules, quarantined_rows, valid_rows
+from meterlake.plans import checks
 from meterlake.plans.events import classify, to_bronze
 
 AS_OF = datetime(2025, 1, 1, 12, 0, 0)
@@ -78,6 +79,14 @@ def test_first_broken_rule_is_the_reason_and_all_are_kept(spark, rows):
     assert valid_rows(ruled).columns == ["n"]
 
 
+def test_quarantine_sample_and_counts(spark, rows):
+    df = spark.createDataFrame([(str(i), "o", "m", 1.0, "u", i) for i in range(9)],
+        "event_id string, org_id string, metric string, value double, unit string, n int")
+    bad = quarantined_rows(apply_rules(df, [Rule("small", F.col("n") < 3), Rule("big", F.col("n") > 4)]))
+    assert checks.quarantine_sample(bad).count() == 5
+    assert rows(checks.reason_counts(bad)) == [("big", 4), ("small", 3)]
+
+
 def test_lateness_tiers(spark, rows):
     delays = {"a": 600, "b": 601, "c": 1801, "d": None}
     data = [(e, "2025-01-01T00:00:00", d) for e, d in delays.items()] + [("x", "bad", 5)]

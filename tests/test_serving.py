@@ -8,7 +8,7 @@ from meterlake.plans import serving
 from meterlake.plans.layout import file_count, needs_relayout
 from meterlake.plans.serving import SERVING
 from meterlake.schemas import columns
-from meterlake.sinks.parquet import write_partitioned
+from meterlake.sinks.parquet import save_to, write_partitioned
 from meterlake.sources.versioned import VersionedTable
 from meterlake.streaming.publish import load_stream, merge_batch
 
@@ -111,6 +111,21 @@ def test_a_version_may_be_made_from_the_current_one(spark, tmp_path, rows):
     assert rows(table.read()) == [(1,), (2,)]
 
 
+def test_a_version_knows_its_schema(spark, tmp_path, rows):
+    """Types of partition columns are kept, even of digits and of nothing but nulls."""
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    digits = spark.createDataFrame([(1, "007", None), (2, "8", None)], "id int, p string, d date")
+    table.publish(digits, partition_by=("p", "d"))
+    assert rows(table.read(), "id", "p", "d") == [(1, "007", None), (2, "8", None)]
+    assert dict(table.read().dtypes) == {"id": "int", "p": "string", "d": "date"}
+
+
+def test_generic_sink(spark, tmp_path, rows):
+    save_to(spark.range(3), "json", {"path": str(tmp_path / "j")})
+    save_to(spark.range(2), "json", {"path": str(tmp_path / "j")})
+    assert spark.read.json(str(tmp_path / "j")).count() == 5
+
+
 def test_partitioned_write(spark, tmp_path, rows, plan):
     df = spark.range(100).select((F.col("id") % 3).cast("string").alias("p"), "id")
     assert write_partitioned(df, str(tmp_path / "a"), ["p"]) == 100

@@ -3,7 +3,9 @@ import json
 import pytest
 from landing import event
 
-from meterlake.catalog import EVENT_BRONZE
+from meterlake.catalog import EVENT_BRONZE, EVENT_LANDING
+from meterlake.plans.events import to_bronze
+from meterlake.sources.tables import read_landing_json
 from meterlake.streaming.ingest import dedupe_stream, event_stream, finish, start_ingest
 
 
@@ -113,6 +115,15 @@ def test_runs_on_an_interval(spark, ingest, tmp_path):
     assert stored().count() == 1
 
 
+def test_batch_and_stream_agree(spark, ingest, rows, tmp_path):
+    land, run, stored = ingest
+    land("a", event("e1", value="3"), event("e2", region="EU_West", service="AI"), event("e3", "no time"))
+    run()
+    batch = to_bronze(read_landing_json(spark, EVENT_LANDING, f"{tmp_path}/landing/*.jsonl"))
+    picked = [c for c in EVENT_BRONZE.names if c != "source_file"]
+    assert rows(batch, *picked) == rows(stored(), *picked)
+
+
 def test_unknown_mode(spark, tmp_path):
     with pytest.raises(ValueError, match="global or bounded"):
         dedupe_stream(event_stream(spark, str(tmp_path)), watermark="1 day", mode="all")

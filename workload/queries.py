@@ -17,7 +17,7 @@ from meterlake.plans.masters import classify_master, with_lineage
 from meterlake.session import fresh_path, settle
 from meterlake.sources.tables import ROW_ID, read_parquet, with_row_id
 
-from .proxies import AS_OF, LANDED, billing, bronze, bronze_events, landed, silver, table
+from .proxies import AS_OF, billing, bronze, bronze_events, landed, silver, table
 from .registry import query, rounded, rounded_sql
 
 ORG = "org-3"
