@@ -583,10 +583,12 @@ _GRAIN_SQL = " UNION ALL ".join(
 
 def _sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """All inputs of the marts, each stored once."""
+    customers = settle(silver(spark, sf, "customers_orgs"), "customers")
     found = {
-        name: settle(silver(spark, sf, name), name)
-        for name in ("customers_orgs", "support_tickets", "marketing_touches", "nps_surveys")
+        name: settle(silver(spark, sf, name, customers), name)
+        for name in ("support_tickets", "marketing_touches", "nps_surveys")
     }
+    found["customers_orgs"] = customers
     found["billing_monthly"] = settle(billing(spark, sf), "billing")
     found["usage_events"] = settle(valid(spark, sf), "usage-events")
     found["org_service_daily"] = settle(events.service_daily(found["usage_events"]), "daily")
