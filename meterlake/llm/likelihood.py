@@ -144,6 +144,23 @@ def mean_ratio(ratios: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.
     return sums_by_text(ratios[buckets], owner, texts) / np.maximum(n, 1)
 
 
+def mean_ratio_without_itself(
+    target: np.ndarray, raw: np.ndarray, data: np.ndarray, offsets: np.ndarray, smoothing: float = 1.0
+) -> np.ndarray:
+    """``mean_ratio`` of texts that are part of the target, each as if the target lacked it. So they compare
+    to texts that never were in the target."""
+    buckets, owner = hashed_ngrams(data, offsets)
+    texts = len(offsets) - 1
+    n = np.bincount(owner, minlength=texts)
+    keys, counts = np.unique((owner << BITS) | buckets, return_counts=True)
+    buckets, owner = keys & ((1 << BITS) - 1), keys >> BITS
+    p = np.log(target[buckets] - counts + smoothing)
+    q = raw + smoothing
+    sums = sums_by_text(counts * (p - np.log(q[buckets] / q.sum())), owner, texts)
+    rest = np.log(np.maximum(target.sum() - n, 0) + smoothing * len(target))
+    return np.where(n > 0, sums / np.maximum(n, 1) - rest, 0.0)
+
+
 class Rule(NamedTuple):
     ratios: np.ndarray
     threshold: float
@@ -153,22 +170,22 @@ def fit(
     docs: DataFrame, trusted: DataFrame, *, pass_share: float = 0.99, text: str = "text"
 ) -> Rule:
     """Multinomials over all rows of ``docs`` and of ``trusted``. The threshold is the mean ratio that the
-    share ``pass_share`` of the trusted texts with enough words reaches. No trusted text: nothing is
-    rejected by the ratio."""
+    share ``pass_share`` of the trusted texts with enough words reaches, each left out of the target. No
+    trusted text: nothing is rejected by the ratio."""
     target = count_buckets(trusted, text)
     if not target.any():
         return Rule(np.zeros(1 << BITS), 0.0)
-    ratios = log_ratios(target, count_buckets(docs, text))
+    raw = count_buckets(docs, text)
 
     def score(data, offsets):
         n_words = np.diff(spans(data, offsets, NOT_SPACE)[2])
-        return mean_ratio(ratios, data, offsets), n_words
+        return mean_ratio_without_itself(target, raw, data, offsets), n_words
 
     scored = map_texts(trusted, score, "ratio double, n_words bigint", keep=(), text=text)
     level = scored.where(F.col("n_words") >= MIN_WORDS).agg(
         F.percentile_approx("ratio", 1.0 - pass_share, 10_000).alias("level")
     )
-    return Rule(ratios, level.first()["level"] or 0.0)
+    return Rule(log_ratios(target, raw), level.first()["level"] or 0.0)
 
 
 COLUMNS = (

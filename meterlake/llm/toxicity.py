@@ -311,10 +311,10 @@ def evidence(words: Words, labels: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_texts(texts: Sequence[str], labels: np.ndarray, *, rounds: int = 8, rate: float = 0.01, batch: int = 128) -> Model:
+def fit_texts(texts: Sequence[str], labels: np.ndarray, *, steps: int = 480, rate: float = 0.01, batch: int = 128) -> Model:
     """Train on labelled texts. A label belongs to a text, so of each toxic text the window with the most
     evidence is the example at first, and later the one the network itself scores highest; of each other
-    text its highest window and a random one."""
+    text its highest window and a random one. Training makes ``steps`` steps, however few texts there are."""
     share = float(labels.mean()) if len(labels) else 0.0
     data, offsets = joined(texts)
     if share in (0.0, 1.0):
@@ -336,8 +336,8 @@ def fit_texts(texts: Sequence[str], labels: np.ndarray, *, rounds: int = 8, rate
     scores = np.where(np.arange(WINDOW) < length[:, None], clue[index], -1e9).max(axis=1)
     network = Network()
     adam = Adam(network, rate)
-    for turn in range(rounds):
-        if turn >= rounds // 2:
+    while adam.steps < steps:
+        if adam.steps >= steps // 2:
             scores = network.logits(words, begin, length)
         noise = rng.random(len(begin))
         by_score, by_chance = np.lexsort((noise, -scores, of)), np.lexsort((noise, of))
