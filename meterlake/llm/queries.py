@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +38,30 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@functools.cache
+def _package() -> str:
+    """This library as an archive that Spark can hand to its executors."""
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    return str(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors import this library, also where it is not installed. Once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        spark.sparkContext.addPyFile(_package())
+        _shipped.add(application)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship(spark)
     return read_parquet(spark, f"{sf}/{name}.parquet")
 
 

@@ -16,6 +16,7 @@ WINDOW, STRIDE = 32, 24  # words; neighbouring windows share a quarter
 WORD_BITS, CHAR_BITS = 12, 14  # rows of the two embedding tables
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
 GRAM_SIZES = (3, 4)
+MIN_TEXTS = 5  # words and character n-grams in fewer labelled texts have no row of their own
 PAD_GATE = 30.0  # update gate of a padding word: the state passes through unchanged
 
 # Letters, digits and all bytes of non-ASCII characters.
@@ -260,8 +261,10 @@ class Network:
 
 
 class Adam:
-    def __init__(self, network: Network, rate: float) -> None:
-        self.network, self.rate, self.steps = network, rate, 0
+    """With weight decay."""
+
+    def __init__(self, network: Network, rate: float, decay: float = 0.3) -> None:
+        self.network, self.rate, self.decay, self.steps = network, rate, decay, 0
         self.m = {k: np.zeros_like(v) for k, v in network.p.items()}
         self.v = {k: np.zeros_like(v) for k, v in network.p.items()}
 
@@ -274,7 +277,9 @@ class Adam:
             self.m[k] += F32(0.1) * (v - self.m[k])
             self.v[k] += F32(0.001) * (v * v - self.v[k])
             rate = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
-            self.network.p[k] -= F32(rate) * self.m[k] / (np.sqrt(self.v[k]) + F32(1e-8))
+            p = self.network.p[k]
+            p -= F32(rate) * self.m[k] / (np.sqrt(self.v[k]) + F32(1e-8))
+            p *= F32(1 - self.rate * self.decay)
 
 
 class Model(NamedTuple):
@@ -293,9 +298,10 @@ def joined(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     ).astype(np.int64)
 
 
-def evidence(words: Words, labels: np.ndarray) -> np.ndarray:
+def evidence(words: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How much each word's character n-grams speak for class 1: the greatest lower-bound log-odds among
-    them, by the number of texts that hold each. Used only to find the window a label is about."""
+    them, by the number of texts that hold each. Used only to find the window a label is about. Also the
+    rows of the character table that are in too few texts to be learned."""
     seen = np.full((2, 1 << CHAR_BITS), 1.0)
     for i, label in enumerate(labels):
         some = np.unique(words.index[words.first[i] : words.first[i + 1]])
@@ -308,10 +314,10 @@ def evidence(words: Words, labels: np.ndarray) -> np.ndarray:
     some = np.flatnonzero(np.diff(words.gram_first))
     if len(some):
         out[some] = np.maximum.reduceat(odds[words.gram_rows], words.gram_first[some])
-    return out
+    return out, np.flatnonzero(seen.sum(axis=0) - 2 < MIN_TEXTS)
 
 
-def fit_texts(texts: Sequence[str], labels: np.ndarray, *, steps: int = 480, rate: float = 0.01, batch: int = 128) -> Model:
+def fit_texts(texts: Sequence[str], labels: np.ndarray, *, steps: int = 300, rate: float = 0.01, batch: int = 128) -> Model:
     """Train on labelled texts. A label belongs to a text, so of each toxic text the window with the most
     evidence is the example at first, and later the one the network itself scores highest; of each other
     text its highest window and a random one. Training makes ``steps`` steps, however few texts there are."""
@@ -325,16 +331,19 @@ def fit_texts(texts: Sequence[str], labels: np.ndarray, *, steps: int = 480, rat
     # Words of the most texts get rows of the word table; row 0 is for all others.
     each = np.unique(np.stack([hashes, owner.astype(np.uint64)]), axis=1)[0]
     values, counts = np.unique(each, return_counts=True)
+    values, counts = values[counts >= MIN_TEXTS], counts[counts >= MIN_TEXTS]
     known = np.sort(values[np.lexsort((values, -counts))][: (1 << WORD_BITS) - 1])
     words = read_words(data, offsets, known)
     begin, length, of = windows_of(words.first)
     if not len(begin):
         return Model(np.zeros(0, np.uint64), None, share)
     rng = np.random.default_rng(0)
-    clue = evidence(words, labels)[words.index]
+    clue, rare = evidence(words, labels)
+    clue = clue[words.index]
     index = np.minimum(begin[:, None] + np.arange(WINDOW), len(clue) - 1)
     scores = np.where(np.arange(WINDOW) < length[:, None], clue[index], -1e9).max(axis=1)
     network = Network()
+    network.p["chars"][rare] = 0
     adam = Adam(network, rate)
     while adam.steps < steps:
         if adam.steps >= steps // 2:
@@ -354,6 +363,7 @@ def fit_texts(texts: Sequence[str], labels: np.ndarray, *, steps: int = 480, rat
                 words, begin[some], length[some], target[order[a : a + batch]],
                 weight[order[a : a + batch]].astype(F32),
             )
+            g["chars"][rare] = 0
             adam.step(g)
     return Model(known, network, share)
 
