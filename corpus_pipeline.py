@@ -25,6 +25,14 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return docs.join(stored, same, "left_anti")
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """Documents under a key that tells texts with the same id apart; rows without an id come last."""
+    key = F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash")
+    )
+    return docs.select(key.alias("id"), "text")
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It is fitted on the labels of these documents."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), held_out(4, 2, "key"))
@@ -41,11 +49,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that are linked by five-word shingles with a similarity of 0.8 or more,
     the one with the smallest id; of repeated rows one."""
-    named = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("id"), "text")
-    found = settle(jaccard.join(named, key="id", k=5, num=4, den=5).where("n_shingles > 0"), "near-duplicates")
+    linked = jaccard.join(_named(docs), key="id", k=5, num=4, den=5)
+    found = settle(linked.where("n_shingles > 0"), "near-duplicates")
     kept = _without(docs, found.where("id <> component_id").select("id.*"))
     repeated = settle(
-        found.where("id = component_id").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id.*"),
+        found.where("id = component_id").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id.doc_id", "id.text_hash"),
         "repeated-rows",
     )
     if repeated.isEmpty():
@@ -60,8 +68,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth are passages of the benchmark."""
-    named = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("id"), "text")
-    found = contamination.report(named, table(spark, sf_dir, "benchmark"), key="id")
+    found = contamination.report(_named(docs), table(spark, sf_dir, "benchmark"), key="id")
     return _without(docs, found.where("contaminated").select("id.*"))
 
 

@@ -71,20 +71,25 @@ def term_counts(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
 
 
 def anchors(items: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The positions of each item that are the rarest of one of its windows: ``item, words, q, term`` and
-    ``need``, the length of a match that counts."""
+    """The positions of each item that are the rarest of one of its windows, among terms that the corpus has
+    at all: ``item, words, q, term``, ``need`` (the length of a match that counts) and ``exact`` (a window
+    with this anchor has only such terms, so it may occur)."""
     placed = items.select("item", "words", F.posexplode("words").alias("q", "word")).withColumn(
         "term", F.lower("word")
     )
-    ranked = placed.join(counts, "term").withColumn("rank", F.struct("n", "term", "q"))
+    ranked = placed.join(counts, "term").withColumn(
+        "rank", F.when(F.col("n") > 0, F.struct("n", "term", "q"))
+    )
     # The rarest of each window that lies in the item, named at the window's first word.
     ahead = Window.partitionBy("item", "words").orderBy("q").rowsBetween(0, window - 1)
     need = F.least(F.size("words"), F.lit(window))
     return (
         ranked.withColumn("best", F.min("rank").over(ahead))
-        .where(F.col("q") + need <= F.size("words"))
-        .select("item", "words", F.col("best.q").alias("q"), F.col("best.term").alias("term"), need.alias("need"))
-        .distinct()
+        .withColumn("least", F.min("n").over(ahead))
+        .where((F.col("q") + need <= F.size("words")) & F.col("best").isNotNull())
+        .groupBy("item", "words", F.col("best.q").alias("q"), F.col("best.term").alias("term"))
+        .agg(F.max(F.col("least") > 0).alias("exact"))
+        .withColumn("need", need)
     )
 
 
@@ -117,7 +122,7 @@ def equal_run(pairs: Column) -> Column:
 def matches(postings: DataFrame, anchored: DataFrame, names: list[str]) -> DataFrame:
     """Exact phrase matches: the document's keys, ``item``, and the ``first`` and ``last`` position in the
     document of the words that are equal around an anchor."""
-    joined = postings.join(bounded(anchored), "term")
+    joined = postings.join(bounded(anchored.where("exact").drop("exact")), "term")
     here, there = F.col("left"), F.col("q")
     back = F.least(here, there)
     on = F.least(F.size("around") - here, F.size("words") - there)
@@ -151,7 +156,7 @@ def near_matches(postings: DataFrame, anchored: DataFrame, names: list[str], spa
     # Items with one anchor cannot have two, and their anchor may be a frequent word.
     several = anchored.groupBy("item").agg(F.countDistinct("q").alias("n")).where("n >= 2").select("item")
     hits = postings.drop("around").join(
-        bounded(anchored.join(several, "item", "left_semi").drop("words", "need")), "term"
+        bounded(anchored.join(several, "item", "left_semi").drop("words", "need", "exact")), "term"
     )
     # An offset counts for its own stretch of the document and the next, so neighbours meet in one.
     return (

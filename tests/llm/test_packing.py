@@ -1,0 +1,79 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from meterlake.llm.packing import SumOfSquares, encoder, pack
+from meterlake.llm.queries import RANKS
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found.encode_special_tokens = True
+    return found
+
+
+def test_ids_are_those_of_the_tokenizer_file(tokenizer, hard, prose):
+    texts = [t or "" for t in hard] + [prose(300), "a  b   c\t\td\n\n e  ", "I'll we've 'S x1y2     end "]
+    for text in texts:
+        assert encoder(RANKS).encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_cover_each_document_once(documents, tokenizer, hard, prose):
+    texts = hard + [prose(n, seed=n) for n in range(1, 400, 7)] + [prose(50), prose(50)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "no id"), (3, texts[3])]
+    pieces = pack(documents(rows), RANKS, with_ids=True).collect()
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        assert p["length"] == len(p["ids"]) > 0
+        assert p["ids_crc32"] == zlib.crc32(np.array(p["ids"], "<u4").tobytes())
+        by_doc[p["doc_id"]].append(p)
+        by_sequence[p["sequence_id"]].append(p)
+    assert set(by_doc) == {i for i, _ in rows}
+    for i, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        own = sorted(by_doc[i], key=lambda p: p["start"])
+        if i == 3:  # the row is there twice
+            assert [p["ids"] for p in own] == [ids, ids]
+            continue
+        assert [x for p in own for x in p["ids"]] == ids
+        assert {p["doc_tokens"] for p in own} == {len(ids)}
+        assert [p["start"] for p in own] == np.cumsum([0] + [p["length"] for p in own])[:-1].tolist()
+    for own in by_sequence.values():
+        own.sort(key=lambda p: p["offset"])
+        lengths = [p["length"] for p in own]
+        assert [p["offset"] for p in own] == np.cumsum([0] + lengths)[:-1].tolist()
+        total = sum(lengths)
+        assert total == 2048 or total & (total - 1) == 0
+
+
+def test_each_placement_has_the_smallest_sum_of_squares():
+    rng = np.random.default_rng(3)
+    packer = SumOfSquares(24)
+    for _ in range(400):
+        length = int(rng.integers(1, 24))
+        before = packer.counts.copy()
+
+        def after(level, before=before, length=length):
+            counts = before.copy()
+            if level:
+                counts[level] -= 1
+            if level + length < 24:
+                counts[level + length] += 1
+            return int((counts[1:24] ** 2).sum())
+
+        options = [0] + [h for h in range(1, 25 - length) if before[h]]
+        packer.place((0, 0, np.zeros(length, np.uint32)))
+        assert int((packer.counts[1:24] ** 2).sum()) == min(map(after, options))
+        assert [len(x) for x in packer.levels] == packer.counts.tolist()
+
+
+def test_empty_table_and_other_columns(spark, documents):
+    assert pack(documents([]), RANKS).collect() == []
+    clash = spark.createDataFrame([(1, "a", 5, 6)], "doc_id int, text string, length int, sequence_id int")
+    assert [(r["doc_id"], r["length"]) for r in pack(clash, RANKS).collect()] == [(1, 2)]
