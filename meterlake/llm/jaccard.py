@@ -2,7 +2,8 @@
 
 A set of n tokens can only be similar to sets that share t = ceil(n * threshold) of its tokens. In any fixed
 order of tokens, two similar sets share l tokens within their first n - t + l, for every l. Each set chooses
-its own l, and a pair has to share the smaller of both.
+its own l. Of a pair that needs an overlap of o, the set whose prefix ends first has all it shares there in
+the other's prefix too, and t - l tokens after it; so both prefixes share at least o - (t - l) tokens.
 
 1. Equal sets form a class; all further work is on classes.
 2. With tokens in hash order, a class counts the tokens of its prefix that no other class has in its prefix.
@@ -12,7 +13,8 @@ its own l, and a pair has to share the smaller of both.
    lengthens its prefix as long as that lowers its estimated cost: entries to be read plus expected
    verifications, of which there are at most entries / l.
 4. Members of a posting list are verified against one member of it (its pivot), which unites large groups of
-   near copies without their pairs. Then all candidates between different components are verified.
+   near copies without their pairs. Then all candidates between different components are verified. Tokens
+   that only one class has bound the similarity of each pair from above; what cannot link is no candidate.
 """
 
 from __future__ import annotations
@@ -74,8 +76,21 @@ class Threshold:
     def needed_sql(self, n: str) -> str:
         return f"(({n} * {self.num} + {self.den - 1}) div {self.den})"
 
-    def sizes_fit(self, a: str, b: str) -> Column:
-        return (F.least(a, b) * self.den) >= (F.greatest(a, b) * self.num)
+    def may_link(self, a: str, b: str) -> Column:
+        """False for sets that cannot be similar, by ``n_x`` and by ``own_x``, the tokens that no other set
+        has: these are in the union and not in the intersection."""
+        n, own = (lambda x: F.col(f"n_{x}")), (lambda x: F.col(f"own_{x}"))
+        shared = [n(x) - own(x) for x in (a, b)]
+        whole = own(a) + own(b) + F.greatest(*shared)
+        return F.least(*shared) * self.den >= whole * self.num
+
+    def prefix_overlap(self, a: str, b: str) -> Column:
+        """Tokens that the chosen prefixes of two similar sets share at least."""
+        both = F.expr(
+            f"((n_{a} + n_{b}) * {self.num} + {self.num + self.den - 1}) div {self.num + self.den}"
+        )
+        after = [F.expr(f"{self.needed_sql(f'n_{x}')} - l_{x}") for x in (a, b)]
+        return F.greatest(both - F.greatest(*after), F.lit(1))
 
     def similar(self, both: Column, a: str, b: str) -> Column:
         return both * self.den >= (F.col(a) + F.col(b) - both) * self.num
@@ -155,8 +170,9 @@ def full_sets(docs: DataFrame, chosen: DataFrame, k: int, key: str, text: str) -
 
 
 def postings(sets: DataFrame, limit: Threshold) -> DataFrame:
-    """Tokens in each class's adaptive prefix that another class has too: ``token, c, n``, ``level`` (the
-    smallest l whose prefix holds the token) and ``l``, the class's choice."""
+    """Tokens in each class's adaptive prefix that another class has too: ``token, c, n``, ``l``, the
+    class's choice, ``own``, how many of its tokens no other class has, and ``common``, the mean frequency of
+    its tokens."""
     rows = sets.select("c", "n", F.explode("tokens").alias("token"))
     frequency = rows.groupBy("token").agg(F.count("*").alias("df"))
     order = Window.partitionBy("c").orderBy("df", "token")
@@ -172,9 +188,14 @@ def postings(sets: DataFrame, limit: Threshold) -> DataFrame:
         .withColumn("level", F.greatest(level, F.lit(1)))
     )
     whole = F.when((level >= 1) & (level <= F.expr(t)), F.struct(cost.alias("cost"), level.alias("l")))
-    chosen = placed.withColumn("l", F.min(whole).over(Window.partitionBy("c")).getField("l"))
-    return chosen.where((F.col("level") <= F.col("l")) & (F.expr(f"place <= n - {t} + l")) & (F.col("df") > 1)).select(
-        "token", "c", "n", "level", "l"
+    of_class = Window.partitionBy("c")
+    chosen = (
+        placed.withColumn("l", F.min(whole).over(of_class).getField("l"))
+        .withColumn("common", F.avg("df").over(of_class))
+        .withColumn("own", F.sum((F.col("df") == 1).cast("int")).over(of_class))
+    )
+    return chosen.where(F.expr(f"place <= n - {t} + l AND df > 1")).select(
+        "token", "c", "n", "l", "own", "common"
     )
 
 
@@ -193,15 +214,18 @@ def verified(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
 
 
 def pivot_pairs(entries: DataFrame, limit: Threshold) -> DataFrame:
-    """Each class with the pivots it shares most tokens with. A posting list's pivot is the member with the
-    smallest hash, so lists of one group of near copies tend to have the same one."""
+    """Each class with the pivots it shares most tokens with. A posting list's pivot is the member whose
+    tokens are the most common: of a text and its variants it is the text, which is nearer to each of them
+    than they are to one another."""
     pivots = entries.groupBy("token").agg(
-        F.min(F.struct(F.xxhash64("c").alias("h"), F.col("c").alias("b"), F.col("n").alias("n_b"))).alias("p")
+        F.max(
+            F.struct("common", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"))
+        ).alias("p")
     )
     shared = (
         entries.join(pivots, "token")
-        .select(F.col("c").alias("a"), "n", "p.b", "p.n_b")
-        .where((F.col("a") != F.col("b")) & limit.sizes_fit("n", "n_b"))
+        .select(F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), "p.*")
+        .where((F.col("a") != F.col("b")) & limit.may_link("a", "b"))
         .groupBy("a", "b")
         .agg(F.count("*").alias("shared"))
     )
@@ -210,8 +234,12 @@ def pivot_pairs(entries: DataFrame, limit: Threshold) -> DataFrame:
 
 
 def candidate_pairs(entries: DataFrame, limit: Threshold, united: DataFrame | None = None) -> DataFrame:
-    """Pairs that share the smaller of both chosen numbers of prefix tokens. With ``united`` (``c``,
-    ``component``), only pairs of different components: lists that lie within one are dropped first."""
+    """Pairs whose prefixes share as many tokens as similar sets must. With ``united`` (``c``,
+    ``component``), only pairs of different components: lists that lie within one are dropped first.
+
+    An entry carries its class's prefix, so the join counts the shared tokens itself and gives a pair once,
+    at the smallest of them.
+    """
     if united is not None:
         entries = entries.join(united, "c", "left").withColumn("component", F.coalesce("component", "c"))
         mixed = (
@@ -222,18 +250,19 @@ def candidate_pairs(entries: DataFrame, limit: Threshold, united: DataFrame | No
         entries = entries.join(mixed.select("token"), "token", "left_semi")
     else:
         entries = entries.withColumn("component", F.col("c"))
-    columns = ["c", "n", "level", "l", "component"]
+    prefixes = entries.groupBy("c").agg(F.collect_list("token").alias("prefix"))
+    entries = entries.join(prefixes, "c")
+    columns = ["c", "n", "l", "own", "component", "prefix"]
     side = lambda x: entries.select("token", *[F.col(c).alias(f"{c}_{x}") for c in columns])
-    least = F.least("l_a", "l_b")
+    shared = F.array_intersect("prefix_a", "prefix_b")
     return (
         side("a")
         .join(side("b"), "token")
         .where((F.col("c_a") < F.col("c_b")) & (F.col("component_a") != F.col("component_b")))
-        .where(limit.sizes_fit("n_a", "n_b") & (F.greatest("level_a", "level_b") <= least))
-        .groupBy(F.col("c_a").alias("a"), F.col("c_b").alias("b"), least.alias("l"))
-        .agg(F.count("*").alias("shared"))
-        .where(F.col("shared") >= F.col("l"))
-        .select("a", "b")
+        .where(limit.may_link("a", "b"))
+        .where(F.size(shared) >= limit.prefix_overlap("a", "b"))
+        .where(F.array_min(shared) == F.col("token"))
+        .select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
     )
 
 

@@ -116,6 +116,23 @@ def test_large_group_of_near_copies_is_not_expanded(spark, documents, prose):
     assert ids == {0}
 
 
+def test_overlap_of_prefixes_is_a_lower_bound():
+    rng = random.Random(8)
+    limit = jaccard.Threshold(85, 100)
+    for _ in range(3000):
+        base = rng.sample(range(60), rng.randint(5, 40))
+        sets = [sorted({x if rng.random() > 0.06 else rng.randint(60, 90) for x in base}) for _ in range(2)]
+        a, b = (set(x) for x in sets)
+        if 100 * len(a & b) < 85 * len(a | b):
+            continue
+        t = [limit.needed(len(x)) for x in sets]
+        for l_a in range(1, t[0] + 1):
+            l_b = rng.randint(1, t[1])
+            first = [set(x[: len(x) - y + z]) for x, y, z in zip(sets, t, (l_a, l_b), strict=True)]
+            need = -(-85 * (len(a) + len(b)) // 185) - max(t[0] - l_a, t[1] - l_b)
+            assert len(first[0] & first[1]) >= need
+
+
 def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 101)], "a bigint, b bigint")
     found = {r["c"]: r["component"] for r in jaccard.components(chain).collect()}
