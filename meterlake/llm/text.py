@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 ASCII_SPACE = frozenset([0x20, *range(0x09, 0x0E)])
 LOWER = np.arange(256, dtype=np.uint8)
@@ -60,6 +60,7 @@ def map_texts(
     keep: Sequence[str],
     text: str = "text",
     where: Callable[[Sequence], np.ndarray] | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Columns ``keep`` and what ``score`` gives for each block of texts. Nothing is shuffled.
 
@@ -75,7 +76,7 @@ def map_texts(
 
     def run(batches):
         for batch in batches:
-            for rows, data, offsets in text_blocks(batch, "_text"):
+            for rows, data, offsets in text_blocks(batch, "_text", block_bytes):
                 new = score(data, offsets)
                 columns = [rows.column(c) for c in kept]
                 columns += [

@@ -16,6 +16,7 @@ WINDOW, STRIDE = 32, 24  # words; neighbouring windows share a quarter
 WORD_BITS, CHAR_BITS = 12, 14  # rows of the two embedding tables
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
 GRAM_SIZES = (3, 4)
+SCORE_BYTES = 1 << 20  # texts scored together; a word they share is looked up once
 MIN_TEXTS = 5  # words and character n-grams in fewer labelled texts have no row of their own
 PAD_GATE = 30.0  # update gate of a padding word: the state passes through unchanged
 
@@ -411,4 +412,6 @@ def classify(
         p = score_block(model, data, offsets)
         return p, (p >= threshold).astype(np.int32)
 
-    return map_texts(docs, score, "score double, predicted int", keep=keep, text=text)
+    return map_texts(
+        docs, score, "score double, predicted int", keep=keep, text=text, block_bytes=SCORE_BYTES
+    )
