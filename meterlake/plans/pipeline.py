@@ -19,7 +19,7 @@ from ..streaming.ingest import finish, start_ingest
 from ..streaming.publish import LoadResult, load_stream
 from . import checks
 from .events import service_daily, silver_events
-from .layout import needs_relayout, relayout
+from .layout import relayout
 from .marts import marts
 from .masters import bronze_master, classify_master, landed_master
 from .serving import SERVING, LookupParameters, lookup_parameters, run_lookups
@@ -115,10 +115,11 @@ class Lake:
         reset: bool = False,
         ingest_ts: Column | None = None,
         watermark: str = fixed.REPLAY_WATERMARK,
-        dedupe: str = "global",
+        dedupe: str = "bounded",
         spread_copies: int = 1,
     ) -> EventIngest:
-        """Stream what has landed since the last call into bronze; re-lay it if anything is new."""
+        """Stream what has landed since the last call into bronze, and re-lay what is not re-laid yet, which
+        may be more if an earlier call was stopped in between."""
         run = self._stream_run(reset)
         query = start_ingest(
             self.spark,
@@ -132,12 +133,9 @@ class Lake:
         )
         new_rows = finish(query)
         target = self.bronze_events_table()
+        laid = relayout(self.spark, f"{run}/events", target, f"{run}/relayout-checkpoint")
         version = target.current()
-        relay = needs_relayout(reset=reset, new_rows=new_rows, published=version is not None)
-        if relay:
-            relayout(self.spark, f"{run}/events", target, f"{run}/relayout-checkpoint")
-            version = target.current()
-        return EventIngest(new_rows, relay, version.rows if version else 0)
+        return EventIngest(new_rows, laid > 0, version.rows if version else 0)
 
     def bronze_events(self) -> DataFrame:
         """Relaid events with their row identity, or an error that says what to run first."""

@@ -29,28 +29,30 @@ def event_stream(
 
 
 def dedupe_stream(
-    events: DataFrame, *, watermark: str, mode: str = "global", spread_copies: int = 1
+    events: DataFrame, *, watermark: str, mode: str = "bounded", spread_copies: int = 1
 ) -> DataFrame:
     """Each event id once. Rows without an id all pass, each under a key of its own: they are not copies of
     one another, and silver quarantines them.
 
-    ``global`` keeps every id seen, forever. ``bounded`` forgets an id once the watermark has passed it,
-    so state stays small, but an id that returns later is let in again; silver removes it then.
+    ``bounded`` forgets an id when it has not come in for as long as ``watermark``, so state stays small; an
+    id that returns later is let in again, and silver removes it then. ``global`` keeps every id seen,
+    forever. The clock of the watermark is the time at which a batch is read, never the event's own: no row
+    is ever late by it, and an event from the future moves nothing.
 
     The copies of one id meet in one task. Where an id may hold much of a batch, ``spread_copies`` deals
     them over that many tasks first, each of which lets one through; ids are then remembered twice.
     """
     if mode not in ("global", "bounded"):
         raise ValueError(f"mode is global or bounded, not {mode}")
-    once = F.coalesce("event_id", F.uuid())
-    keyed = events.withColumn("_once", once).withWatermark("event_ts", watermark)
-    distinct = (
-        DataFrame.dropDuplicates if mode == "global" else DataFrame.dropDuplicatesWithinWatermark
-    )
+    keyed = events.withColumn("_once", F.coalesce("event_id", F.uuid()))
+    distinct = DataFrame.dropDuplicates
+    if mode == "bounded":
+        keyed = keyed.withColumn("_read_at", F.current_timestamp()).withWatermark("_read_at", watermark)
+        distinct = DataFrame.dropDuplicatesWithinWatermark
     if spread_copies > 1:
         dealt = keyed.withColumn("_deal", F.floor(F.rand() * spread_copies))
         keyed = distinct(dealt, ["_once", "_deal"]).drop("_deal")
-    return distinct(keyed, ["_once"]).drop("_once")
+    return distinct(keyed, ["_once"]).drop("_once", "_read_at")
 
 
 def start_ingest(
@@ -61,7 +63,7 @@ def start_ingest(
     *,
     ingest_ts: Column | None = None,
     watermark: str = fixed.REPLAY_WATERMARK,
-    dedupe: str = "global",
+    dedupe: str = "bounded",
     spread_copies: int = 1,
     every: str | None = None,
     files_per_trigger: int = fixed.FILES_PER_TRIGGER,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators.keyed import replace_partitions, upsert
 from meterlake.plans import serving
-from meterlake.plans.layout import file_count, needs_relayout
+from meterlake.plans.layout import file_count
 from meterlake.plans.serving import SERVING
 from meterlake.schemas import columns
 from meterlake.sinks.parquet import save_to, write_partitioned
@@ -134,11 +134,3 @@ def test_partitioned_write(spark, tmp_path, rows, plan):
     assert "PartitionFilters: [isnotnull(p" in plan(stored.where("p = '1'"))
     write_partitioned(df, str(tmp_path / "b"), files=1)
     assert file_count(spark.read.parquet(str(tmp_path / "b"))) == 1
-
-
-@pytest.mark.parametrize(
-    ("reset", "new_rows", "published", "expected"),
-    [(True, 0, True, True), (False, 1, True, True), (False, 0, False, True), (False, 0, True, False)],
-)
-def test_when_to_relayout(reset, new_rows, published, expected):
-    assert needs_relayout(reset=reset, new_rows=new_rows, published=published) is expected
