@@ -117,6 +117,17 @@ class SumOfSquares:
                 yield part
 
 
+# Token ids in one batch that a task gives back.
+BATCH_IDS = 1 << 18
+
+
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    """Arrays as one list array, without a Python object per number."""
+    cuts = np.concatenate(([0], np.cumsum([len(a) for a in arrays])))
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat.astype(np.int32)), type=kind)
+
+
 PIECES = (
     "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
@@ -155,28 +166,34 @@ def pack(
         # Of documents with a piece in an open window: key, tokens, pieces not yet written.
         open_rows: dict[int, list] = {}
         out: list[tuple] = []
-        sequence = row = 0
+        sequence = row = waiting = 0
 
         def write(window: Window) -> None:
-            nonlocal sequence
+            nonlocal sequence, waiting
             offset = 0
             for number, start, ids in window.pieces:
                 entry = open_rows[number]
                 crc = zlib.crc32(ids.astype("<u4").tobytes())
                 piece = (entry[0], start, len(ids), crc, entry[1], base + sequence, offset)
-                out.append((*piece, ids.tolist()) if with_ids else piece)
+                out.append((*piece, ids) if with_ids else piece)
+                waiting += len(ids)
                 offset += len(ids)
                 entry[2] -= len(ids)
                 if not entry[2]:
                     del open_rows[number]
             sequence += 1
 
+        def full_enough() -> bool:
+            return len(out) >= 10_000 or (with_ids and waiting >= BATCH_IDS)
+
         def flush():
+            nonlocal waiting
             columns = list(zip(*out, strict=True)) if out else [[] for _ in arrow]
             out.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
-            )
+            waiting = 0
+            lists = [_lists(columns.pop(), arrow[-1].type)] if with_ids else []
+            values = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=False)]
+            return pa.RecordBatch.from_arrays(values + lists, schema=arrow)
 
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -193,10 +210,12 @@ def pack(
                     if filled is not None:
                         write(filled)
                 row += 1
-                if len(out) >= 10_000:
+                if full_enough():
                     yield flush()
         for window in packer.rest():
             write(window)
+            if full_enough():
+                yield flush()
         yield flush()
 
     return docs.select(key, F.col(text).alias("_text")).mapInArrow(run, schema)
