@@ -79,11 +79,12 @@ def balance(whole: DataFrame, parts: Sequence[DataFrame], table: str) -> DataFra
     return _check(whole.agg(rows().alias("expected")).withColumn("actual", out), table, "row balance")
 
 
-def covered(source: DataFrame, target: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
-    """Every key of the source is in the target, however often it was loaded."""
-    missing = source.join(target.select(*keys), list(keys), "left_anti")
-    counted = missing.agg(F.lit(0).alias("expected"), rows().alias("actual"))
-    return _check(counted, table, "keys covered")
+def identical(source: DataFrame, target: DataFrame, table: str) -> DataFrame:
+    """Rows that only one of the two has, by all columns of the source: none."""
+    stored = target.select(*source.columns)
+    differing = source.exceptAll(stored).unionAll(stored.exceptAll(source))
+    counted = differing.agg(F.lit(0).alias("expected"), rows().alias("actual"))
+    return _check(counted, table, "same rows")
 
 
 def reconcile(

@@ -36,15 +36,21 @@ def landed_master(
 
 
 def bronze_master(landed: DataFrame, table: MasterTable) -> DataFrame:
-    """The latest row per key. All rows of one load share a stamp, so content decides between them."""
-    return keep_latest(landed, table.keys, content_order(landed, ["ingest_ts"]))
+    """The latest row per key. All rows of one load share a stamp, so content decides between them. Rows with
+    a null in the key are not copies of one another: all of them stay, and silver quarantines each."""
+    keyed = landed.where(~_without_key(table))
+    latest = keep_latest(keyed, table.keys, content_order(landed, ["ingest_ts"]))
+    return latest.unionByName(landed.where(_without_key(table)))
+
+
+def _without_key(table: MasterTable) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in table.keys])
 
 
 def classify_master(bronze: DataFrame, table: MasterTable, customers: DataFrame | None = None) -> DataFrame:
     """Conformed text plus the reason, if any, to quarantine the row: a null key, or an unknown org."""
     rows = conform(bronze, table.conform)
-    no_key = reduce(or_, [F.col(k).isNull() for k in table.keys])
-    rules = [Rule(NULL_KEY, no_key)]
+    rules = [Rule(NULL_KEY, _without_key(table))]
     if not table.owned_by_org or customers is None:
         return apply_rules(rows, rules)
     orgs = customers.select("org_id").distinct().withColumn(_KNOWN, F.lit(True))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,13 +17,13 @@ from ..files import exists
 from ..session import scratch
 from ..sources.versioned import VersionedTable
 from ..streaming.ingest import finish, start_ingest
-from ..streaming.publish import LoadResult, load_stream
+from ..streaming.publish import LoadResult, load_result, load_stream, merge_batch, refused_table
 from . import checks
 from .events import service_daily, silver_events
 from .layout import relayout
 from .marts import marts
 from .masters import bronze_master, classify_master, landed_master
-from .serving import SERVING, LookupParameters, lookup_parameters, run_lookups
+from .serving import SERVING, LookupParameters, lookup_parameters, run_lookups, to_serving
 
 # Silver rows are written once, split by outcome: reading one outcome prunes the other's files.
 OUTCOME, VALID, QUARANTINED = "outcome", "valid", "quarantined"
@@ -117,6 +118,7 @@ class Lake:
         watermark: str = fixed.REPLAY_WATERMARK,
         dedupe: str = "bounded",
         spread_copies: int = 1,
+        files_per_trigger: int = fixed.FILES_PER_TRIGGER,
     ) -> EventIngest:
         """Stream what has landed since the last call into bronze, and re-lay what is not re-laid yet, which
         may be more if an earlier call was stopped in between."""
@@ -130,6 +132,7 @@ class Lake:
             watermark=watermark,
             dedupe=dedupe,
             spread_copies=spread_copies,
+            files_per_trigger=files_per_trigger,
         )
         new_rows = finish(query)
         target = self.bronze_events_table()
@@ -148,8 +151,9 @@ class Lake:
     def build_silver_master(self, name: str) -> None:
         table = fixed.MASTERS[name]
         customers = self.silver("customers_orgs") if table.owned_by_org else None
-        classified = classify_master(self.bronze_table(name).read(), table, customers)
-        self.silver_table(name).publish(_with_outcome(classified), partition_by=(OUTCOME, "ingest_date"))
+        with scratch(self.spark):
+            classified = classify_master(self.bronze_table(name).read(), table, customers)
+            self.silver_table(name).publish(_with_outcome(classified), partition_by=(OUTCOME, "ingest_date"))
 
     def build_silver_events(self, as_of: Column | None = None) -> None:
         table = self.silver_table("usage_events")
@@ -190,18 +194,31 @@ class Lake:
             self.build_mart(name)
 
     # Serving ------------------------------------------------------------------------------------------
-    def load_serving(self, name: str) -> LoadResult:
-        version = self.mart_table(name).current()
+    def load_serving(
+        self, name: str, *, transform: Callable[[DataFrame], DataFrame] | None = None
+    ) -> LoadResult:
+        """Serve the current version of a mart. Marts are rebuilt in full, so what it lacks goes."""
+        version, target = self.mart_table(name).current(), self.serving_table(name)
+        checkpoint = f"{self.root}/serving/{name}/checkpoint"
+        if not version.rows:  # no files, so the stream would see nothing
+            token = f"{checkpoint}#{version.folders[-1]}"
+            merge_batch(target, SERVING[name], self.mart(name), token=token, whole=True)
+            return load_result(target, SERVING[name], 0)
         return load_stream(
             self.spark,
             version.folders[-1],
-            self.serving_table(name),
+            target,
             SERVING[name],
-            f"{self.root}/serving/{name}/checkpoint",
-            order_by=("gold_ts",) if "gold_ts" in SERVING[name].schema.names else (),
+            checkpoint,
+            transform=transform,
             schema=version.struct,
+            whole=True,
         )
 
+    def refused(self, name: str) -> DataFrame:
+        """Rows of a mart that its serving table refuses, with the columns that are null in them."""
+        return refused_table(self.serving_table(name), SERVING[name]).read_or_empty()
+
     def load_all_serving(self) -> list[LoadResult]:
         return [self.load_serving(name) for name in SERVING]
 
@@ -210,6 +227,8 @@ class Lake:
             self.mart("org_daily_usage_by_service"),
             self.mart("org_top_services_by_cost"),
             self.mart("tickets_by_org_date"),
+            self.mart("revenue_by_org_month"),
+            self.mart("genai_tokens_by_org_date"),
             org_id,
         )
 
@@ -237,6 +256,28 @@ class Lake:
         ]
         return sum(table.expire(keep) for table in tables)
 
+    # Counters -----------------------------------------------------------------------------------------
+    def master_counters(self) -> DataFrame:
+        """(dataset, raw_count, deduped_count, removed_duplicates) of each master."""
+        return checks.suite(
+            checks.ingest_counters(
+                landed_master(self.spark, table, f"{self.root}/landing/{name}.csv"),
+                self.bronze_table(name).read(),
+                name,
+            )
+            for name, table in fixed.MASTERS.items()
+        )
+
+    def event_counters(self) -> DataFrame:
+        """One row: events in, valid, quarantined, flagged, and by rule."""
+        return checks.event_counters(self.silver_table("usage_events").read())
+
+    def reason_counts(self, name: str) -> DataFrame:
+        return checks.reason_counts(self.quarantine(name))
+
+    def quarantine_sample(self, n: int = 5) -> DataFrame:
+        return checks.quarantine_sample(self.quarantine("usage_events"), n)
+
     # Checks -------------------------------------------------------------------------------------------
     def check_bronze(self) -> DataFrame:
         masters = [
@@ -291,11 +332,13 @@ class Lake:
         return checks.suite(found)
 
     def check_serving(self) -> DataFrame:
-        """Every key of each mart is served."""
-        return checks.suite(
-            checks.covered(self.mart(n), self.serving_table(n).read(), table.keys, f"serving.{n}")
-            for n, table in SERVING.items()
-        )
+        """Each mart is served row by row, nothing else is, and what is missing was refused."""
+        found = []
+        for name, table in SERVING.items():
+            mart, served = self.mart(name), self.serving_table(name).read()
+            found.append(checks.identical(to_serving(mart, table), served, f"serving.{name}"))
+            found.append(checks.balance(mart, [served, self.refused(name)], f"serving.{name}"))
+        return checks.suite(found)
 
     def snapshot(self) -> DataFrame:
         """(metric, n): row counts of the layers, to compare before and after a rerun."""

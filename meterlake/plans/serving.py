@@ -16,7 +16,8 @@ from ..schemas import columns
 
 @dataclass(frozen=True)
 class ServingTable:
-    """Key layout and columns. A ``not null`` column refuses a null: the load fails, as in a key store."""
+    """Key layout and columns. A row with a null in a ``not null`` column is refused: loads keep it apart,
+    with the names of those columns, and serve the others."""
 
     name: str
     partition_key: tuple[str, ...]
@@ -81,17 +82,28 @@ SERVING: dict[str, ServingTable] = {
 }
 
 
-def _served(field: T.StructField, table: str) -> Column:
-    value = F.col(field.name).cast(field.dataType)
-    if field.nullable:
-        return value.alias(field.name)
-    refuse = F.raise_error(F.lit(f"{table}.{field.name} is null")).cast(field.dataType)
-    return F.coalesce(value, refuse).alias(field.name)
+REFUSED = "_refused"
+
+
+def refused_schema(table: ServingTable) -> T.StructType:
+    """Of refused rows: the table's columns and the names of those that are null and must not be."""
+    names = T.StructField(REFUSED, T.ArrayType(T.StringType()))
+    return T.StructType([*[T.StructField(f.name, f.dataType) for f in table.schema], names])
+
+
+def judged(mart: DataFrame, table: ServingTable, *also: Column) -> DataFrame:
+    """All rows of the mart in the table's columns and types, with REFUSED; ``also`` are further columns."""
+    values = {f.name: F.col(f.name).cast(f.dataType) for f in table.schema}
+    required = [f.name for f in table.schema if not f.nullable]
+    missing = F.filter(
+        F.array(*[F.when(values[c].isNull(), F.lit(c)) for c in required]), lambda name: name.isNotNull()
+    )
+    return mart.select(*[v.alias(c) for c, v in values.items()], missing.alias(REFUSED), *also)
 
 
 def to_serving(mart: DataFrame, table: ServingTable) -> DataFrame:
-    """The mart's columns that the table has, in its types."""
-    return mart.select(*[_served(f, table.name) for f in table.schema])
+    """The mart's rows that the table takes, in its columns and types."""
+    return judged(mart, table).where(F.size(REFUSED) == 0).drop(REFUSED)
 
 
 def laid_out(df: DataFrame, table: ServingTable) -> DataFrame:
@@ -185,14 +197,7 @@ def genai_tokens_daily(df: DataFrame, org_id: str, start_date, end_date) -> Data
 
 
 # Parameters of the lookups, found in the marts -------------------------------------------------------
-# Used where a mart has nothing for the org.
-DEFAULT_ORG = "org_rixa11dp"
-DEFAULT_TICKET_PERIOD = ("2025-08-01", "2025-08-31")
-DEFAULT_PERIODS = {
-    "daily_costs": ("2025-07-01", "2025-08-31"),
-    "revenue": ("2025-06-01", "2025-08-01"),
-    "genai": ("2025-08-01", "2025-08-31"),
-}
+Period = tuple[date | None, date | None]
 
 
 def top_org(usage: DataFrame) -> DataFrame:
@@ -221,39 +226,61 @@ def top_services_period(tops: DataFrame, usage: DataFrame, org_id: str) -> DataF
 
 
 def tickets_period(tickets: DataFrame, org_id: str, severity: str = "high") -> DataFrame:
-    """One row: the days that end at the last ticket of that org and severity."""
-    default_start, default_end = (F.lit(d).cast("date") for d in DEFAULT_TICKET_PERIOD)
+    """One row: the days that end at the last ticket of that org and severity; nulls if it has none."""
     return (
         tickets.where((F.col("org_id") == org_id) & (F.col("severity") == severity))
         .agg(F.max("ticket_date").alias("last"))
         .select(
-            F.coalesce(F.date_sub("last", fixed.TICKET_WINDOW_DAYS - 1), default_start).alias("period_start"),
-            F.coalesce("last", default_end).alias("period_end"),
+            F.date_sub("last", fixed.TICKET_WINDOW_DAYS - 1).alias("period_start"),
+            F.col("last").alias("period_end"),
         )
     )
 
 
+def whole_period(mart: DataFrame, day: str, org_id: str) -> DataFrame:
+    """One row: the first and last day that the mart has for the org; nulls if it has none."""
+    return mart.where(F.col("org_id") == org_id).agg(
+        F.min(day).alias("period_start"), F.max(day).alias("period_end")
+    )
+
+
 @dataclass(frozen=True)
 class LookupParameters:
+    """A period without days answers with no rows."""
+
     org_id: str
-    top_period: tuple[date, date]
-    ticket_period: tuple[date, date]
+    top_period: Period
+    ticket_period: Period
+    daily_costs_period: Period
+    revenue_period: Period
+    genai_period: Period
     severity: str = "high"
     top_n: int = fixed.TOP_SERVICES
-    daily_costs_period: tuple[str, str] = DEFAULT_PERIODS["daily_costs"]
-    revenue_period: tuple[str, str] = DEFAULT_PERIODS["revenue"]
-    genai_period: tuple[str, str] = DEFAULT_PERIODS["genai"]
 
 
 def lookup_parameters(
-    usage: DataFrame, tops: DataFrame, tickets: DataFrame, org_id: str | None = None
+    usage: DataFrame,
+    tops: DataFrame,
+    tickets: DataFrame,
+    revenue: DataFrame,
+    genai: DataFrame,
+    org_id: str | None = None,
 ) -> LookupParameters:
-    """Resolve one org and its periods: three one-row answers."""
+    """Resolve one org, the one of the highest cost unless given, and its periods, all from the marts: a few
+    one-row answers."""
     if org_id is None:
         first = top_org(usage).first()
-        org_id = first["org_id"] if first else DEFAULT_ORG
-    top_period = tuple(top_services_period(tops, usage, org_id).first())
-    return LookupParameters(org_id, top_period, tuple(tickets_period(tickets, org_id).first()))
+        if first is None:
+            raise LookupError("the usage mart is empty: name an org")
+        org_id = first["org_id"]
+    periods = (
+        top_services_period(tops, usage, org_id),
+        tickets_period(tickets, org_id),
+        whole_period(usage, "usage_date", org_id),
+        whole_period(revenue, "billing_month", org_id),
+        whole_period(genai, "usage_date", org_id),
+    )
+    return LookupParameters(org_id, *[tuple(period.first()) for period in periods])
 
 
 def run_lookups(tables: dict[str, DataFrame], p: LookupParameters) -> dict[str, DataFrame]:

@@ -50,8 +50,15 @@ def _fallback_folder() -> str:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``. Unset only in tests: a temporary one."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _fallback_folder()
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset, a temporary one, but only
+    if driver and executors are one process; on a cluster the others would not see it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    return _fallback_folder()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,7 +1,8 @@
 """A folder of immutable table versions and a small commit log that says which one is current.
 
-A new version is written beside the old one and becomes visible with one appended log line, so a job
-never overwrites what it reads and a crash leaves the last good version in place.
+A new version is written beside the old one and becomes visible with one more log line, so a job
+never overwrites what it reads and a crash leaves the last good version in place. It is a pointer for one
+writer at a time, not a transaction log: a second commit of a number is refused, and nothing is merged.
 """
 
 from __future__ import annotations
@@ -105,7 +106,8 @@ class VersionedTable:
         )
         fields = {f.name: F.lit(getattr(version, f.name)).cast(f.dataType) for f in _LOG}
         line = self.spark.range(1).select(*[value.alias(name) for name, value in fields.items()])
-        line.coalesce(1).write.mode("append").json(self._path)
+        # A folder per number, never written twice: of two writers that saw the same version one fails.
+        line.coalesce(1).write.mode("errorifexists").json(f"{self._path}/commit={version.version}")
         return version
 
     def expire(self, keep: int = 2) -> int:

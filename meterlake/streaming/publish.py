@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedupe import content_order
 from ..operators.keyed import replace_partitions, upsert
-from ..plans.serving import ServingTable, laid_out, to_serving
+from ..plans.serving import REFUSED, ServingTable, judged, laid_out, refused_schema
 from ..session import scratch, settle
 from ..sources.versioned import VersionedTable
 from .ingest import finish
@@ -21,6 +22,32 @@ class LoadResult:
     table: str
     input_rows: int
     served_rows: int
+    refused_rows: int = 0
+
+
+# When a mart was built, and when a row's load was; the second is the first where a mart has it.
+STAMP, LOADED = "gold_ts", "_loaded"
+
+
+def refused_table(target: VersionedTable, table: ServingTable) -> VersionedTable:
+    """Rows that loads of a serving table have refused, with the columns that are null in them."""
+    return VersionedTable(target.spark, f"{target.root}/refused", refused_schema(table))
+
+
+def _load_time(batch: DataFrame, table: ServingTable) -> Column:
+    """The stamp of the mart. Without one, upserts go by the time of the row's file; the files of one load
+    differ in it, so a batch of whole partitions counts as one load."""
+    if STAMP in batch.columns:
+        return F.col(STAMP).cast("timestamp")
+    if LOADED in batch.columns and not table.replaces_partitions:
+        return F.col(LOADED)
+    return F.lit(None).cast("timestamp")
+
+
+def _newest_load(changes: DataFrame, partition_key: Sequence[str]) -> DataFrame:
+    """Of each partition the rows of its newest load."""
+    newest = changes.groupBy(*partition_key).agg(F.max(LOADED).alias("_newest"))
+    return changes.join(newest, list(partition_key)).where(F.col(LOADED).eqNullSafe(F.col("_newest")))
 
 
 def merge_batch(
@@ -30,21 +57,43 @@ def merge_batch(
     *,
     order_by: Sequence[str] = (),
     token: str | None = None,
+    whole: bool = False,
 ) -> None:
     """Bring one batch into the table as a new version. A token seen before makes it a no-op, so a batch
-    that a restart replays counts once. Executors do all of it; the driver sees no rows."""
+    that a restart replays counts once. Executors do all of it; the driver sees no rows.
+
+    If a batch holds several loads, the last one wins: for each key, or for each partition where the table
+    replaces those. ``whole``: the batch is all there is, and what it lacks goes. Rows with a null in a
+    required column are refused and written to ``refused_table``."""
     if token is not None and target.committed(token):
         return
     with scratch(batch.sparkSession):
-        changes = settle(to_serving(batch, table), f"serving-{table.name}")
+        loaded = _load_time(batch, table).alias(LOADED)
+        stored = settle(judged(batch, table, loaded), f"serving-{table.name}")
+        _keep_refused(target, table, stored.where(F.size(REFUSED) > 0), token, whole)
+        changes = stored.where(F.size(REFUSED) == 0).drop(REFUSED)
         existing = target.read_or_empty()
+        if whole:
+            existing = existing.where(F.lit(False))
         if table.replaces_partitions:
+            changes = _newest_load(changes, table.partition_key)
             merged = replace_partitions(existing, changes, table.partition_key)
         else:
-            merged = upsert(existing, changes, table.keys, content_order(changes, order_by))
+            merged = upsert(existing, changes, table.keys, content_order(changes, [LOADED, *order_by]))
         target.publish(laid_out(merged, table), arranged=True, token=token)
 
 
+def _keep_refused(
+    target: VersionedTable, table: ServingTable, refused: DataFrame, token: str | None, whole: bool
+) -> None:
+    kept = refused_table(target, table)
+    if token is not None and kept.committed(token):
+        return
+    if refused.isEmpty() and not (whole and kept.current()):
+        return
+    kept.publish(refused.select(*kept.schema.names), append=not whole, token=token)
+
+
 def load_stream(
     spark: SparkSession,
     source: str,
@@ -55,34 +104,43 @@ def load_stream(
     order_by: Sequence[str] = (),
     transform: Callable[[DataFrame], DataFrame] | None = None,
     schema: T.StructType | None = None,
+    whole: bool = False,
 ) -> LoadResult:
     """Stream a mart's Parquet files into its serving table; only files not loaded before are read.
 
     Without a cap on files per trigger all new files form one batch, so a load writes one version. The
-    schema is taken from the files unless given.
+    schema is taken from the files unless given. ``transform`` changes a batch before it is merged.
     """
     schema = schema or spark.read.parquet(source).schema
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        merge_batch(target, table, rows, order_by=order_by, token=f"{checkpoint}#{batch_id}")
+        token = f"{checkpoint}#{batch_id}"
+        merge_batch(target, table, rows, order_by=order_by, token=token, whole=whole)
 
     query = (
         spark.readStream.schema(schema)
         .parquet(source)
+        .select("*", F.col("_metadata.file_modification_time").alias(LOADED))
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    loaded = finish(query)
-    current = target.current()
-    return LoadResult(table.name, loaded, current.rows if current else 0)
+    return load_result(target, table, finish(query))
+
+
+def load_result(target: VersionedTable, table: ServingTable, input_rows: int) -> LoadResult:
+    served, refused = target.current(), refused_table(target, table).current()
+    return LoadResult(
+        table.name, input_rows, served.rows if served else 0, refused.rows if refused else 0
+    )
 
 
 def load_frame(
     df: DataFrame, staging: str, target: VersionedTable, table: ServingTable, checkpoint: str
 ) -> LoadResult:
-    """Stage a frame as files of their own, then load them as a stream."""
-    df.write.mode("append").parquet(staging)
+    """Stage a frame as files of their own, stamped with the time, then load them as a stream."""
+    stamped = df if STAMP in df.columns else df.withColumn(STAMP, F.current_timestamp())
+    stamped.write.mode("append").parquet(staging)
     return load_stream(df.sparkSession, staging, target, table, checkpoint)

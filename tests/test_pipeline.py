@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meterlake import catalog
 from meterlake.plans import checks
 from meterlake.plans.layout import merge_folders
+from meterlake.plans.masters import bronze_master, with_lineage
 from meterlake.plans.pipeline import Lake
 from meterlake.session import work_folder
 
@@ -112,7 +113,33 @@ def test_lookups(lake, rows):
         (date(2025, 8, 10), "compute"),
         (date(2025, 8, 12), "compute"),
     ]
-    assert lake.lookup_parameters("none").ticket_period == (date(2025, 8, 1), date(2025, 8, 31))
+    assert p.revenue_period == (date(2025, 7, 1), date(2025, 7, 1))
+    assert rows(found["monthly_revenue"], "invoice_count") == [(3,)]
+    nobody = lake.lookup_parameters("none")
+    assert nobody.ticket_period == nobody.revenue_period == (None, None)
+    assert all(rows(answer) == [] for answer in lake.lookups(nobody).values())
+
+
+def test_counters(lake, rows):
+    counted = {r["dataset"]: r["removed_duplicates"] for r in lake.master_counters().collect()}
+    assert counted.pop("customers_orgs") == 1 and set(counted.values()) == {0}
+    events = lake.event_counters().first()
+    assert (events["raw_count"], events["valid_count"], events["quarantine_count"]) == (len(FIRST), 7, 12)
+    assert sum(r["n"] for r in lake.reason_counts("usage_events").collect()) == 12
+    assert lake.quarantine_sample(3).count() == 3
+
+
+def test_masters_without_key_all_stay(spark, rows):
+    users = catalog.MASTERS["users"]
+    data = [(None, "o1", "x"), (None, "o1", "x"), (None, "o2", "y"), ("u1", "o1", "a"), ("u1", "o1", "b")]
+    landed = spark.createDataFrame(data, "user_id string, org_id string, email string")
+    stamped = with_lineage(landed, F.lit("f"), F.lit("2025-01-01").cast("timestamp"))
+    assert rows(bronze_master(stamped, users), "user_id", "org_id", "email") == [
+        ("u1", "o1", "b"),
+        (None, "o1", "x"),
+        (None, "o1", "x"),
+        (None, "o2", "y"),
+    ]
 
 
 def test_rerun_changes_nothing_then_new_events_arrive(lake, rows):

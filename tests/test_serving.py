@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 import pytest
@@ -10,7 +11,7 @@ from meterlake.plans.serving import SERVING
 from meterlake.schemas import columns
 from meterlake.sinks.parquet import save_to, write_partitioned
 from meterlake.sources.versioned import VersionedTable
-from meterlake.streaming.publish import load_stream, merge_batch
+from meterlake.streaming.publish import load_stream, merge_batch, refused_table
 
 TICKETS = SERVING["tickets_by_org_date"]
 DAY = date(2025, 8, 10)
@@ -43,9 +44,12 @@ def test_replaced_partitions_keep_nothing_stale(spark, rows):
 def test_projection_casts_and_refuses_nulls(spark):
     good = serving.to_serving(tickets(spark, row()), TICKETS)
     assert [(f.name, f.dataType) for f in good.schema] == [(f.name, f.dataType) for f in TICKETS.schema]
-    bad = serving.to_serving(tickets(spark, row(severity=None)), TICKETS)
-    with pytest.raises(Exception, match="tickets_by_org_date.severity is null"):
-        bad.collect()
+    mixed = tickets(spark, row(), row(org="o2", severity=None, day=None))
+    assert [r["org_id"] for r in serving.to_serving(mixed, TICKETS).collect()] == ["o1"]
+    assert [r[serving.REFUSED] for r in serving.judged(mixed, TICKETS).collect()] == [
+        [],
+        ["severity", "ticket_date"],
+    ]
 
 
 def test_stream_load_is_idempotent(spark, tmp_path, rows):
@@ -70,12 +74,52 @@ def test_a_replayed_batch_counts_once(spark, tmp_path, rows):
     assert target.current().version == version
 
 
-def test_a_bad_row_fails_the_load_and_leaves_the_table(spark, tmp_path, rows):
+def test_a_bad_row_is_refused_and_the_others_are_served(spark, tmp_path, rows):
     target = VersionedTable(spark, str(tmp_path / "served"), TICKETS.schema)
     merge_batch(target, TICKETS, tickets(spark, row()), token="q#0")
-    with pytest.raises(Exception, match="is null"):
+    for _ in range(2):
         merge_batch(target, TICKETS, tickets(spark, row(org="o2"), row(org=None)), token="q#1")
-    assert rows(target.read(), "org_id") == [("o1",)]
+    assert rows(target.read(), "org_id") == [("o1",), ("o2",)]
+    refused = refused_table(target, TICKETS)
+    assert rows(refused.read(), "org_id", "severity", serving.REFUSED) == [(None, "high", ["org_id"])]
+    merge_batch(target, TICKETS, tickets(spark, row(org="o3")), token="q#2", whole=True)
+    assert rows(target.read(), "org_id") == [("o3",)]
+    assert rows(refused.read()) == []
+
+
+def test_the_last_of_two_pending_loads_wins(spark, tmp_path, rows):
+    source = str(tmp_path / "mart")
+    for count in (9, 3):
+        tickets(spark, row(count=count)).write.mode("append").parquet(source)
+        time.sleep(0.05)
+    target = VersionedTable(spark, str(tmp_path / "served"), TICKETS.schema)
+    load_stream(spark, source, target, TICKETS, str(tmp_path / "checkpoint"))
+    assert rows(target.read(), "ticket_count") == [(3,)]
+
+
+def test_of_two_pending_loads_of_a_partition_the_last_replaces_it(spark, tmp_path, rows):
+    spec = SERVING["org_top_services_by_cost"]
+    load = "org_id string, period_end date, rank int, service string, period_start date, accumulated_cost_usd double"
+    pending = [
+        spark.createDataFrame([(org, DAY, r, f"s{r}", DAY, 1.0) for org in orgs for r in range(1, n + 1)], load)
+        .withColumn("gold_ts", F.lit(f"2025-08-1{day} 00:00:00").cast("timestamp"))
+        for day, n, orgs in ((0, 5, ("o1", "o2")), (1, 3, ("o1",)))
+    ]
+    target = VersionedTable(spark, str(tmp_path / "served"), spec.schema)
+    merge_batch(target, spec, pending[0].unionAll(pending[1]))
+    assert rows(target.read(), "org_id", "rank") == [("o1", r) for r in (1, 2, 3)] + [
+        ("o2", r) for r in (1, 2, 3, 4, 5)
+    ]
+
+
+def test_two_writers_of_one_version_do_not_both_commit(spark, tmp_path, rows, monkeypatch):
+    table = VersionedTable(spark, str(tmp_path / "t"), columns("id bigint"))
+    table.publish(spark.range(3))
+    stale = VersionedTable(spark, str(tmp_path / "t"), columns("id bigint"))
+    monkeypatch.setattr(stale, "current", lambda: None)
+    with pytest.raises(Exception, match="(?i)already exists"):
+        stale.publish(spark.range(1))
+    assert rows(table.read()) == [(0,), (1,), (2,)]
 
 
 def test_layout_is_sorted_and_lookups_reach_the_scan(spark, tmp_path, plan):

@@ -67,13 +67,21 @@ CTES: dict[str, str] = {
     "touches_raw": select_sql(LANDED["marketing_touches"]),
     "surveys_raw": select_sql(LANDED["nps_surveys"]),
     "events_raw": select_sql(LANDED["usage_events"]),
-    "billing": select_sql(BILLING),
+    "billing_raw": select_sql(BILLING),
+    "billing_latest": """
+        SELECT *, row_number() OVER (
+                   PARTITION BY invoice_id
+                   ORDER BY org_id DESC NULLS LAST, month DESC NULLS LAST, subtotal DESC NULLS LAST,
+                            credits DESC NULLS LAST, taxes DESC NULLS LAST, currency DESC NULLS LAST,
+                            exchange_rate_to_usd DESC NULLS LAST) AS nth
+        FROM billing_raw""",
     "customers": f"""
         SELECT org_id, {text("org_name")} AS org_name, {text("industry")} AS industry,
                {region("hq_region")} AS hq_region, {text("plan_tier")} AS plan_tier,
                {text("lifecycle_stage")} AS lifecycle_stage, {flag("is_enterprise")} AS is_enterprise,
                {day("signup_date")} AS signup_date, {number("nps_score")} AS nps_score
         FROM customers_raw WHERE org_id IS NOT NULL""",
+    "billing": _owned("billing_latest", "*") + " AND nth = 1",
     "users_typed": f"""
         SELECT user_id, org_id, {text("email")} AS email, {text("role")} AS role,
                {flag("active")} AS active, {day("created_at")} AS created_at,

@@ -14,7 +14,7 @@ from meterlake.catalog import MASTERS
 from meterlake.functions.parse import typed
 from meterlake.operators.rules import valid_rows
 from meterlake.plans.events import to_bronze
-from meterlake.plans.masters import classify_master
+from meterlake.plans.masters import bronze_master, classify_master, with_lineage
 from meterlake.sources.tables import ROW_ID, with_row_id
 
 AS_OF = "2024-01-30 00:00:00"
@@ -198,8 +198,13 @@ def landed(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def billing(spark: SparkSession, sf: str) -> DataFrame:
+    """Invoices of silver: one per id, of known orgs."""
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    return _columns(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), BILLING)
+    raw = _columns(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), BILLING)
+    invoices = MASTERS["billing_monthly"]
+    stamped = with_lineage(raw, F.lit("landing/billing_monthly"), F.lit(AS_OF).cast("timestamp"))
+    bronze_rows = bronze_master(stamped, invoices)
+    return valid_rows(classify_master(bronze_rows, invoices, silver(spark, sf, "customers_orgs")))
 
 
 def bronze(spark: SparkSession, sf: str, name: str) -> DataFrame:
