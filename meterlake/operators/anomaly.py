@@ -91,6 +91,5 @@ def flag_cost_anomalies(
     base = settle_measured(cost_statistics(counted, group, cost), "cost-statistics")
     deviation = median_deviation(counted, base, group, cost, spread_by)
     statistics = settle_measured(base.df.join(deviation, list(group), "left"), "cost-deviations")
-    return lookup_join(events, statistics, group, spread_by=spread_by).withColumns(
-        flag_conditions(cost)
-    ).drop("mean_cost", "std_cost", "p01_cost", "median_cost", "p99_cost", "mad_cost")
+    joined = lookup_join(events, statistics, group, spread_by=spread_by, count_in=counted)
+    return joined.withColumns(flag_conditions(cost)).drop("mean_cost", "std_cost", "p01_cost", "median_cost", "p99_cost", "mad_cost")

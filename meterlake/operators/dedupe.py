@@ -51,19 +51,22 @@ def mark_surplus(
 ) -> DataFrame:
     """Add the flag SURPLUS: true on each row of a repeated key but its latest. A key with a null is not marked.
 
-    No window over the key, since all copies of one key would sort in one task. The winner of each
-    repeated key is found by a partial aggregate over a few columns; its row identity is then looked up
-    from the full rows, which are shuffled only if there are too many repeated keys to broadcast.
+    No window over the key, since all copies of one key would sort in one task. The keys alone are counted
+    by hash; only the rows of repeated ones, few columns of them, are ranked, by a partial aggregate. The
+    winner's row identity is then looked up from the full rows, which are shuffled only if there are too
+    many repeated keys to broadcast.
     """
-    ranked = F.max(F.struct(*order_by, *row_id)).alias("top")
-    repeated = (
-        with_keys(df, keys)
-        .groupBy(*keys)
-        .agg(rows().alias("n"), ranked)
-        .where("n > 1")
+    keyed = with_keys(df, keys)
+    counted = keyed.groupBy(*keys).agg(rows().alias("n")).where("n > 1")
+    repeated = settle_measured(counted.select(*keys, F.lit(True).alias("_repeated")), "repeated-keys")
+    narrow = keyed.select(*dict.fromkeys([*keys, *order_by, *row_id]))
+    copies = lookup_join(narrow, repeated, keys, spread_by=row_id).where("_repeated")
+    winners = (
+        copies.groupBy(*keys)
+        .agg(F.max(F.struct(*order_by, *row_id)).alias("top"))
         .select(*keys, *[F.col(f"top.{c}").alias(f"_keep{c}") for c in row_id])
     )
-    marked = lookup_join(df, settle_measured(repeated, "repeated-keys"), keys, spread_by=row_id)
+    marked = lookup_join(df, settle_measured(winners, "kept-copies"), keys, spread_by=row_id)
     kept = reduce(and_, [F.col(c) == F.col(f"_keep{c}") for c in row_id])
     return marked.withColumn(SURPLUS, F.coalesce(~kept, F.lit(False))).drop(
         *[f"_keep{c}" for c in row_id]

@@ -13,8 +13,9 @@ from ..functions.measures import rows
 from ..session import Measured, settle, total_bytes
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.001
-SALTS = 128
+ROWS_PER_TASK = 4_000_000
+MAX_HOT = 100_000
+SALTS = "_salts"
 
 
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,6 +34,7 @@ def lookup_join(
     on: Sequence[str],
     *,
     spread_by: Sequence[str],
+    count_in: DataFrame | None = None,
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Left join. The dimension is measured: small enough, it is broadcast and the facts stay where they
@@ -40,13 +42,15 @@ def lookup_join(
     table, size = dim if isinstance(dim, Measured) else measure(dim)
     if size <= limit_bytes:
         return facts.join(F.broadcast(table), list(on), "left")
-    return salted_join(facts, table, on, spread_by=spread_by)
+    return salted_join(facts, table, on, spread_by=spread_by, count_in=count_in)
 
 
-def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: never more than 1 / share of them."""
-    counts = with_keys(facts.select(*on), on).groupBy(*on).agg(rows().alias("n"))
-    return counts.where(F.col("n") > counts.agg(F.sum("n") * share).scalar()).select(*on)
+def hot_keys(facts: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys of more than ``rows_per_task`` rows, with the number of tasks for each (SALTS). Of more than
+    MAX_HOT of them the most frequent: those left out hold less than a share of 1 / MAX_HOT each."""
+    counts = with_keys(facts.select(*on), on).groupBy(*on).agg(rows().alias("_n"))
+    most = counts.where(F.col("_n") > rows_per_task).orderBy(F.desc("_n")).limit(MAX_HOT)
+    return most.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(SALTS))
 
 
 def salted_join(
@@ -55,33 +59,38 @@ def salted_join(
     on: Sequence[str],
     *,
     spread_by: Sequence[str],
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
+    count_in: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Left join by shuffle in which a key that holds much of the facts is dealt over many tasks.
+    """Left join by shuffle in which a key that holds much of the facts is dealt over many tasks: as many as
+    its rows fill at ``rows_per_task`` each. The dimension's row is repeated once per task, so it grows by
+    one row per ``rows_per_task`` facts at most.
 
-    Only hot keys are salted, so the dimension grows by at most salts / share rows. Facts with a null key
-    match nothing and are dealt out too, instead of meeting in one task. ``spread_by`` must tell copies
-    of a row apart (ROW_ID does).
+    Keys are counted in ``count_in``, the facts before other joins, or in the facts. Facts with a null key
+    match nothing and are dealt out too, instead of meeting in one task. ``spread_by`` must tell copies of a
+    row apart (ROW_ID does).
     """
     on = list(on)
-    hot = F.broadcast(settle(hot_keys(facts, on, share), "hot-keys").withColumn("_hot", F.lit(True)))
+    counted = facts if count_in is None else count_in
+    # Bounded: MAX_HOT rows of a key and a number.
+    hot = F.broadcast(settle(hot_keys(counted, on, rows_per_task), "hot-keys"))
     no_key = reduce(or_, [F.col(c).isNull() for c in on])
-    dealt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    dealt = F.xxhash64(*spread_by)
     left = (
         facts.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, dealt).otherwise(F.lit(0)))
-        .drop("_hot")
+        .withColumn(
+            "_salt",
+            F.when(no_key, dealt).otherwise(F.coalesce(F.pmod(dealt, F.col(SALTS)), F.lit(0))).cast("bigint"),
+        )
+        .drop(SALTS)
     )
     right = (
         dim.join(hot, on, "left")
         .withColumn(
             "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-            ),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(SALTS), F.lit(1)).cast("bigint") - 1)),
         )
-        .drop("_hot")
+        .drop(SALTS)
     )
     return left.join(right, [*on, "_salt"], "left").drop("_salt")
 
@@ -89,8 +98,3 @@ def salted_join(
 def without_match(facts: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key the dimension lacks; a null key is one of them."""
     return facts.join(dim.select(*on), list(on), "left_anti")
-
-
-def with_match(facts: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key the dimension has; repeated keys there do not multiply rows."""
-    return facts.join(dim.select(*on), list(on), "left_semi")

@@ -137,8 +137,9 @@ def reason_counts(quarantined: DataFrame) -> DataFrame:
 
 
 def quarantine_sample(quarantined: DataFrame, n: int = 5) -> DataFrame:
-    """A few rows to look at; any rows, as a sample is the point."""
-    return quarantined.select("event_id", "org_id", "metric", "value", "unit", REASON).limit(n)
+    """A few rows to look at: the first by event id, then by the other columns shown."""
+    shown = ("event_id", "org_id", "metric", "value", "unit", REASON)
+    return quarantined.select(*shown).orderBy(*shown).limit(n)
 
 
 def ingest_counters(landed: DataFrame, kept: DataFrame, dataset: str) -> DataFrame:

@@ -93,10 +93,9 @@ def dimensions(customers: DataFrame, resources: DataFrame, users: DataFrame) ->
     )
 
 
-def enrich(events: DataFrame, known: Dimensions, spread_by: Sequence[str] = ROW_ID) -> DataFrame:
-    """Org, resource and user attributes on every event; the resource's service and region win."""
-    joined = lookup_join(events, known.by_org, ["org_id"], spread_by=spread_by)
-    joined = lookup_join(joined, known.by_resource, ["resource_id"], spread_by=spread_by)
+def with_resource(events: DataFrame, known: Dimensions, spread_by: Sequence[str] = ROW_ID) -> DataFrame:
+    """Resource attributes on every event, whose service and region win, and the metric features."""
+    joined = lookup_join(events, known.by_resource, ["resource_id"], spread_by=spread_by)
     conformed = joined.withColumns(
         {
             "service": F.coalesce("resource_service", clean_service(F.col("service"))),
@@ -104,13 +103,28 @@ def enrich(events: DataFrame, known: Dimensions, spread_by: Sequence[str] = ROW_
             "metric": clean_text(F.col("metric")),
             "unit": clean_text(F.col("unit")),
             "usage_date": F.to_date("event_ts"),
-            "org_user_count": F.coalesce("org_user_count", F.lit(0).cast("bigint")),
-            "org_active_user_count": F.coalesce("org_active_user_count", F.lit(0).cast("bigint")),
         }
     )
     return metric_features(conformed)
 
 
+def with_org(
+    events: DataFrame,
+    known: Dimensions,
+    spread_by: Sequence[str] = ROW_ID,
+    count_in: DataFrame | None = None,
+) -> DataFrame:
+    """Org attributes and user counts on every event."""
+    joined = lookup_join(events, known.by_org, ["org_id"], spread_by=spread_by, count_in=count_in)
+    counts = ("org_user_count", "org_active_user_count")
+    return joined.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in counts})
+
+
+def enrich(events: DataFrame, known: Dimensions, spread_by: Sequence[str] = ROW_ID) -> DataFrame:
+    """Org, resource and user attributes on every event; the resource's service and region win."""
+    return with_org(with_resource(events, known, spread_by), known, spread_by, count_in=events)
+
+
 def event_rules(as_of: Column | None = None) -> list[Rule]:
     """The eleven quarantine rules in order of priority. ``as_of`` is the clock of the future rule."""
     now = F.current_timestamp() if as_of is None else as_of
@@ -164,17 +178,18 @@ def silver_events(
 ) -> DataFrame:
     """Bronze events to classified events. The anomaly statistics count every row, the bad ones too.
 
-    Three passes read a few columns (repeated ids, statistics, deviations), and the last reads the rows
-    and looks the findings up. Enriching again in each pass is cheaper than storing all events once more,
-    unless the dimensions were too large to broadcast and enriching means a shuffle.
+    Passes before the last read a few columns (repeated ids, statistics, deviations) and need resources
+    alone; the last reads the rows, and looks up orgs and the findings. Looking resources up again in each
+    pass is cheaper than storing all events once more, unless they were too large to broadcast and the
+    lookup means a shuffle.
     """
     known = dimensions(customers, resources, users)
-    enriched = enrich(events, known, row_id)
+    stocked = with_resource(events, known, row_id)
     if not known.broadcast:
-        enriched = settle(enriched, "enriched-events")
-    marked = mark_surplus(enriched, ["event_id"], COPY_ORDER, row_id=row_id)
-    flagged = flag_cost_anomalies(marked, spread_by=row_id, population=enriched)
-    return classify(flagged, as_of)
+        stocked = settle(stocked, "events-with-resources")
+    marked = mark_surplus(stocked, ["event_id"], COPY_ORDER, row_id=row_id)
+    flagged = flag_cost_anomalies(marked, spread_by=row_id, population=stocked)
+    return classify(with_org(flagged, known, row_id, count_in=events), as_of)
 
 
 def service_daily(valid: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import catalog as fixed
 from ..operators.rules import REASON, REASONS
@@ -123,11 +124,8 @@ class Lake:
         """Stream what has landed since the last call into bronze, and re-lay what is not re-laid yet, which
         may be more if an earlier call was stopped in between."""
         run = self._stream_run(reset)
-        query = start_ingest(
-            self.spark,
-            f"{self.root}/landing/usage_events_stream/*.jsonl",
-            f"{run}/events",
-            f"{run}/checkpoint",
+        query = self._start_ingest(
+            run,
             ingest_ts=ingest_ts,
             watermark=watermark,
             dedupe=dedupe,
@@ -140,6 +138,15 @@ class Lake:
         version = target.current()
         return EventIngest(new_rows, laid > 0, version.rows if version else 0)
 
+    def start_events(self, every: str, *, reset: bool = False, **options) -> StreamingQuery:
+        """Stream into bronze with a trigger each ``every`` interval until the query is stopped; the options
+        are those of ``ingest_events``, which goes on where it stopped and re-lays what it brought."""
+        return self._start_ingest(self._stream_run(reset), every=every, **options)
+
+    def _start_ingest(self, run: str, **options) -> StreamingQuery:
+        landing = f"{self.root}/landing/usage_events_stream/*.jsonl"
+        return start_ingest(self.spark, landing, f"{run}/events", f"{run}/checkpoint", **options)
+
     def bronze_events(self) -> DataFrame:
         """Relaid events with their row identity, or an error that says what to run first."""
         table = self.bronze_events_table()

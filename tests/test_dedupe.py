@@ -2,6 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from meterlake.operators import dedupe
 from meterlake.operators.dedupe import SURPLUS, drop_copies, keep_latest, mark_surplus
 from meterlake.sources.tables import with_row_id
 
@@ -61,3 +62,15 @@ def test_drop_copies_uses_the_columns_there_are(spark, rows):
 def test_no_window_over_the_key(spark, tmp_path, plan):
     marked = mark_surplus(stored(spark, tmp_path, [("a", 1), ("a", 2)], "k string, t int"), ["k"], ["t"])
     assert "Window" not in plan(marked)
+
+
+def test_only_rows_of_repeated_keys_are_sorted(spark, tmp_path, monkeypatch):
+    """The keys of all rows are counted by hash; the maximum over text, which sorts, sees copies alone."""
+    settled = []
+    real = dedupe.settle_measured
+    monkeypatch.setattr(dedupe, "settle_measured", lambda df, label: settled.append((label, df)) or real(df, label))
+    data = [("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")]
+    mark_surplus(stored(spark, tmp_path, data, "k string, t int, v string"), ["k"], ["t", "v"])
+    plans = {label: df._jdf.queryExecution().executedPlan().toString() for label, df in settled}
+    assert "SortAggregate" not in plans["repeated-keys"] and "HashAggregate" in plans["repeated-keys"]
+    assert "_repeated" in plans["kept-copies"]

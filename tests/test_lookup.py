@@ -19,7 +19,7 @@ def dim(spark):
 
 def test_salted_join_gives_the_plain_left_join(spark, rows):
     expected = rows(facts(spark).join(dim(spark), "k", "left"), "k", "id", "w")
-    salted = salted_join(facts(spark), dim(spark), ["k"], spread_by=["id"], share=0.05, salts=8)
+    salted = salted_join(facts(spark), dim(spark), ["k"], spread_by=["id"], rows_per_task=100)
     assert rows(salted, "k", "id", "w") == expected
     assert len(expected) == 3000
 
@@ -28,16 +28,24 @@ def test_salted_join_deals_out_hot_and_null_keys(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        salted = salted_join(facts(spark), dim(spark), ["k"], spread_by=["id"], share=0.05, salts=64)
+        salted = salted_join(facts(spark), dim(spark), ["k"], spread_by=["id"], rows_per_task=50)
         sizes = [r["count"] for r in salted.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert max(sizes) < 1000, sizes
+    assert max(sizes) < 1100, sizes
 
 
-def test_hot_keys_are_few_by_definition(spark, rows):
-    assert rows(hot_keys(facts(spark), ["k"], 0.05)) == [("hot",)]
+def test_a_hot_key_gets_as_many_tasks_as_its_rows_fill(spark, rows):
+    assert rows(hot_keys(facts(spark), ["k"], 300)) == [("hot", 4)]
+    assert rows(hot_keys(facts(spark), ["k"], 1000)) == []
+
+
+def test_keys_are_counted_where_the_caller_says(spark, rows, plan):
+    wide = facts(spark).join(spark.range(3000), "id")
+    expected = rows(wide.join(dim(spark), "k", "left"), "k", "id", "w")
+    salted = salted_join(wide, dim(spark), ["k"], spread_by=["id"], count_in=facts(spark), rows_per_task=100)
+    assert rows(salted, "k", "id", "w") == expected
 
 
 def test_a_dimension_over_the_limit_is_not_broadcast(spark, rows, plan):
