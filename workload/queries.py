@@ -9,7 +9,7 @@ from meterlake.catalog import MASTERS
 from meterlake.functions.parse import typed
 from meterlake.functions.text import conform
 from meterlake.operators import anomaly
-from meterlake.operators.dedupe import SURPLUS, keep_latest, mark_surplus
+from meterlake.operators.dedupe import SURPLUS, drop_copies, keep_latest, mark_surplus
 from meterlake.operators.lookup import without_match
 from meterlake.operators.rules import REASON, REASONS, quarantined_rows, valid_rows
 from meterlake.plans import checks, events, marts, serving
@@ -25,11 +25,11 @@ ORG = "org-3"
 
 # Shared steps -----------------------------------------------------------------------------------------
 def _event_inputs(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """Bronze events, customers, resources and users. Events and customers, which several steps read, are
-    stored first, as they are in the lake."""
+    """Bronze events, customers, resources and users. Customers, which several steps read, are stored first,
+    as they are in the lake; each pass over events parses the columns it needs."""
     customers = settle(silver(spark, sf, "customers_orgs"), "customers")
     masters = [silver(spark, sf, name, customers) for name in ("resources", "users")]
-    return [settle(bronze_events(spark, sf), "bronze-events"), customers, *masters]
+    return [bronze_events(spark, sf), customers, *masters]
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,6 +136,28 @@ def duplicate_extract(spark, sf):
     return surplus.select(*_LINE_COLUMNS, F.to_date("l_shipdate").alias("l_shipdate"))
 
 
+@query("drop_copies", "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem")
+def copies_dropped(spark, sf):
+    """Of the columns named, those that the table has."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
+    return drop_copies(lines, [*lines.columns, "l_not_there"])
+
+
+@query(
+    "union_missing_columns",
+    """SELECT src, schema_version, metric, CASE WHEN schema_version = 2 THEN carbon_kg END AS carbon_kg,
+              CASE WHEN schema_version = 2 THEN genai_tokens END AS genai_tokens
+       FROM events_raw""",
+)
+def union_missing_columns(spark, sf):
+    """Frames of two schema versions by name; what the older lacks is null."""
+    rows = landed(spark, sf, "usage_events").select(
+        "src", "schema_version", "metric", "carbon_kg", "genai_tokens"
+    )
+    older = rows.where("schema_version = 1").drop("carbon_kg", "genai_tokens")
+    return older.unionByName(rows.where("schema_version = 2"), allowMissingColumns=True)
+
+
 @query(
     "orphan_antijoin",
     """SELECT user_id, org_id FROM users_typed u
@@ -158,6 +180,27 @@ def master_conform(spark, sf):
     return classify_master(users, MASTERS["users"], customers).drop(REASONS)
 
 
+@query(
+    "customers_typed",
+    f"""SELECT org_id, org_name, industry, hq_region, plan_tier, lifecycle_stage, is_enterprise, signup_date,
+               {rounded_sql("nps_score")} FROM customers""",
+)
+def customers_typed(spark, sf):
+    found = silver(spark, sf, "customers_orgs").drop("sales_rep", "marketing_source")
+    return found.withColumn("nps_score", F.round("nps_score", 6))
+
+
+@query(
+    "billing_conform",
+    f"""SELECT invoice_id, org_id, month, {rounded_sql("subtotal credits taxes exchange_rate_to_usd")}
+        FROM billing""",
+)
+def billing_conform(spark, sf):
+    """Invoices of silver: latest per id, of known orgs."""
+    amounts = rounded("subtotal credits taxes exchange_rate_to_usd")
+    return billing(spark, sf).select("invoice_id", "org_id", "month", *amounts)
+
+
 # Enrichment -------------------------------------------------------------------------------------------
 @query("org_user_stats", "SELECT * FROM user_stats")
 def org_user_stats(spark, sf):
@@ -251,6 +294,17 @@ def quarantine_reason_counts(spark, sf):
     return checks.reason_counts(quarantined_rows(classified(spark, sf)))
 
 
+@query(
+    "quarantine_sample",
+    """SELECT event_id, org_id, metric, value, unit, reasons[1] AS error_reason FROM classified
+       WHERE len(reasons) > 0
+       ORDER BY event_id NULLS FIRST, org_id NULLS FIRST, metric NULLS FIRST, value NULLS FIRST,
+                unit NULLS FIRST, reasons[1] LIMIT 50""",
+)
+def quarantine_sample(spark, sf):
+    return checks.quarantine_sample(quarantined_rows(classified(spark, sf)), 50)
+
+
 # Features and marts -----------------------------------------------------------------------------------
 _DAILY = "daily_cost_usd requests cpu_hours storage_gb_hours carbon_kg"
 
@@ -453,6 +507,50 @@ def resolve_ticket_period(spark, sf):
     return serving.tickets_period(tickets_mart(spark, sf), ORG, "high")
 
 
+@query(
+    "lookup_parameters",
+    """SELECT org_id, first_day AS top_start, last_day AS top_end,
+              ((SELECT max(ticket_date) FROM tickets_mart t WHERE t.org_id = o.org_id AND severity = 'high')
+                  - 29)::DATE AS ticket_start,
+              (SELECT max(ticket_date) FROM tickets_mart t WHERE t.org_id = o.org_id AND severity = 'high')
+                  AS ticket_end,
+              (SELECT min(usage_date) FROM daily d WHERE d.org_id = o.org_id) AS daily_start,
+              (SELECT max(usage_date) FROM daily d WHERE d.org_id = o.org_id) AS daily_end,
+              (SELECT min(billing_month) FROM revenue_mart r WHERE r.org_id = o.org_id) AS revenue_start,
+              (SELECT max(billing_month) FROM revenue_mart r WHERE r.org_id = o.org_id) AS revenue_end,
+              (SELECT min(usage_date) FROM genai_mart g WHERE g.org_id = o.org_id) AS genai_start,
+              (SELECT max(usage_date) FROM genai_mart g WHERE g.org_id = o.org_id) AS genai_end,
+              'high' AS severity
+       FROM (SELECT org_id FROM daily GROUP BY org_id
+             ORDER BY sum(daily_cost_usd) DESC NULLS LAST, org_id LIMIT 1) o, period""",
+)
+def lookup_parameters(spark, sf):
+    """The org of the highest cost and the periods that its lookups cover, from the marts."""
+    rows = settle(valid(spark, sf), "usage-events")
+    used = settle(marts.org_daily_usage(events.service_daily(rows)), "usage")
+    revenue = marts.revenue(billing(spark, sf), silver(spark, sf, "customers_orgs"))
+    p = serving.lookup_parameters(
+        used, marts.top_services(used), tickets_mart(spark, sf), revenue, marts.genai_tokens(rows)
+    )
+    periods = {
+        "top": p.top_period,
+        "ticket": p.ticket_period,
+        "daily": p.daily_costs_period,
+        "revenue": p.revenue_period,
+        "genai": p.genai_period,
+    }
+    days = {
+        f"{name}_{end}": F.lit(day).cast("date")
+        for name, period in periods.items()
+        for end, day in zip(("start", "end"), period)
+    }
+    return spark.range(1).select(
+        F.lit(p.org_id).alias("org_id"),
+        *[day.alias(name) for name, day in days.items()],
+        F.lit(p.severity).alias("severity"),
+    )
+
+
 @query(
     "serving_projection",
     """SELECT org_id, usage_date, service, org_name, org_industry, org_plan_tier, event_count::INT AS event_count,
@@ -503,15 +601,46 @@ def _check_sql(table_name: str, check: str, expected: str, actual: str, source:
     )
 
 
+_REQUIRED = ("event_id", "ts", "user_id", "event_type", "value", "props", "source_file")
+
+
 @query(
     "required_columns_check",
-    _check_sql("bronze.usage_events", "required columns", "9", "8", "(SELECT count(*) FROM events_raw)"),
-)
+    _check_sql(
+        "landing.events", "required columns", str(len(_REQUIRED)), "count(*)",
+        "(DESCRIBE SELECT * FROM events) WHERE column_name IN ('" + "', '".join(_REQUIRED) + "')",
+    ),
+)
 def required_columns_check(spark, sf):
-    """One required column (source_file) is not there, so the check must fail."""
-    return checks.has_columns(
-        bronze_events(spark, sf), "bronze.usage_events", checks.REQUIRED_BRONZE_EVENTS
-    )
+    """Over the columns of the stored file. One (source_file) is not there, so the check must fail."""
+    return checks.has_columns(table(spark, sf, "events"), "landing.events", _REQUIRED)
+
+
+_SNAPSHOT = ("users", "support_tickets", "nps_surveys")
+_SNAPSHOT_SQL = {"users": ("users_raw", "users"), "support_tickets": ("tickets_raw", "tickets"),
+                 "nps_surveys": ("surveys_raw", "surveys")}
+
+
+@query(
+    "snapshot_compare",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS metric, (SELECT count(*) FROM {a})::BIGINT AS before, "
+        f"(SELECT count(*) FROM {b})::BIGINT AS after, "
+        f"(SELECT count(*) FROM {a}) = (SELECT count(*) FROM {b}) AS ok"
+        for name, (a, b) in _SNAPSHOT_SQL.items()
+    ),
+)
+def snapshot_compare(spark, sf):
+    """Rows of three masters before and after the quarantine."""
+
+    def counted(read) -> DataFrame:
+        return checks.suite(
+            read(name).agg(F.lit(name).alias("metric"), F.count(F.lit(1)).alias("n")) for name in _SNAPSHOT
+        )
+
+    customers = settle(silver(spark, sf, "customers_orgs"), "customers")
+    before = counted(lambda name: landed(spark, sf, name))
+    return checks.compare_snapshots(before, counted(lambda name: silver(spark, sf, name, customers)))
 
 
 @query(

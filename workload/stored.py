@@ -14,9 +14,9 @@ from meterlake.sinks.parquet import save_to, write_partitioned
 from meterlake.sources.tables import read_parquet
 from meterlake.sources.versioned import VersionedTable
 from meterlake.streaming.ingest import finish, start_ingest
-from meterlake.streaming.publish import load_frame, load_stream
+from meterlake.streaming.publish import load_frame, load_stream, merge_batch, refused_table
 
-from .proxies import bronze_events, landed, table
+from .proxies import AS_OF, bronze_events, landed, table
 from .queries import _LINE_ORDER, tickets_mart, usage
 from .registry import query, rounded, rounded_sql
 
@@ -159,6 +159,32 @@ def stream_resume(spark, sf):
     return counted.withColumns({name: F.lit(n).cast("bigint") for name, n in runs.items()})
 
 
+_FUTURE = "schema_version = 1 AND src % 40 = 0"
+
+
+@query(
+    "stream_future_clock",
+    f"""SELECT CASE WHEN event_id IS NOT NULL THEN 'evt-' || src END AS event_id, org_id, schema_version,
+               CASE WHEN {_FUTURE} THEN DATE '2099-01-01' ELSE event_ts::DATE END AS ingest_date
+        FROM bronze""",
+)
+def stream_future_clock(spark, sf):
+    """Events of a clock far ahead come with the first lot; the second lot loses nothing by it."""
+    rows = landed(spark, sf, "usage_events").withColumns(
+        {
+            "event_id": F.when(F.col("event_id").isNotNull(), F.concat(F.lit("evt-"), "src")),
+            "timestamp": F.when(F.expr(_FUTURE), "2099-01-01 00:00:00").otherwise(F.col("timestamp")),
+        }
+    )
+    lots = rows.select(*[f.name for f in EVENT_LANDING])
+    landing, folder = fresh_path(spark, "landing-events"), fresh_path(spark, "stream")
+    lots.where("schema_version = 1").write.json(landing)
+    _ingested(spark, landing, folder, watermark="1 hour")
+    lots.where("schema_version = 2").write.mode("append").json(landing)
+    found = _ingested(spark, landing, folder, watermark="1 hour")[1]
+    return found.select("event_id", "org_id", "schema_version", "ingest_date")
+
+
 # Serving loads ----------------------------------------------------------------------------------------
 @query(
     "serving_upsert",
@@ -181,6 +207,63 @@ def serving_upsert(spark, sf):
     )
 
 
+@query(
+    "serving_last_wins",
+    f"""SELECT org_id, severity, ticket_date, ticket_count::INT AS ticket_count,
+               sla_breach_count::INT AS sla_breach_count, {rounded_sql("sla_breach_rate avg_csat")}
+        FROM tickets_mart WHERE severity IS NOT NULL AND ticket_date IS NOT NULL""",
+)
+def serving_last_wins(spark, sf):
+    """Two loads wait for one run. The first has the greater counts, the second the right ones."""
+    spec = serving.SERVING["tickets_by_org_date"]
+    mart = settle(tickets_mart(spark, sf), "tickets")
+    source = fresh_path(spark, "mart-files")
+    target = VersionedTable(spark, fresh_path(spark, "serving"), spec.schema)
+    mart.withColumn("ticket_count", F.col("ticket_count") + 1000).write.parquet(source)
+    mart.write.mode("append").parquet(source)
+    load_stream(spark, source, target, spec, fresh_path(spark, "load-checkpoint"))
+    rates = rounded("sla_breach_rate avg_csat")
+    return target.read().select(
+        "org_id", "severity", "ticket_date", "ticket_count", "sla_breach_count", *rates
+    )
+
+
+@query(
+    "serving_last_partition",
+    """SELECT org_id, period_end, rank, service, round(accumulated_cost_usd, 4) AS accumulated_cost_usd
+       FROM tops WHERE rank <= 3 AND service IS NOT NULL""",
+)
+def serving_last_partition(spark, sf):
+    """Five ranks and then three wait for one run: ranks four and five of the older load do not stay."""
+    spec = serving.SERVING["org_top_services_by_cost"]
+    daily = settle(usage(spark, sf), "usage")
+    source = fresh_path(spark, "mart-files")
+    target = VersionedTable(spark, fresh_path(spark, "serving"), spec.schema)
+    for hour, n in enumerate((5, 3)):
+        built = F.lit(AS_OF).cast("timestamp") + F.make_dt_interval(hours=F.lit(hour))
+        top = marts.top_services(daily, n=n).withColumn("gold_ts", built)
+        top.write.mode("append").parquet(source)
+    load_stream(spark, source, target, spec, fresh_path(spark, "load-checkpoint"))
+    cost = rounded("accumulated_cost_usd", 4)
+    return target.read().select("org_id", "period_end", "rank", "service", *cost)
+
+
+@query(
+    "serving_refused",
+    """SELECT org_id, usage_date, service, event_count::INT AS event_count, 'service' AS missing FROM daily
+       WHERE service IS NULL""",
+)
+def serving_refused(spark, sf):
+    """Daily usage without a service is refused by the table that it keys, and kept with the reason."""
+    spec = serving.SERVING["org_daily_usage_by_service"]
+    mart = usage(spark, sf).withColumn("gold_ts", F.lit(AS_OF).cast("timestamp"))
+    target = VersionedTable(spark, fresh_path(spark, "serving"), spec.schema)
+    merge_batch(target, spec, mart, whole=True)
+    missing = F.array_join(serving.REFUSED, ",").alias("missing")
+    refused = refused_table(target, spec).read_or_empty()
+    return refused.select("org_id", "usage_date", "service", "event_count", missing)
+
+
 @query(
     "replace_partitions",
     """SELECT org_id, period_end, rank, service, period_start,
