@@ -144,3 +144,16 @@ def test_batch_and_stream_agree(spark, ingest, rows, tmp_path):
 def test_unknown_mode(spark, tmp_path):
     with pytest.raises(ValueError, match="global or bounded"):
         dedupe_stream(event_stream(spark, str(tmp_path)), watermark="1 day", mode="all")
+
+
+def test_the_lake_goes_on_after_an_interval_run(spark, tmp_path):
+    landing = tmp_path / "landing" / "usage_events_stream"
+    landing.mkdir(parents=True)
+    (landing / "a.jsonl").write_text(json.dumps(event("e1")) + "\n")
+    lake = pipeline.Lake(spark, str(tmp_path))
+    query = lake.start_events("1 second")
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    done = lake.ingest_events()
+    assert (done.input_rows, done.bronze_rows) == (0, 1)
