@@ -40,8 +40,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the boilerplate of their source; ``n_chars`` follows. All documents stay."""
-    cleaned = lines.clean(docs, host="source")
+    """Texts without the boilerplate of their source; ``n_chars`` follows. All documents stay. Copies of a
+    document are still there, so they count as one page: their lines are no boilerplate."""
+    cleaned = lines.clean(docs, host="source", copies_once=True)
     length = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", length).select(*docs.columns)
 

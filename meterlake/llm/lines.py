@@ -28,23 +28,34 @@ def lines_of(text: Column) -> Column:
 
 
 def boilerplate(
-    pages: DataFrame, *, host: str, text: str = "text", ratio: float = 0.02, min_pages: int = 5
+    pages: DataFrame,
+    *,
+    host: str,
+    text: str = "text",
+    ratio: float = 0.02,
+    min_pages: int = 5,
+    copies_once: bool = False,
 ) -> DataFrame:
     """For each host (a null host is one) the keys of its boilerplate lines, in an array: lines that are on
     more than the share ``ratio`` of its pages, and on at least ``min_pages``. A page counts once however
-    often it repeats a line; blank lines are never boilerplate.
+    often it repeats a line; blank lines are never boilerplate. With ``copies_once``, pages of a host that
+    are equal as texts are one page, in the lines' counts and in the host's.
 
     Each page sends its distinct line keys; Spark adds them up before they are shuffled, so neither a
     host nor a line that many pages share gathers in one task.
     """
     rows = pages.select(
         F.col(host).alias("host"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copy"),
         F.array_distinct(
             F.transform(
                 F.filter(lines_of(F.col(text)), lambda x: F.trim(x, F.lit(_BLANKS)) != _EMPTY), line_key
             )
         ).alias("keys"),
     )
+    if copies_once:
+        # Equal texts have equal keys, so it does not matter which copy stays.
+        rows = rows.dropDuplicates(["host", "copy"])
     totals = rows.groupBy("host").agg(F.count("*").alias("pages"))
     counts = (
         rows.select("host", F.explode("keys").alias("line"))
@@ -59,7 +70,13 @@ def boilerplate(
 
 
 def clean(
-    pages: DataFrame, *, host: str, text: str = "text", ratio: float = 0.02, min_pages: int = 5
+    pages: DataFrame,
+    *,
+    host: str,
+    text: str = "text",
+    ratio: float = 0.02,
+    min_pages: int = 5,
+    copies_once: bool = False,
 ) -> DataFrame:
     """All rows and columns, with ``text`` freed of its host's boilerplate lines, and two columns more:
     ``n_lines`` (lines before) and ``n_dropped``; these names take the place of columns that have them.
@@ -68,7 +85,9 @@ def clean(
 
     A host has at most (lines per page) / ratio boilerplate lines, so the array per host is small.
     """
-    found = boilerplate(pages, host=host, text=text, ratio=ratio, min_pages=min_pages)
+    found = boilerplate(
+        pages, host=host, text=text, ratio=ratio, min_pages=min_pages, copies_once=copies_once
+    )
     found = settle(found.select(F.col("host").alias("_host"), F.col("drop").alias("_drop")), "boilerplate")
     columns = [c for c in pages.columns if c.lower() not in ("n_lines", "n_dropped")]
     if found.agg(F.coalesce(F.sum(F.size("_drop")), F.lit(0))).first()[0] <= BROADCAST_ROWS:

@@ -88,6 +88,20 @@ def test_repeated_rows_of_one_document_leave_one(spark, documents):
     assert kept.columns == docs.columns
 
 
+def test_one_full_copy_of_a_large_group_of_copies_survives(spark, documents, prose):
+    text = "\n".join(" ".join(f"line{n}word{i}" for i in range(12)) for n in range(4))
+    pages = [(i, f"{prose(40, seed=i)}\nmenu of the site", "en", "a", 0) for i in range(30)]
+    copies = [(100 + i, f"{text}\nmenu of the site", "en", "a", 0) for i in range(12)]
+    docs = documents(pages + copies + [(200 + i, text, "en", None, 0) for i in range(9)])
+    cleaned = corpus_pipeline.line_dedup(spark, docs, SF)
+    assert {r["text"] for r in cleaned.where("doc_id >= 100").collect()} == {text}
+    assert not cleaned.where("text LIKE '%menu%'").count()
+    kept = corpus_pipeline.decontaminate(spark, corpus_pipeline.near_duplicates(spark, cleaned, SF), SF)
+    assert pairs(kept.where("doc_id >= 100").collect()) == [(100, text)]
+    packed = corpus_pipeline.pack(spark, kept, SF).where("doc_id >= 100").collect()
+    assert sum(r["length"] for r in packed) == packed[0]["doc_tokens"] > 4 * 12
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_agree_with_sql(spark, name):
     con = duckdb.connect()
