@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import contamination, jaccard, lines, packing, quality
-from meterlake.llm.queries import RANKS, held_out, table
+from meterlake.llm.queries import RANKS, SPECIAL, held_out, table
 from meterlake.operators.lookup import measure
 from meterlake.session import fresh_path, scratch, settle
 
@@ -75,7 +75,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences of 2,048 tokens, with their token ids."""
-    return packing.pack(docs, RANKS, with_ids=True)
+    return packing.pack(docs, RANKS, with_ids=True, special=SPECIAL)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

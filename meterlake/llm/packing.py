@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import functools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +21,13 @@ SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\
 
 
 @functools.cache
-def encoder(ranks_path: str):
-    """The byte-level tokenizer of a rank file. One per worker process."""
+def encoder(ranks_path: str, special: tuple[tuple[str, int], ...] = ()):
+    """The byte-level tokenizer of a rank file and of special tokens. One per worker process."""
     import tiktoken
 
     with open(ranks_path, "rb") as file:
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, file)}
-    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=dict(special))
 
 
 class Window:
@@ -142,6 +142,7 @@ def pack(
     key: str = "doc_id",
     text: str = "text",
     with_ids: bool = False,
+    special: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Pack documents into sequences of ``capacity`` tokens; one row per piece of a document.
 
@@ -153,14 +154,17 @@ def pack(
 
     A null or empty text is the end id alone. Rows with equal keys, or none, are packed each for itself.
     Other columns are ignored. No rows give no pieces. ``with_ids`` adds the token ids of each piece.
+    ``special`` has the ids of strings that are one token wherever a text holds them; other strings are
+    ordinary text.
     """
     fields = PIECES + (", ids array<int>" if with_ids else "")
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType)] + T.StructType.fromDDL(fields).fields)
     arrow = to_arrow_schema(schema)
     end = np.array([end_id], np.uint32)
+    tokens = tuple((special or {}).items())
 
     def run(batches):
-        encode = encoder(ranks_path).encode_ordinary
+        encode = functools.partial(encoder(ranks_path, tokens).encode, allowed_special="all")
         base = TaskContext.get().partitionId() << 33
         packer = SumOfSquares(capacity)
         # Of documents with a piece in an open window: key, tokens, pieces not yet written.

@@ -31,6 +31,8 @@ from .text import fold
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+# Fixed value: the special token that the tokenizer file adds to the vocabulary.
+SPECIAL = {"<|endoftext|>": 50256}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
@@ -85,8 +87,8 @@ def finished(spark: SparkSession, make: Callable[[], DataFrame], label: str) ->
 
 @query
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
-    """The rank file holds the vocabulary of the tokenizer file; ids are the same."""
-    return packing.pack(table(spark, sf, "documents"), RANKS)
+    """The rank file holds the vocabulary of the tokenizer file; with its special token, ids are the same."""
+    return packing.pack(table(spark, sf, "documents"), RANKS, special=SPECIAL)
 
 
 @query

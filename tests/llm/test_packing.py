@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 
 from meterlake.llm.packing import SumOfSquares, encoder, pack
-from meterlake.llm.queries import RANKS
+from meterlake.llm.queries import QUERIES, RANKS
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +73,27 @@ def test_each_placement_has_the_smallest_sum_of_squares():
         assert [len(x) for x in packer.levels] == packer.counts.tolist()
 
 
+def test_special_tokens_have_the_id_of_the_tokenizer_file_as_loaded(spark, documents, stored, hard):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [t or "" for t in hard] + ["a <|endoftext|> b", mark, f"a  {mark}{mark}\n\n b ", f"{mark[:-1]} {mark.upper()} <|pad|>"]
+    docs = documents(list(enumerate(texts)))
+    expected = {i: [*loaded.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert expected[len(hard)] == [64, 220, 50256, 275, 1]
+    found = defaultdict(list)
+    for p in sorted(corpus_pipeline.pack(spark, docs, "").collect(), key=lambda p: p["start"]):
+        found[p["doc_id"]] += p["ids"]
+    assert found == expected
+    for p in QUERIES["op1_packing"](spark, stored(documents=docs)).collect():
+        ids = expected[p["doc_id"]]
+        assert p["doc_tokens"] == len(ids)
+        assert p["ids_crc32"] == zlib.crc32(np.array(ids[p["start"] : p["start"] + p["length"]], "<u4").tobytes())
+
+
 def test_empty_table_and_other_columns(spark, documents):
     assert pack(documents([]), RANKS).collect() == []
     clash = spark.createDataFrame([(1, "a", 5, 6)], "doc_id int, text string, length int, sequence_id int")
