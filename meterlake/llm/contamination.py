@@ -29,7 +29,10 @@ def raw_words(text: Column) -> Column:
 
 
 def folded(word: Column) -> Column:
-    return F.translate(word, UPPER, LOWER)
+    """A-Z as a-z, and nothing else. In a word of ASCII alone (as many bytes as characters) ``lower`` does the
+    same and is much faster; elsewhere it would depend on the letters around, and change others too."""
+    ascii_alone = F.octet_length(word) == F.char_length(word)
+    return F.when(ascii_alone, F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
 
 
 def n_words(words: str) -> Column:
@@ -51,16 +54,11 @@ def item_words(items: DataFrame, item: str, text: str) -> DataFrame:
 
 
 def corpus_words(docs: DataFrame, text: str, carry: list[Column]) -> DataFrame:
-    """A row per word of each text: what is carried, ``words`` (all of the text), ``at`` and ``term``.
-
-    Terms are folded by ``lower``, which is much faster than folding A-Z alone and finds a superset; words
-    are compared exactly later.
-    """
-    cut = docs.select(
-        *carry, raw_words(F.col(text)).alias("words"), raw_words(F.lower(text)).alias("terms")
-    )
-    names = [c for c in cut.columns if c != "terms"]
-    return cut.select(*names, F.posexplode("terms").alias("at", "term"))
+    """A row per word of each text: what is carried, ``words`` (all of the text), ``at`` and ``term``. Terms
+    are folded word by word, as the words of items are."""
+    cut = docs.select(*carry, raw_words(F.col(text)).alias("words"))
+    placed = cut.select(*cut.columns, F.posexplode("words").alias("at", "word"))
+    return placed.select(*cut.columns, "at", folded(F.col("word")).alias("term"))
 
 
 def term_counts(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
@@ -74,9 +72,7 @@ def anchors(items: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFr
     """The positions of each item that are the rarest of one of its windows, among terms that the corpus has
     at all: ``item, words, q, term``, ``need`` (the length of a match that counts) and ``exact`` (a window
     with this anchor has only such terms, so it may occur)."""
-    placed = items.select("item", "words", F.posexplode("words").alias("q", "word")).withColumn(
-        "term", F.lower("word")
-    )
+    placed = items.select("item", "words", F.posexplode("words").alias("q", "term"))
     ranked = placed.join(counts, "term").withColumn(
         "rank", F.when(F.col("n") > 0, F.struct("n", "term", "q"))
     )
@@ -184,7 +180,7 @@ def search(
     tests = settle(item_words(items, item, text), "test-items")
     names = ["_key", "_text_hash"]
     keys = [F.col(key).alias("_key"), F.xxhash64(text).alias("_text_hash")]
-    terms = tests.select(F.explode("words").alias("word")).select(F.lower("word").alias("term")).distinct()
+    terms = tests.select(F.explode("words").alias("term")).distinct()
     counts = settle(term_counts(docs, settle(terms, "test-terms"), text), "term-counts")
     chosen = settle(anchors(tests, counts, window), "anchors")
     rare = settle(chosen.select("term").distinct(), "anchor-terms")

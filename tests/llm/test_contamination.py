@@ -64,6 +64,20 @@ def test_agrees_with_brute_force(spark, documents, prose, hard):
     assert found(documents(docs), spark.createDataFrame(items, ITEMS)) == brute(docs, items)
 
 
+def test_words_are_folded_one_by_one(spark, documents):
+    # What lower makes of a capital sigma depends on the letters around it, also beyond the word's end.
+    greek = "Σ Χ ΛΟΓΟΣ ΕΡΓΟΣ ΟΔΟΣ ΝΟΜΟΣ ΤΟΠΟΣ ΛΑΟΣ ΘΕΟΣ ΒΙΟΣ ΦΩΣ ΠΑΣ ΜΕΣΟΣ ΤΕΛΟΣ"
+    items = [(1, "Σ"), (2, "ΛΟΓΟΣ"), (3, "λογος"), (4, greek), (5, "İstanbul TITLE")]
+    docs = [(1, "Π.Α.Σ. Χ"), (2, "ΛΟΓΟΣ'Α"), (3, "λογος'α"), (4, "Π." + greek.replace(" ", "'"))]
+    docs += [(5, "Π.Α." + greek.replace(" ", ".") + ".Α"), (6, "İstanbul title"), (7, "i̇stanbul title")]
+    expected = brute(docs, items)
+    assert [r[2] for r in expected] == [1, 1, 1, 14, 14, 2, 0]
+    assert found(documents(docs), spark.createDataFrame(items, ITEMS)) == expected
+    # Each item alone: no other item's anchors help.
+    for item in items:
+        assert found(documents(docs), spark.createDataFrame([item], ITEMS)) == brute(docs, [item])
+
+
 def test_no_items_no_documents_and_clashing_columns(spark, documents):
     none = spark.createDataFrame([], ITEMS)
     assert found(documents([(1, "a b")]), none) == brute([(1, "a b")], [])
