@@ -199,14 +199,12 @@ def classify(
 
 
 def keep_good(docs: DataFrame, model: Model, *, threshold: float = 0.7, text: str = "text") -> DataFrame:
-    """The rows with a score of at least the threshold, all columns as they are."""
-    narrow = docs.select("*")
-    scored = map_texts(
-        narrow,
+    """The rows with a score of at least the threshold, all columns as they are, whatever their names."""
+    return map_texts(
+        docs.select("*"),
         scorer(model, threshold),
-        "_score double, _predicted int",
-        keep=narrow.columns,
+        "",
+        keep=docs.columns,
         text=text,
         where=lambda new: np.asarray(new[1]) == 1,
     )
-    return scored.drop("_score", "_predicted")

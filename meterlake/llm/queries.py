@@ -62,8 +62,18 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(application)
 
 
+# Texts travel to Python workers in batches of this size. Spark's own bound of 64 MB, held several times
+# over (writer, worker, result), is most of an executor's memory beside the heap.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of the folder. Makes the session ready for the operators: the library on the executors, and
+    small Arrow batches unless the job has set their size."""
     ship(spark)
+    key, size = BATCH_BYTES
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
     return read_parquet(spark, f"{sf}/{name}.parquet")
 
 

@@ -52,6 +52,14 @@ def text_blocks(
         first = last
 
 
+def unused(name: str, taken: Sequence[str]) -> str:
+    """A column name that is not among those taken: ``name``, with underscores in front where needed."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def map_texts(
     docs: DataFrame,
     score: Callable[[np.ndarray, np.ndarray], Sequence],
@@ -64,24 +72,27 @@ def map_texts(
 ) -> DataFrame:
     """Columns ``keep`` and what ``score`` gives for each block of texts. Nothing is shuffled.
 
-    ``added`` is the DDL of the new columns; one that has the name of a kept column takes its place.
-    ``where`` may turn the new columns into a mask of rows to keep.
+    ``added`` is the DDL of the new columns; one that has the name of a kept column takes its place. With
+    ``where``, which turns what ``score`` gives into a mask of rows to keep, ``added`` may be empty. A text
+    that is kept is sent to Python once.
     """
-    fields = T.StructType.fromDDL(added)
+    fields = T.StructType.fromDDL(added) if added else T.StructType()
     names = {f.name.lower() for f in fields}
     kept = [c for c in keep if c.lower() not in names]
     schema = T.StructType([docs.schema[c] for c in kept] + fields.fields)
     arrow = to_arrow_schema(schema)
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("_text"))
+    sent = text if text in kept else unused("_text", kept)
+    extra = [] if text in kept else [F.col(text).alias(sent)]
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], *extra)
 
     def run(batches):
         for batch in batches:
-            for rows, data, offsets in text_blocks(batch, "_text", block_bytes):
+            for rows, data, offsets in text_blocks(batch, sent, block_bytes):
                 new = score(data, offsets)
                 columns = [rows.column(c) for c in kept]
                 columns += [
                     v if isinstance(v, pa.Array) else pa.array(v, arrow.field(f.name).type)
-                    for v, f in zip(new, fields, strict=True)
+                    for v, f in zip(new, fields, strict=False)
                 ]
                 out = pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
