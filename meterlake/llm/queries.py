@@ -17,6 +17,8 @@ from ..sources.tables import ROW_ID, read_parquet, with_row_id
 from . import (
     automaton,
     contamination,
+    conversations,
+    interactions,
     jaccard,
     language,
     likelihood,
@@ -25,6 +27,7 @@ from . import (
     quality,
     ring,
     toxicity,
+    urls,
 )
 from .text import fold
 
@@ -262,3 +265,104 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN which USING (doc_id)
 """
+
+
+CONVERSATION_ROW = (*ROW_ID, "copy")
+
+
+def conversation_report(spark: SparkSession, sf: str, **options) -> DataFrame:
+    """Damage, repair and report; every conversation has a row, also one that lost all of its own."""
+    rows = with_row_id(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
+    marked = conversations.mark(conversations.damaged(rows), row_id=CONVERSATION_ROW)
+    report = conversations.repair(marked, **options).report.withColumnRenamed("conv", "conv_id")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    bare = rows.select("conv_id").distinct()
+    both = report.unionByName(bare, allowMissingColumns=True).groupBy("conv_id")
+    found = both.agg(*[F.max(c).alias(c) for c in (*counts, "audit", "repaired_sha256")], F.count("cost").alias("_has"))
+    given = F.col("_has") > 0  # gaps beyond a long stay null
+    return found.select(
+        "conv_id",
+        *[F.when(given, F.col(c)).otherwise(F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query
+def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return finished(spark, lambda: conversation_report(spark, sf), "op11")
+
+
+@query
+def op12_filters(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+
+    def made() -> DataFrame:
+        flagged = interactions.flags(docs, table(spark, sf, "labels"))
+        return interactions.audit(flagged, "ABCDE", part="part", good="good", toxic="toxic")
+
+    return finished(spark, made, "op12")
+
+
+ORACLES["op12_filters"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), counted AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM cut
+), judged AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN doc_id > least THEN 'E' ELSE '' END) AS fails
+  FROM counted LEFT JOIN judged USING (doc_id)
+), cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failing GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT part, fails, n, good, toxic, o, s::INT AS s, o[s:s] AS f,
+         regexp_matches(fails, o[s:s]) AS own, s > 1 AND regexp_matches(fails, '[' || o[1:s-1] || 'x]') AS earlier
+  FROM cells, orders, range(1, 6) r(s)
+), summed AS (
+  SELECT part, o, s, f, coalesce(sum(n) FILTER (WHERE NOT own AND NOT earlier), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE own AND NOT earlier), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE own AND earlier), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails = f), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE own AND NOT earlier), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE own AND NOT earlier), 0) AS toxic_lost
+  FROM steps GROUP BY part, o, s, f
+)
+SELECT part, o AS filter_order, s AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM summed
+"""
+
+
+# Rules on hosts and paths.
+URL_RULES = [
+    urls.Rule(urls.ALLOW, "org", "/"),
+    urls.Rule(urls.BLOCK, "example.org", "/es/"),
+    urls.Rule(urls.BLOCK, "example.org", "/en/1"),
+    urls.Rule(urls.ALLOW, "com", "/fr/"),
+    urls.Rule(urls.BLOCK, "com", "/de/"),
+]
+
+
+@query
+def op13_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels are the verdicts of the rules; the trees judge the rest."""
+
+    def made() -> DataFrame:
+        pages = urls.parse(table(spark, sf, "pages"), URL_RULES)
+        return urls.judge(pages, URL_RULES, urls.fit(pages)).withColumnRenamed("key", "page_id")
+
+    return finished(spark, made, "op13")

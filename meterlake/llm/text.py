@@ -219,6 +219,27 @@ def as_code_points(data: np.ndarray, offsets: np.ndarray) -> Texts:
 
 
 # Labelled samples -------------------------------------------------------------------------------------
+def hash_sample(rows: DataFrame, by: str, key: Sequence[str], most: int) -> DataFrame:
+    """At most ``most`` rows of each value of ``by``: those with the least hashes of their keys, which must
+    differ from row to row. Which rows these are depends on the rows alone, not on files or tasks.
+
+    Rows are counted first. Only those below a cut that lets somewhat more than ``most`` through are ranked,
+    so the task of a class ranks about ``most`` rows however many there are. The cut is five standard
+    deviations above what is needed, so a sample is not short but by rare chance, and then the same each time.
+    """
+    from pyspark.sql import Window
+
+    at = F.shiftrightunsigned(F.xxhash64(*key), 11) / float(1 << 53)
+    name = unused("_at", rows.columns)
+    total, nth = unused("_of", rows.columns), unused("_nth", rows.columns)
+    counts = rows.groupBy(by).agg(F.count("*").alias(total))
+    wanted = most + 5 * most**0.5 + 10
+    # One row a class.
+    low = rows.withColumn(name, at).join(F.broadcast(counts), by).where(F.col(name) * F.col(total) < wanted)
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(name, *key))
+    return low.withColumn(nth, rank).where(F.col(nth) <= most).select(*rows.columns)
+
+
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,

@@ -1,0 +1,112 @@
+"""Filter interaction: the matrix against word counts, the report against applying the filters in every order."""
+
+import re
+from collections import Counter
+from itertools import permutations
+
+from meterlake.llm import interactions
+from meterlake.llm import queries
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, labels):
+    """rows: (doc_id, text, lang); labels: (doc_id, quality, toxic)."""
+    docs = []
+    texts = {}
+    for doc_id, text, _ in rows:
+        if doc_id is not None:
+            texts[text or ""] = min(doc_id, texts.get(text or "", doc_id))
+    for doc_id, text, lang in rows:
+        t = text or ""
+        words = WORD.findall(t)
+        fails = {
+            "A": len(words) < 100,
+            "B": 100 * len(set(words)) < 80 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", t)) > 10 * len(t),
+            "D": bool(re.search(r"[#$%&*|]", t)),
+            "E": doc_id is not None and texts[t] < doc_id,
+        }
+        said = [r for r in labels if doc_id is not None and r[0] == doc_id]
+        docs.append((lang or "", fails, any(r[1] == 1 for r in said), any(r[2] == 1 for r in said)))
+    out = {}
+    for part in {d[0] for d in docs}:
+        shapley = Counter()
+        for order in map("".join, permutations("ABCDE")):
+            left = [d for d in docs if d[0] == part]
+            for step, name in enumerate(order, 1):
+                gone = [d for d in left if d[1][name]]
+                left = [d for d in left if not d[1][name]]
+                all_of = [d for d in docs if d[0] == part and d[1][name]]
+                only = [d for d in all_of if sum(d[1].values()) == 1]
+                shapley[name] += len(gone)
+                out[part, order, step] = [
+                    len(left), len(gone), 0, len(only),
+                    sum(d[2] for d in gone), sum(d[3] for d in gone),
+                ]
+                # Redundant: fails, but went at an earlier step.
+                later = sum(1 for d in all_of if not any(d[1][f] for f in order[: step - 1]))
+                out[part, order, step][2] = len(all_of) - later
+        for (p, order, step), values in out.items():
+            if p == part:
+                values.append(shapley[order[step - 1]])
+    return sorted((*key, *values) for key, values in out.items())
+
+
+COLUMNS = "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley".split()
+
+
+def report(spark, stored, rows, labels):
+    folder = stored(
+        documents=spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3),
+        labels=spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"),
+    )
+    return sorted(map(tuple, queries.op12_filters(spark, folder).select(*COLUMNS).collect()))
+
+
+def test_report_equals_applying_the_filters(spark, stored, hard, prose):
+    varied = " ".join(f"w{i}" for i in range(120))
+    texts = [
+        *hard, varied, varied, varied + " $", varied.upper(), prose(300), prose(300) + " #", "A B C", "A B C", None,
+        "word " * 99 + "word", "é" * 10 + "A", "é" * 9 + "AA", prose(150, 3), varied + " $", "x" * 2_000_000,
+    ]
+    rows = [(i, t, ("en", "de", None, "")[i % 4]) for i, t in enumerate(texts)]
+    rows += [(3, "three", "en"), (3, "three", "en"), (None, varied, "de"), (None, "three", None)]
+    labels = [(i, i % 2, (i // 2) % 2) for i in range(0, 25)] + [(3, 1, None), (3, 0, 1), (None, 1, 1), (4, None, None)]
+    assert report(spark, stored, rows, labels) == brute(rows, labels)
+
+
+def test_empty_tables(spark, stored):
+    assert report(spark, stored, [], []) == []
+
+
+def test_documents_without_words(spark, stored):
+    rows = [(1, "", "en"), (2, None, "en"), (3, " \t", "en")]
+    assert report(spark, stored, rows, []) == brute(rows, [])
+
+
+def test_matrix_holds_the_words(spark, hard, prose):
+    """Small shards: several a task, all under one numbering."""
+    texts = [*hard, prose(500), prose(500, 1), "İi ΑΑ αα", "a b a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "n bigint, text string").repartition(2)
+    matrix = interactions.term_matrix(docs, keep=["n"], shard_bytes=2_000)
+    words = {r["term"]: r["word"].decode() for r in matrix.dictionary.collect()}
+    assert sorted(words) == list(range(len(words))) and len(set(words.values())) == len(words)
+    shards = matrix.shards.collect()
+    assert len(shards) > 2
+    found = {}
+    for s in shards:
+        for i, n in enumerate(s["n"]):
+            cells = slice(s["indptr"][i], s["indptr"][i + 1])
+            found[n] = {words[t]: c for t, c in zip((s["terms"] or [])[cells], s["counts"][cells], strict=True)}
+    assert found == {n: dict(Counter(WORD.findall(t or ""))) for n, t in enumerate(texts)}
+    sums = {r["n"]: (r["n_words"], r["n_distinct"]) for r in interactions.row_sums(matrix.shards, ["n"]).collect()}
+    assert sums == {n: (sum(c.values()), len(c)) for n, c in found.items()}
+
+
+def test_clashing_columns(spark, stored):
+    rows = [(1, "a a a", "en", 1, True, "x"), (2, "a a a", "en", 2, False, "y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, fails int, A boolean, _text string")
+    folder = stored(documents=df, labels=spark.createDataFrame([], "doc_id bigint, quality int, toxic int, good int"))
+    found = sorted(map(tuple, queries.op12_filters(spark, folder).select(*COLUMNS).collect()))
+    assert found == brute([r[:3] for r in rows], [])
