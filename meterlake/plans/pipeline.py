@@ -14,14 +14,15 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import catalog as fixed
 from ..operators.rules import REASON, REASONS
 from ..schemas import columns
-from ..files import exists
+from ..files import exists, listed, make_folder, remove
 from ..session import scratch
-from ..sources.versioned import VersionedTable
-from ..streaming.ingest import finish, start_ingest
+from ..sources.versioned import ORPHAN_AFTER_HOURS, VersionedTable
+from ..streaming.counters import finish, totals
+from ..streaming.ingest import NAMED, PASSED, UNNAMED, start_ingest
 from ..streaming.publish import LoadResult, load_result, load_stream, merge_batch, refused_table
 from . import checks
 from .events import service_daily, silver_events
-from .layout import relayout
+from .layout import LAID, relayout, start_relayout
 from .marts import marts
 from .masters import bronze_master, classify_master, landed_master
 from .serving import SERVING, LookupParameters, lookup_parameters, run_lookups, to_serving
@@ -34,9 +35,38 @@ _RUN = columns("started timestamp, folder string")
 
 @dataclass(frozen=True)
 class EventIngest:
+    """Rows read, let through and dropped as copies of an id, rows without an id, whether any were re-laid,
+    and the rows of bronze after it."""
+
     input_rows: int
     relaid: bool
     bronze_rows: int
+    dropped_rows: int = 0
+    unnamed_rows: int = 0
+
+
+@dataclass(frozen=True)
+class EventStreams:
+    """Two queries that run on: events into bronze, and bronze into the layout that silver reads."""
+
+    spark: SparkSession
+    ingest: StreamingQuery
+    relayout: StreamingQuery
+
+    def catch_up(self) -> None:
+        """Wait until all that has landed is re-laid."""
+        self.ingest.processAllAvailable()
+        self.relayout.processAllAvailable()
+
+    def counted(self) -> dict[str, int]:
+        """Rows so far: read, dropped as copies, re-laid."""
+        seen = totals(self.spark, self.ingest)
+        read = seen[NAMED] + seen[UNNAMED]
+        return {"read": read, "dropped": read - seen[PASSED], "laid": totals(self.spark, self.relayout)[LAID]}
+
+    def stop(self) -> None:
+        self.ingest.stop()
+        self.relayout.stop()
 
 
 def _judged(schema: T.StructType) -> T.StructType:
@@ -132,16 +162,32 @@ class Lake:
             spread_copies=spread_copies,
             files_per_trigger=files_per_trigger,
         )
-        new_rows = finish(query)
+        seen = finish(self.spark, query)
+        read = seen[NAMED] + seen[UNNAMED]
         target = self.bronze_events_table()
         laid = relayout(self.spark, f"{run}/events", target, f"{run}/relayout-checkpoint")
         version = target.current()
-        return EventIngest(new_rows, laid > 0, version.rows if version else 0)
+        return EventIngest(read, laid > 0, version.rows if version else 0, read - seen[PASSED], seen[UNNAMED])
 
-    def start_events(self, every: str, *, reset: bool = False, **options) -> StreamingQuery:
-        """Stream into bronze with a trigger each ``every`` interval until the query is stopped; the options
-        are those of ``ingest_events``, which goes on where it stopped and re-lays what it brought."""
-        return self._start_ingest(self._stream_run(reset), every=every, **options)
+    def start_events(self, every: str, *, reset: bool = False, **options) -> EventStreams:
+        """Stream into bronze, and from there into the layout that silver reads, each with a trigger every
+        ``every`` interval until they are stopped. Small files of the layout merge as it goes. The options are
+        those of ``ingest_events``, which goes on where this stopped."""
+        run = self._stream_run(reset)
+        make_folder(self.spark, f"{run}/events")
+        ingest = self._start_ingest(run, every=every, **options)
+        try:
+            laid = start_relayout(
+                self.spark,
+                f"{run}/events",
+                self.bronze_events_table(),
+                f"{run}/relayout-checkpoint",
+                every=every,
+            )
+        except Exception:
+            ingest.stop()
+            raise
+        return EventStreams(self.spark, ingest, laid)
 
     def _start_ingest(self, run: str, **options) -> StreamingQuery:
         landing = f"{self.root}/landing/usage_events_stream/*.jsonl"
@@ -251,8 +297,10 @@ class Lake:
         self.load_all_serving()
         return ingested
 
-    def expire(self, keep: int = 2) -> int:
-        """Delete versions of all tables before the last ``keep``; give the number of folders."""
+    def expire(self, keep: int = 2, orphans_after_hours: float = ORPHAN_AFTER_HOURS) -> int:
+        """Delete versions of all tables before the last ``keep``, what broken loads have left, and the output
+        of stream runs before the last; give the number of folders. The rows of an older run are in its
+        versions of the layout, as long as those are kept."""
         tables = [
             *[self.bronze_table(n) for n in fixed.MASTERS],
             self.bronze_events_table(),
@@ -260,8 +308,20 @@ class Lake:
             self.daily_table(),
             *[self.mart_table(n) for n in marts()],
             *[self.serving_table(n) for n in SERVING],
+            *[refused_table(self.serving_table(n), SERVING[n]) for n in SERVING],
         ]
-        return sum(table.expire(keep) for table in tables)
+        return sum(table.expire(keep, orphans_after_hours) for table in tables) + self._expire_runs()
+
+    def _expire_runs(self) -> int:
+        """Delete all stream runs but the last, which a reset has left behind."""
+        folder = f"{self.root}/bronze/usage_events"
+        if not exists(self.spark, f"{self.root}/bronze/usage_events_runs"):
+            return 0
+        last = self._stream_run(reset=False)
+        old = [f"{folder}/{f.name}" for f in listed(self.spark, folder) if f"{folder}/{f.name}" != last]
+        for run in old:
+            remove(self.spark, run)
+        return len(old)
 
     # Counters -----------------------------------------------------------------------------------------
     def master_counters(self) -> DataFrame:

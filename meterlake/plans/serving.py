@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -106,8 +107,8 @@ def to_serving(mart: DataFrame, table: ServingTable) -> DataFrame:
     return judged(mart, table).where(F.size(REFUSED) == 0).drop(REFUSED)
 
 
-def laid_out(df: DataFrame, table: ServingTable) -> DataFrame:
-    return arrange_by_key(df, table.partition_key, table.clustering)
+def laid_out(df: DataFrame, table: ServingTable, first: Sequence[str] = ()) -> DataFrame:
+    return arrange_by_key(df, table.partition_key, table.clustering, first)
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,10 +30,14 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Add ROW_ID to a frame read straight from Parquet files."""
-    return df.select(
-        "*",
+def row_id_columns() -> list[Column]:
+    """ROW_ID of a frame read straight from Parquet files."""
+    return [
         F.xxhash64("_metadata.file_path").alias(ROW_ID[0]),
         F.col("_metadata.row_index").alias(ROW_ID[1]),
-    )
+    ]
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """Add ROW_ID to a frame read straight from Parquet files."""
+    return df.select("*", *row_id_columns())

@@ -8,6 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import catalog as fixed
 from ..plans.events import to_bronze
+from .counters import counted, listen
+
+# What an ingest counts: rows read with and without an event id, and rows let through.
+NAMED, UNNAMED, PASSED = "named", "unnamed", "passed"
 
 
 def event_stream(
@@ -31,8 +35,8 @@ def event_stream(
 def dedupe_stream(
     events: DataFrame, *, watermark: str, mode: str = "bounded", spread_copies: int = 1
 ) -> DataFrame:
-    """Each event id once. Rows without an id all pass, each under a key of its own: they are not copies of
-    one another, and silver quarantines them.
+    """Each event id once. Rows without an id are not copies of one another: they pass beside the operator
+    that remembers ids and leave nothing in its state. Silver quarantines them.
 
     ``bounded`` forgets an id when it has not come in for as long as ``watermark``, so state stays small; an
     id that returns later is let in again, and silver removes it then. ``global`` keeps every id seen,
@@ -44,15 +48,18 @@ def dedupe_stream(
     """
     if mode not in ("global", "bounded"):
         raise ValueError(f"mode is global or bounded, not {mode}")
-    keyed = events.withColumn("_once", F.coalesce("event_id", F.uuid()))
+    # One source feeds both branches, and each counts what it takes.
+    named = counted(events.where(F.col("event_id").isNotNull()), NAMED)
+    unnamed = counted(events.where(F.col("event_id").isNull()), UNNAMED)
     distinct = DataFrame.dropDuplicates
     if mode == "bounded":
-        keyed = keyed.withColumn("_read_at", F.current_timestamp()).withWatermark("_read_at", watermark)
+        named = named.withColumn("_read_at", F.current_timestamp()).withWatermark("_read_at", watermark)
         distinct = DataFrame.dropDuplicatesWithinWatermark
     if spread_copies > 1:
-        dealt = keyed.withColumn("_deal", F.floor(F.rand() * spread_copies))
-        keyed = distinct(dealt, ["_once", "_deal"]).drop("_deal")
-    return distinct(keyed, ["_once"]).drop("_once", "_read_at")
+        dealt = named.withColumn("_deal", F.floor(F.rand() * spread_copies))
+        named = distinct(dealt, ["event_id", "_deal"]).drop("_deal")
+    once = distinct(named, ["event_id"])
+    return once.select(*events.columns).unionByName(unnamed)
 
 
 def start_ingest(
@@ -74,8 +81,9 @@ def start_ingest(
         to_bronze(stream, ingest_ts), watermark=watermark, mode=dedupe, spread_copies=spread_copies
     )
     columns = [f.name for f in fixed.EVENT_BRONZE]
+    listen(spark)
     writer = (
-        events.select(*columns)
+        counted(events.select(*columns), PASSED)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -83,14 +91,3 @@ def start_ingest(
     )
     timed = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return timed.start(bronze)
-
-
-def finish(query: StreamingQuery, poll_seconds: float = 1.0) -> int:
-    """Wait for a query that stops by itself; give its input rows. Progress is read while it runs, as
-    Spark keeps only the last updates."""
-    seen: dict[int, int] = {}
-    done = False
-    while not done:
-        done = query.awaitTermination(poll_seconds)
-        seen.update((p["batchId"], p["numInputRows"] or 0) for p in query.recentProgress)
-    return sum(seen.values())

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedupe import content_order
-from ..operators.keyed import replace_partitions, upsert
+from ..operators.keyed import BUCKET, bucket_of, replace_partitions, upsert
 from ..plans.serving import REFUSED, ServingTable, judged, laid_out, refused_schema
-from ..session import scratch, settle
-from ..sources.versioned import VersionedTable
-from .ingest import finish
+from ..session import scratch, settle_measured
+from ..sources.versioned import Part, Version, VersionedTable, within
+from .counters import counted, finish, listen
 
 
 @dataclass(frozen=True)
@@ -25,8 +25,15 @@ class LoadResult:
     refused_rows: int = 0
 
 
+# Rows of a serving table lie in buckets of about this size by their partition key; a load rewrites those it
+# touches. Tables are bucketed anew when they have grown four times beyond it.
+BUCKET_BYTES = 128 << 20
+MAX_BUCKETS = 4096
+
 # When a mart was built, and when a row's load was; the second is the first where a mart has it.
 STAMP, LOADED = "gold_ts", "_loaded"
+# What a load counts: rows read.
+READ = "read"
 
 
 def refused_table(target: VersionedTable, table: ServingTable) -> VersionedTable:
@@ -50,6 +57,21 @@ def _newest_load(changes: DataFrame, partition_key: Sequence[str]) -> DataFrame:
     return changes.join(newest, list(partition_key)).where(F.col(LOADED).eqNullSafe(F.col("_newest")))
 
 
+def _wanted_buckets(size: int) -> int:
+    return min(MAX_BUCKETS, max(1, -(-size // BUCKET_BYTES)))
+
+
+def _buckets(last: Version | None, size: int, whole: bool) -> tuple[int, bool]:
+    """How many buckets the table has or gets, and whether all of it is written anew: by a load of all there
+    is, into a table that lies in no buckets, or once the table has outgrown them."""
+    if last is None or whole or not last.in_cells or BUCKET not in last.note:
+        return _wanted_buckets(size), True
+    stored = sum(part.bytes for part in last.parts)
+    if _wanted_buckets(stored + size) >= 4 * last.note[BUCKET]:
+        return _wanted_buckets(stored + size), True
+    return last.note[BUCKET], False
+
+
 def merge_batch(
     target: VersionedTable,
     table: ServingTable,
@@ -58,10 +80,15 @@ def merge_batch(
     order_by: Sequence[str] = (),
     token: str | None = None,
     whole: bool = False,
+    buckets: int | None = None,
 ) -> None:
     """Bring one batch into the table as a new version. A token seen before makes it a no-op, so a batch
     that a restart replays counts once. Executors do all of it; the driver sees no rows.
 
+    Rows lie in buckets by partition key. Only buckets that the batch has keys of are read and written; the
+    new version keeps the files of all others. ``buckets`` fixes their number for a table that is new or
+    written as a whole; else it goes by size.
+
     If a batch holds several loads, the last one wins: for each key, or for each partition where the table
     replaces those. ``whole``: the batch is all there is, and what it lacks goes. Rows with a null in a
     required column are refused and written to ``refused_table``."""
@@ -69,18 +96,35 @@ def merge_batch(
         return
     with scratch(batch.sparkSession):
         loaded = _load_time(batch, table).alias(LOADED)
-        stored = settle(judged(batch, table, loaded), f"serving-{table.name}")
+        stored, size = settle_measured(judged(batch, table, loaded), f"serving-{table.name}")
         _keep_refused(target, table, stored.where(F.size(REFUSED) > 0), token, whole)
         changes = stored.where(F.size(REFUSED) == 0).drop(REFUSED)
-        existing = target.read_or_empty()
-        if whole:
-            existing = existing.where(F.lit(False))
+        last = target.current()
+        n, anew = _buckets(last, size, whole)
+        n = buckets if buckets and anew else n
+        of = bucket_of(table.partition_key, n)
+        # At most MAX_BUCKETS numbers.
+        touched = set() if anew else {f"{BUCKET}={r[0]}" for r in changes.select(of).distinct().collect()}
+        hit = lambda part: within(part.cell, touched)
+        if last is None or whole:
+            existing = target.read_or_empty().where(F.lit(False))
+        else:
+            existing = target.read(only=None if anew else hit)
         if table.replaces_partitions:
             changes = _newest_load(changes, table.partition_key)
             merged = replace_partitions(existing, changes, table.partition_key)
         else:
             merged = upsert(existing, changes, table.keys, content_order(changes, [LOADED, *order_by]))
-        target.publish(laid_out(merged, table), arranged=True, token=token)
+        keep: Callable[[Part], bool] | None = None if anew else lambda part: not hit(part)
+        target.publish(
+            laid_out(merged.select("*", of), table, first=[BUCKET]),
+            partition_by=(BUCKET,),
+            arranged=True,
+            in_cells=True,
+            keep=keep,
+            token=token,
+            note={BUCKET: n},
+        )
 
 
 def _keep_refused(
@@ -105,6 +149,7 @@ def load_stream(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     schema: T.StructType | None = None,
     whole: bool = False,
+    buckets: int | None = None,
 ) -> LoadResult:
     """Stream a mart's Parquet files into its serving table; only files not loaded before are read.
 
@@ -116,18 +161,18 @@ def load_stream(
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
         token = f"{checkpoint}#{batch_id}"
-        merge_batch(target, table, rows, order_by=order_by, token=token, whole=whole)
+        merge_batch(target, table, rows, order_by=order_by, token=token, whole=whole, buckets=buckets)
 
+    listen(spark)
+    files = spark.readStream.schema(schema).parquet(source)
     query = (
-        spark.readStream.schema(schema)
-        .parquet(source)
-        .select("*", F.col("_metadata.file_modification_time").alias(LOADED))
+        counted(files.select("*", F.col("_metadata.file_modification_time").alias(LOADED)), READ)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    return load_result(target, table, finish(query))
+    return load_result(target, table, finish(spark, query)[READ])
 
 
 def load_result(target: VersionedTable, table: ServingTable, input_rows: int) -> LoadResult:

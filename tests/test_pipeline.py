@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake import catalog
 from meterlake.plans import checks
-from meterlake.plans.layout import merge_folders
+from meterlake.plans.layout import merge_small_files
 from meterlake.plans.masters import bronze_master, with_lineage
 from meterlake.plans.pipeline import Lake
 from meterlake.session import work_folder
@@ -167,15 +167,24 @@ def test_reset_replays_into_a_new_run(lake):
     assert replay.bronze_rows == len(FIRST) + len(SECOND) - 1
 
 
+def files_of(table):
+    found = table.read(row_id=False).select(F.input_file_name().alias("f")).distinct().collect()
+    return {r["f"] for r in found}
+
+
 def test_folders_merge_and_old_versions_go(lake, rows):
     table = lake.bronze_events_table()
     before = rows(table.read(), "event_id", "usage_date", "service", "value")
     add_events(lake.folder, "part-3", [event("e30"), event("e31", resource_id=None, service="ai")])
     assert lake.ingest_events().input_rows == 2
     assert len(table.current().folders) == 2
-    assert merge_folders(table, after=1)
-    assert not merge_folders(table, after=1)
-    assert len(table.current().folders) == 1
+    files = {f for f in files_of(table)}
+    crowded = {p.cell.split("/")[0] for p in table.current().parts if p.folder == table.current().parts[-1].folder}
+    assert merge_small_files(table, after=1) >= 1
+    assert merge_small_files(table, after=1) == 0
+    assert len(table.current().folders) == 2
+    kept = {f for f in files if f"/{next(iter(crowded))}/" not in f}
+    assert kept and kept <= files_of(table)
     assert len(rows(table.read(), "event_id", "usage_date", "service", "value")) == len(before) + 2
     assert lake.expire(keep=1) > 0
     assert table.read().count() == len(before) + 2

@@ -8,7 +8,8 @@ from meterlake.catalog import EVENT_BRONZE, EVENT_LANDING
 from meterlake.plans import pipeline
 from meterlake.plans.events import to_bronze
 from meterlake.sources.tables import read_landing_json
-from meterlake.streaming.ingest import dedupe_stream, event_stream, finish, start_ingest
+from meterlake.streaming.counters import counted, finish, listen
+from meterlake.streaming.ingest import NAMED, UNNAMED, dedupe_stream, event_stream, start_ingest
 
 
 @pytest.fixture()
@@ -28,8 +29,8 @@ def ingest(spark, tmp_path):
             files_per_trigger=1,
             **options,
         )
-        rows = finish(query, 0.2)
-        return rows, query
+        seen = finish(spark, query)
+        return seen[NAMED] + seen[UNNAMED], query
 
     def stored():
         return spark.read.schema(EVENT_BRONZE).parquet(str(tmp_path / "bronze"))
@@ -146,14 +147,66 @@ def test_unknown_mode(spark, tmp_path):
         dedupe_stream(event_stream(spark, str(tmp_path)), watermark="1 day", mode="all")
 
 
-def test_the_lake_goes_on_after_an_interval_run(spark, tmp_path):
+@pytest.fixture()
+def landed_lake(spark, tmp_path):
     landing = tmp_path / "landing" / "usage_events_stream"
     landing.mkdir(parents=True)
-    (landing / "a.jsonl").write_text(json.dumps(event("e1")) + "\n")
-    lake = pipeline.Lake(spark, str(tmp_path))
-    query = lake.start_events("1 second")
-    query.processAllAvailable()
-    assert query.isActive
-    query.stop()
+
+    def land(name, *events):
+        (landing / f"{name}.jsonl").write_text("".join(json.dumps(e) + "\n" for e in events))
+
+    return pipeline.Lake(spark, str(tmp_path)), land
+
+
+def test_continuous_events_reach_the_layout_without_another_call(landed_lake, rows):
+    lake, land = landed_lake
+    land("a", event("e1"), event(None))
+    streams = lake.start_events("1 second")
+    try:
+        streams.catch_up()
+        assert rows(lake.bronze_events(), "event_id") == [("e1",), (None,)]
+        land("b", event("e1"), event("e2"), event(None))
+        streams.catch_up()
+        assert rows(lake.bronze_events(), "event_id") == [("e1",), ("e2",), (None,), (None,)]
+        assert streams.ingest.isActive and streams.relayout.isActive
+    finally:
+        streams.stop()
+
+
+def test_the_lake_goes_on_after_an_interval_run(landed_lake):
+    lake, land = landed_lake
+    land("a", event("e1"))
+    streams = lake.start_events("1 second")
+    streams.catch_up()
+    streams.stop()
+    land("b", event("e1"), event("e2"), event(None))
     done = lake.ingest_events()
-    assert (done.input_rows, done.bronze_rows) == (0, 1)
+    assert (done.input_rows, done.dropped_rows, done.unnamed_rows, done.bronze_rows) == (3, 1, 1, 3)
+
+
+def test_counts_are_exact_over_more_batches_than_spark_keeps(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    for i in range(130):
+        (landing / f"{i:03}.csv").write_text("1\n" * (i % 5))
+    listen(spark)
+    stream = spark.readStream.schema("n int").option("maxFilesPerTrigger", 1).csv(str(landing))
+    query = (
+        counted(counted(stream, "read").where("n = 1"), "kept")
+        .writeStream.format("noop")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    seen = finish(spark, query)
+    assert seen["read"] == seen["kept"] == sum(i % 5 for i in range(130))
+    assert len(query.recentProgress) <= 100
+
+
+@pytest.mark.parametrize("mode", ["global", "bounded"])
+def test_rows_without_an_id_leave_nothing_in_the_state(ingest, mode):
+    land, run, _ = ingest
+    land("a", *[event(None)] * 50, event("e1"), event("e2"), event("e1"))
+    _, query = run(dedupe=mode)
+    (state,) = query.lastProgress["stateOperators"]
+    assert state["numRowsTotal"] == 2

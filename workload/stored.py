@@ -13,7 +13,8 @@ from meterlake.session import fresh_path, settle
 from meterlake.sinks.parquet import save_to, write_partitioned
 from meterlake.sources.tables import read_parquet
 from meterlake.sources.versioned import VersionedTable
-from meterlake.streaming.ingest import finish, start_ingest
+from meterlake.streaming.counters import finish
+from meterlake.streaming.ingest import NAMED, UNNAMED, start_ingest
 from meterlake.streaming.publish import load_frame, load_stream, merge_batch, refused_table
 
 from .proxies import AS_OF, bronze_events, landed, table
@@ -95,8 +96,8 @@ def _landing_rows(spark, sf) -> DataFrame:
 
 def _ingested(spark, landing: str, folder: str, **options) -> tuple[int, DataFrame]:
     query_ = start_ingest(spark, landing, f"{folder}/events", f"{folder}/checkpoint", **options)
-    rows = finish(query_, poll_seconds=0.2)
-    return rows, read_parquet(spark, f"{folder}/events", EVENT_BRONZE)
+    seen = finish(spark, query_)
+    return seen[NAMED] + seen[UNNAMED], read_parquet(spark, f"{folder}/events", EVENT_BRONZE)
 
 
 _STREAMED = "event_id, org_id, service, region, metric, unit, value, cost_usd_increment, genai_tokens"
