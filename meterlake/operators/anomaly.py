@@ -75,6 +75,36 @@ def flag_conditions(cost: str = COST) -> dict[str, Column]:
     return dict(zip(fixed.ANOMALY_FLAGS, [*decided, decided[0] | decided[1] | decided[2] | decided[3]]))
 
 
+STATISTICS = ("mean_cost", "std_cost", "p01_cost", "median_cost", "p99_cost", "mad_cost")
+
+
+def cost_profile(
+    population: DataFrame,
+    group: Sequence[str] = GROUP,
+    cost: str = COST,
+    spread_by: Sequence[str] = ROW_ID,
+) -> Measured:
+    """All STATISTICS per group of the rows given, by two narrow passes over them. A frame that is dear to
+    make should be stored first."""
+    base = settle_measured(cost_statistics(population, group, cost), "cost-statistics")
+    deviation = median_deviation(population, base, group, cost, spread_by)
+    return settle_measured(base.df.join(deviation, list(group), "left"), "cost-deviations")
+
+
+def with_flags(
+    events: DataFrame,
+    profile: Measured,
+    group: Sequence[str] = GROUP,
+    cost: str = COST,
+    spread_by: Sequence[str] = ROW_ID,
+    count_in: DataFrame | None = None,
+) -> DataFrame:
+    """Add the five anomaly flags, by the statistics of each row's group. A row without statistics (no
+    service, no cost) gets false."""
+    joined = lookup_join(events, profile, group, spread_by=spread_by, count_in=count_in)
+    return joined.withColumns(flag_conditions(cost)).drop(*STATISTICS)
+
+
 def flag_cost_anomalies(
     events: DataFrame,
     group: Sequence[str] = GROUP,
@@ -82,14 +112,8 @@ def flag_cost_anomalies(
     spread_by: Sequence[str] = ROW_ID,
     population: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the five anomaly flags. A row without statistics (no service, no cost) gets false.
-
-    Statistics cover every row given, or those of ``population``. Two narrow passes build them; the full
-    rows are read once, and stay in place while the statistics fit a broadcast.
-    """
+    """Add the five anomaly flags. Statistics cover every row given, or those of ``population``. The full
+    rows are read once, and stay in place while the statistics fit a broadcast."""
     counted = events if population is None else population
-    base = settle_measured(cost_statistics(counted, group, cost), "cost-statistics")
-    deviation = median_deviation(counted, base, group, cost, spread_by)
-    statistics = settle_measured(base.df.join(deviation, list(group), "left"), "cost-deviations")
-    joined = lookup_join(events, statistics, group, spread_by=spread_by, count_in=counted)
-    return joined.withColumns(flag_conditions(cost)).drop("mean_cost", "std_cost", "p01_cost", "median_cost", "p99_cost", "mad_cost")
+    profile = cost_profile(counted, group, cost, spread_by)
+    return with_flags(events, profile, group, cost, spread_by, count_in=counted)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import rows
-from ..session import settle_measured
+from ..session import Measured, settle_measured
 from ..sources.tables import ROW_ID
 from .lookup import lookup_join, with_keys
 
@@ -42,6 +42,40 @@ def drop_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(present) if present else df
 
 
+def kept_copies(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], *, row_id: Sequence[str] = ROW_ID
+) -> Measured:
+    """Of each repeated key its latest row: the keys and that row's identity, under the names of ``row_id``
+    with ``_keep`` in front. A key with a null is not repeated.
+
+    No window over the key, since all copies of one key would sort in one task. Hashes of the keys alone are
+    counted; only the rows whose hash is repeated, few columns of them, are ranked, by a partial aggregate
+    over the keys themselves. A frame that is dear to make should be stored first: it is read twice.
+    """
+    hashed = with_keys(df.select(*dict.fromkeys([*keys, *order_by, *row_id])), keys).withColumn(
+        "_hash", F.xxhash64(*keys)
+    )
+    counted = hashed.groupBy("_hash").agg(rows().alias("n")).where("n > 1")
+    repeated = settle_measured(counted.select("_hash", F.lit(True).alias("_repeated")), "repeated-keys")
+    copies = lookup_join(hashed, repeated, ["_hash"], spread_by=row_id).where("_repeated")
+    winners = (
+        copies.groupBy(*keys)
+        .agg(rows().alias("n"), F.max(F.struct(*order_by, *row_id)).alias("top"))
+        .where("n > 1")  # a hash may stand for two keys
+        .select(*keys, *[F.col(f"top.{c}").alias(f"_keep{c}") for c in row_id])
+    )
+    return settle_measured(winners, "kept-copies")
+
+
+def with_surplus(
+    df: DataFrame, kept: Measured, keys: Sequence[str], *, row_id: Sequence[str] = ROW_ID
+) -> DataFrame:
+    """Add the flag SURPLUS: true on each row of a repeated key but the one that ``kept_copies`` names."""
+    marked = lookup_join(df, kept, keys, spread_by=row_id)
+    same = reduce(and_, [F.col(c) == F.col(f"_keep{c}") for c in row_id])
+    return marked.withColumn(SURPLUS, F.coalesce(~same, F.lit(False))).drop(*[f"_keep{c}" for c in row_id])
+
+
 def mark_surplus(
     df: DataFrame,
     keys: Sequence[str],
@@ -49,25 +83,7 @@ def mark_surplus(
     *,
     row_id: Sequence[str] = ROW_ID,
 ) -> DataFrame:
-    """Add the flag SURPLUS: true on each row of a repeated key but its latest. A key with a null is not marked.
-
-    No window over the key, since all copies of one key would sort in one task. The keys alone are counted
-    by hash; only the rows of repeated ones, few columns of them, are ranked, by a partial aggregate. The
-    winner's row identity is then looked up from the full rows, which are shuffled only if there are too
-    many repeated keys to broadcast.
-    """
-    keyed = with_keys(df, keys)
-    counted = keyed.groupBy(*keys).agg(rows().alias("n")).where("n > 1")
-    repeated = settle_measured(counted.select(*keys, F.lit(True).alias("_repeated")), "repeated-keys")
-    narrow = keyed.select(*dict.fromkeys([*keys, *order_by, *row_id]))
-    copies = lookup_join(narrow, repeated, keys, spread_by=row_id).where("_repeated")
-    winners = (
-        copies.groupBy(*keys)
-        .agg(F.max(F.struct(*order_by, *row_id)).alias("top"))
-        .select(*keys, *[F.col(f"top.{c}").alias(f"_keep{c}") for c in row_id])
-    )
-    marked = lookup_join(df, settle_measured(winners, "kept-copies"), keys, spread_by=row_id)
-    kept = reduce(and_, [F.col(c) == F.col(f"_keep{c}") for c in row_id])
-    return marked.withColumn(SURPLUS, F.coalesce(~kept, F.lit(False))).drop(
-        *[f"_keep{c}" for c in row_id]
-    )
+    """Add the flag SURPLUS: true on each row of a repeated key but its latest. A key with a null is not
+    marked. Full rows only look up whether they are the winner; they are shuffled only if there are too many
+    repeated keys to broadcast."""
+    return with_surplus(df, kept_copies(df, keys, order_by, row_id=row_id), keys, row_id=row_id)

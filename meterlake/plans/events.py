@@ -12,8 +12,8 @@ from .. import catalog as fixed
 from ..functions.measures import carried, hits, metric_value, rows
 from ..functions.parse import to_instant, to_number
 from ..functions.text import RULES, clean_region, clean_service, clean_text, unknown_region, unknown_service
-from ..operators.anomaly import flag_cost_anomalies
-from ..operators.dedupe import SURPLUS, mark_surplus
+from ..operators.anomaly import COST, GROUP, cost_profile, with_flags
+from ..operators.dedupe import SURPLUS, kept_copies, with_surplus
 from ..operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join
 from ..operators.rules import Rule, apply_rules
 from ..session import Measured, settle, settle_measured
@@ -168,6 +168,10 @@ def classify(marked: DataFrame, as_of: Column | None = None) -> DataFrame:
     return apply_rules(marked, event_rules(as_of)).drop(SURPLUS)
 
 
+# What silver needs of every event before it can judge one.
+NARROW = tuple(dict.fromkeys(["event_id", *COPY_ORDER, *GROUP, COST]))
+
+
 def silver_events(
     events: DataFrame,
     customers: DataFrame,
@@ -175,21 +179,28 @@ def silver_events(
     users: DataFrame,
     as_of: Column | None = None,
     row_id: Sequence[str] = ROW_ID,
+    profile: Measured | None = None,
 ) -> DataFrame:
-    """Bronze events to classified events. The anomaly statistics count every row, the bad ones too.
+    """Bronze events to classified events. The anomaly statistics count every row, the bad ones too; a
+    ``profile`` of them that was made before takes their place.
 
-    Passes before the last read a few columns (repeated ids, statistics, deviations) and need resources
-    alone; the last reads the rows, and looks up orgs and the findings. Looking resources up again in each
-    pass is cheaper than storing all events once more, unless they were too large to broadcast and the
-    lookup means a shuffle.
+    Events are parsed twice. The first pass stores the columns that repeated ids and statistics need, which
+    are read from there, each by itself; the last reads the full rows and looks up orgs and findings. If the
+    dimensions are too large to broadcast, the rows are stored with their resources instead of being shuffled
+    twice.
     """
     known = dimensions(customers, resources, users)
     stocked = with_resource(events, known, row_id)
-    if not known.broadcast:
+    if known.broadcast:
+        narrow = settle(stocked.select(*NARROW, *row_id), "narrow-events")
+    else:
         stocked = settle(stocked, "events-with-resources")
-    marked = mark_surplus(stocked, ["event_id"], COPY_ORDER, row_id=row_id)
-    flagged = flag_cost_anomalies(marked, spread_by=row_id, population=stocked)
-    return classify(with_org(flagged, known, row_id, count_in=events), as_of)
+        narrow = stocked.select(*NARROW, *row_id)
+    kept = kept_copies(narrow, ["event_id"], COPY_ORDER, row_id=row_id)
+    found = cost_profile(narrow, spread_by=row_id) if profile is None else profile
+    marked = with_surplus(stocked, kept, ["event_id"], row_id=row_id)
+    flagged = with_flags(marked, found, spread_by=row_id, count_in=narrow)
+    return classify(with_org(flagged, known, row_id, count_in=narrow), as_of)
 
 
 def service_daily(valid: DataFrame) -> DataFrame:

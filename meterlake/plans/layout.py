@@ -19,6 +19,8 @@ from ..streaming.counters import counted, finish, listen
 
 LAYOUT = ("usage_date", "service")
 LAID = "laid"
+# What a version says about where its rows come from: the checkpoint of the run that brought them.
+RUN = "run"
 # A file below this size is small. A date with more small files than this is merged.
 SMALL_FILE_BYTES = 32 << 20
 MERGE_AFTER = 24
@@ -42,6 +44,7 @@ def start_relayout(
             append=batch_id > 0,
             in_cells=True,
             token=token,
+            note={RUN: checkpoint},
         )
         merge_small_files(target)
 
@@ -99,5 +102,6 @@ def merge_small_files(
         in_cells=True,
         keep=lambda part: part not in parts,
         expect_rows=sum(part.rows for part in parts),
+        note=version.note,
     )
     return len({part.cell.split("/")[0] for part in parts})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import catalog as fixed
 from ..operators.rules import REASON, REASONS
+from ..operators.sketches import carried_profile, carry_on
 from ..schemas import columns
 from ..files import exists, listed, make_folder, remove
 from ..session import scratch
@@ -21,8 +23,8 @@ from ..streaming.counters import finish, totals
 from ..streaming.ingest import NAMED, PASSED, UNNAMED, start_ingest
 from ..streaming.publish import LoadResult, load_result, load_stream, merge_batch, refused_table
 from . import checks
-from .events import service_daily, silver_events
-from .layout import LAID, relayout, start_relayout
+from .events import dimensions, service_daily, silver_events, with_resource
+from .layout import LAID, RUN, relayout, start_relayout
 from .marts import marts
 from .masters import bronze_master, classify_master, landed_master
 from .serving import SERVING, LookupParameters, lookup_parameters, run_lookups, to_serving
@@ -208,15 +210,52 @@ class Lake:
             classified = classify_master(self.bronze_table(name).read(), table, customers)
             self.silver_table(name).publish(_with_outcome(classified), partition_by=(OUTCOME, "ingest_date"))
 
-    def build_silver_events(self, as_of: Column | None = None) -> None:
+    def summaries_table(self) -> VersionedTable:
+        """Daily summaries of event costs, one row per org, service and day."""
+        return self._versioned("silver", "cost_summaries", None)
+
+    def refresh_summaries(self) -> list[str]:
+        """Summarise the costs of days whose events have changed since the last call, all days if the stream
+        was reset or resources have changed; give the cells of those days. Events are only ever added to
+        bronze, so a day that has as many as before has not changed."""
+        bronze, summaries = self.bronze_events_table(), self.summaries_table()
+        laid, last = bronze.current(), summaries.current()
+        days: Counter[str] = Counter()
+        for part in laid.parts:
+            days[part.cell.split("/")[0]] += part.rows
+        resources = self.silver("resources")
+        content = resources.agg(
+            F.count(F.lit(1)), F.bit_xor(F.xxhash64(*[c for c in resources.columns if not c.endswith("_ts")]))
+        ).first()
+        basis = [laid.note.get(RUN), *content]
+        known = last.note["days"] if last and last.note["basis"] == basis else {}
+        stale = [cell for cell in {*days, *known} if days.get(cell) != known.get(cell)]
+        if stale or last is None:
+            gone = set(stale) if known else {*days, *[part.cell for part in (last.parts if last else [])]}
+            with scratch(self.spark):
+                dims = dimensions(self.silver("customers_orgs"), resources, self.silver("users"))
+                events = bronze.read(row_id=True, only=lambda part: part.cell.split("/")[0] in gone)
+                carry_on(summaries, with_resource(events, dims), gone, {"days": dict(days), "basis": basis})
+        return sorted(stale)
+
+    def build_silver_events(self, as_of: Column | None = None, *, statistics: str = "recomputed") -> None:
+        """Classify all events. Their cost statistics are ``recomputed`` from all of them, or ``carried`` on
+        by days: only new or changed days are read for them, and quantiles of large groups come from sketches
+        (``operators.sketches``)."""
+        if statistics not in ("recomputed", "carried"):
+            raise ValueError(f"statistics are recomputed or carried, not {statistics}")
         table = self.silver_table("usage_events")
+        if statistics == "carried":
+            self.refresh_summaries()
         with scratch(self.spark):
+            carried = carried_profile(self.summaries_table()) if statistics == "carried" else None
             classified = silver_events(
                 self.bronze_events(),
                 self.silver("customers_orgs"),
                 self.silver("resources"),
                 self.silver("users"),
                 as_of,
+                profile=carried,
             )
             judged = _with_outcome(classified).select(*table.schema.names)
             table.publish(judged, partition_by=(OUTCOME, "usage_date"))
@@ -224,11 +263,11 @@ class Lake:
         stamped = daily.withColumn("silver_ts", F.current_timestamp())
         self.daily_table().publish(stamped, partition_by=("usage_date",))
 
-    def build_silver(self, as_of: Column | None = None) -> None:
+    def build_silver(self, as_of: Column | None = None, *, statistics: str = "recomputed") -> None:
         """Masters, customers first since the others are checked against them; then events."""
         for name in fixed.MASTERS:
             self.build_silver_master(name)
-        self.build_silver_events(as_of)
+        self.build_silver_events(as_of, statistics=statistics)
 
     # Gold ---------------------------------------------------------------------------------------------
     def _input(self, name: str) -> DataFrame:
@@ -306,6 +345,7 @@ class Lake:
             self.bronze_events_table(),
             *[self.silver_table(n) for n in (*fixed.MASTERS, "usage_events")],
             self.daily_table(),
+            self.summaries_table(),
             *[self.mart_table(n) for n in marts()],
             *[self.serving_table(n) for n in SERVING],
             *[refused_table(self.serving_table(n), SERVING[n]) for n in SERVING],

@@ -103,11 +103,32 @@ class Measured(NamedTuple):
     bytes: int
 
 
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Size of a value: text and binary by length, arrays, maps and structs by what is in them, anything else
+    by a fixed width; 16 bytes more for its place in a row."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        inside = F.octet_length(value)
+    elif isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.NumericType):
+            inside = 8 * F.size(value)
+        else:
+            sizes = F.transform(value, lambda x: _value_bytes(x, kind.elementType))
+            inside = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda total, n: total + n)
+    elif isinstance(kind, T.MapType):
+        inside = _value_bytes(F.map_keys(value), T.ArrayType(kind.keyType)) + _value_bytes(
+            F.map_values(value), T.ArrayType(kind.valueType)
+        )
+    elif isinstance(kind, T.StructType):
+        inside = sum((_value_bytes(value[f.name], f.dataType) for f in kind), F.lit(0))
+    else:
+        inside = F.lit(0)
+    return F.lit(16).cast("bigint") + F.coalesce(F.when(value.isNotNull(), inside), F.lit(0)).cast("bigint")
+
+
 def total_bytes(df: DataFrame) -> Column:
-    """Aggregate: size of the frame's values, text by length and the rest by a fixed width."""
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in text]
-    return F.coalesce(F.sum(sum(lengths, F.lit(16 * len(df.columns))).cast("bigint")), F.lit(0))
+    """Aggregate: size of the frame's values, nested ones included."""
+    sizes = [_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]
+    return F.coalesce(F.sum(sum(sizes, F.lit(0).cast("bigint"))), F.lit(0)).cast("bigint")
 
 
 def settle_measured(df: DataFrame, label: str) -> Measured:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterlake.catalog import MASTERS
 from meterlake.functions.parse import typed
 from meterlake.functions.text import conform
-from meterlake.operators import anomaly
+from meterlake.operators import anomaly, sketches
 from meterlake.operators.dedupe import SURPLUS, drop_copies, keep_latest, mark_surplus
 from meterlake.operators.lookup import without_match
 from meterlake.operators.rules import REASON, REASONS, quarantined_rows, valid_rows
@@ -16,6 +16,7 @@ from meterlake.plans import checks, events, marts, serving
 from meterlake.plans.masters import classify_master, with_lineage
 from meterlake.session import fresh_path, settle
 from meterlake.sources.tables import ROW_ID, read_parquet, with_row_id
+from meterlake.sources.versioned import VersionedTable
 
 from .proxies import AS_OF, billing, bronze, bronze_events, landed, silver, table
 from .registry import query, rounded, rounded_sql
@@ -244,6 +245,24 @@ def cost_mad(spark, sf):
     return anomaly.median_deviation(rows, stats).select("org_id", "service", *rounded("mad_cost"))
 
 
+@query(
+    "carried_statistics",
+    f"""SELECT org_id, service, {rounded_sql(_STATS + " mad_cost")}
+        FROM cost_stats JOIN cost_mads USING (org_id, service)""",
+)
+def carried_statistics(spark, sf):
+    """Two days are missing, then come with events of theirs that were there already; the other days'
+    summaries are kept, and the profile covers all days."""
+    rows = settle(enriched(spark, sf).select("org_id", "service", sketches.DAY, anomaly.COST), "costs")
+    late = [r[0] for r in rows.select(sketches.DAY).distinct().orderBy(F.desc(sketches.DAY)).limit(2).collect()]
+    is_late = F.coalesce(F.col(sketches.DAY).isin(late), F.lit(False))
+    table_ = VersionedTable(spark, fresh_path(spark, "cost-summaries"))
+    sketches.carry_on(table_, rows.where(~is_late | (F.col(anomaly.COST) > 50)), ())
+    sketches.carry_on(table_, rows.where(is_late), {sketches.day_cell(d) for d in late})
+    found = sketches.merged_profile(table_.read())
+    return found.select("org_id", "service", *rounded(_STATS + " mad_cost"))
+
+
 _FLAGS = (
     "is_cost_anomaly_zscore, is_cost_anomaly_mad, is_cost_anomaly_percentile, is_cost_anomaly_p99_x, is_cost_anomaly"
 )
