@@ -1,15 +1,17 @@
 """Benchmark decontamination with a positional inverted index, in DataFrame operations only.
 
-A window is 13 consecutive words of a test item, or the whole item if it is shorter. In each window the
-term that is rarest in the corpus is its anchor, so a few anchors cover all windows of an item. The index
-holds the postings (term, document, position) of anchor terms, each with the terms around it. A posting
-and an anchor in the item give the offset between document and item; the terms around them, compared at that
-offset from the anchor outwards, tell how far the phrase goes on. Postings of terms that no window needs are
-never stored.
+A window is 13 consecutive words of a test item, or the whole item if it is shorter. The index holds the
+postings (term, document, position) of every word of the corpus that some test item has. A window occurs where
+the posting lists of its terms meet at their offsets in it. Lists are intersected from the rarest term: its
+postings say where a window would lie, those of the next rarest leave few of these places, and only there the
+other lists are asked. Texts are read once, to make the index; all else reads postings.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,114 +55,122 @@ def item_words(items: DataFrame, item: str, text: str) -> DataFrame:
     return items.select(F.col(item).alias("item"), words.alias("words")).where("size(words) > 0").distinct()
 
 
-def corpus_words(docs: DataFrame, text: str, carry: list[Column]) -> DataFrame:
-    """A row per word of each text: what is carried, ``words`` (all of the text), ``at`` and ``term``. Terms
-    are folded word by word, as the words of items are."""
-    cut = docs.select(*carry, raw_words(F.col(text)).alias("words"))
-    placed = cut.select(*cut.columns, F.posexplode("words").alias("at", "word"))
-    return placed.select(*cut.columns, "at", folded(F.col("word")).alias("term"))
+def index(docs: DataFrame, terms: DataFrame, keys: list[Column], text: str) -> DataFrame:
+    """Postings of the terms (``word`` and its number ``term``): the keys of the document, ``term``, and
+    ``at``, the place of the word in its document. Words are folded one by one, as those of items are."""
+    cut = docs.select(*keys, raw_words(F.col(text)).alias("words"))
+    names = cut.drop("words").columns
+    # An empty string stands before a separator at the beginning; it is no word.
+    lead = (F.element_at("words", 1) == "").cast("int")
+    placed = cut.select(*names, lead.alias("lead"), F.posexplode("words").alias("at", "word"))
+    words = placed.select(*names, (F.col("at") - F.col("lead")).alias("at"), folded(F.col("word")).alias("word"))
+    return words.join(bounded(terms), "word").select(*names, "term", "at")
 
 
-def term_counts(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
-    """Occurrences in the corpus of each of the terms, 0 included."""
-    found = corpus_words(docs, text, []).select("term").join(bounded(terms), "term", "left_semi")
-    counted = found.groupBy("term").agg(F.count("*").alias("n"))
-    return terms.join(counted, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
+def term_counts(terms: DataFrame, postings: DataFrame) -> DataFrame:
+    """``term, word, n``: the length of each term's posting list, 0 included."""
+    counted = postings.groupBy("term").agg(F.count("*").alias("n"))
+    return terms.join(counted, "term", "left").select("term", "word", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def anchors(items: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The positions of each item that are the rarest of one of its windows, among terms that the corpus has
-    at all: ``item, words, q, term``, ``need`` (the length of a match that counts) and ``exact`` (a window
-    with this anchor has only such terms, so it may occur)."""
-    placed = items.select("item", "words", F.posexplode("words").alias("q", "term"))
-    ranked = placed.join(counts, "term").withColumn(
-        "rank", F.when(F.col("n") > 0, F.struct("n", "term", "q"))
-    )
-    # The rarest of each window that lies in the item, named at the window's first word.
-    ahead = Window.partitionBy("item", "words").orderBy("q").rowsBetween(0, window - 1)
-    need = F.least(F.size("words"), F.lit(window))
-    return (
-        ranked.withColumn("best", F.min("rank").over(ahead))
-        .withColumn("least", F.min("n").over(ahead))
-        .where((F.col("q") + need <= F.size("words")) & F.col("best").isNotNull())
-        .groupBy("item", "words", F.col("best.q").alias("q"), F.col("best.term").alias("term"))
-        .agg(F.max(F.col("least") > 0).alias("exact"))
-        .withColumn("need", need)
-    )
+def placed_terms(tests: DataFrame, counts: DataFrame) -> DataFrame:
+    """Each place of each test: ``test, size, q, term, word, n``."""
+    placed = tests.select("test", F.size("words").alias("size"), F.posexplode("words").alias("q", "word"))
+    return placed.join(counts, "word").select("test", "size", "q", "term", "word", "n")
 
 
-def index(docs: DataFrame, terms: DataFrame, keys: list[Column], text: str, window: int = WINDOW) -> DataFrame:
-    """Postings of the terms: the keys of the document, ``term``, ``at``, and ``around``: the words from
-    ``window - 1`` before to as many after it, where ``left`` tells how many there are before."""
-    reach = window - 1
-    first = F.greatest(F.col("at") - reach, F.lit(0))
-    near = F.slice("words", first + 1, F.col("at") - first + window)
-    names = [c for c in docs.select(*keys).columns]
+def windows_of(placed: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The windows of each test that have a term of the corpus: ``test``, first place ``s``, ``need`` (their
+    words), ``exact`` (the corpus has all of their terms, so they may occur), and place and number of their
+    rarest term (``q1, term1``) and the next (``q2, term2``; the same in a window of one such term)."""
+    need = F.least("size", F.lit(window))
+    ahead = Window.partitionBy("test").orderBy("q").rowsBetween(0, window - 1)
+    ranked = F.array_sort(F.filter(F.col("terms"), lambda t: t["n"] > 0))
     return (
-        corpus_words(docs, text, keys)
-        .join(bounded(terms), "term")
+        placed.withColumn("terms", F.collect_list(F.struct("n", "word", "q", "term")).over(ahead))
+        .withColumn("least", F.min("n").over(ahead))
+        .where(F.col("q") + need <= F.col("size"))
+        .select("test", F.col("q").alias("s"), need.alias("need"), (F.col("least") > 0).alias("exact"), ranked.alias("r"))
+        .where(F.size("r") > 0)
+        .withColumn("next", F.get("r", F.least(F.size("r") - 1, F.lit(1))))
         .select(
-            *names,
-            "term",
-            "at",
-            (F.col("at") - first).alias("left"),
-            F.transform(near, folded).alias("around"),
+            "test",
+            "s",
+            "need",
+            "exact",
+            F.col("r")[0]["q"].alias("q1"),
+            F.col("r")[0]["term"].alias("term1"),
+            F.col("next.q").alias("q2"),
+            F.col("next.term").alias("term2"),
         )
     )
 
 
-def equal_run(pairs: Column) -> Column:
-    """Leading true values of an array."""
-    first_false = F.array_position(pairs, F.lit(False))
-    return F.when(first_false == 0, F.size(pairs)).otherwise(first_false - 1).cast("int")
-
-
-def matches(postings: DataFrame, anchored: DataFrame, names: list[str]) -> DataFrame:
-    """Exact phrase matches: the document's keys, ``item``, and the ``first`` and ``last`` position in the
-    document of the words that are equal around an anchor."""
-    joined = postings.join(bounded(anchored.where("exact").drop("exact")), "term")
-    here, there = F.col("left"), F.col("q")
-    back = F.least(here, there)
-    on = F.least(F.size("around") - here, F.size("words") - there)
-    compare = lambda a, b: a.eqNullSafe(b)
-    before = equal_run(
-        F.zip_with(
-            F.reverse(F.slice("around", here - back + 1, back)),
-            F.reverse(F.slice("words", there - back + 1, back)),
-            compare,
-        )
+def _same(a: DataFrame, b: DataFrame, names: list[str], *also: str) -> Column:
+    on = [a[c].eqNullSafe(b[c]) for c in names] + [a[c] == b[c] for c in also]
+    return reduce(and_, on)
+
+
+def matches(postings: DataFrame, placed: DataFrame, windows: DataFrame, names: list[str]) -> DataFrame:
+    """Exact phrase matches: the document's keys, ``test``, and the ``first`` and ``last`` place in the
+    document of a run of words that windows of the test cover.
+
+    ``off`` is where the test would begin in the document, so a term at place q of the test is at off + q.
+    """
+    may = windows.where("exact")
+    rarest = may.select("test", "q1", F.col("term1").alias("term")).distinct()
+    begun = postings.join(bounded(rarest), "term").select(
+        *names, "test", "q1", (F.col("at") - F.col("q1")).alias("off")
+    )
+    # The next rarest, at its place: its list alone is read.
+    pairs = may.select("test", "q1", "q2", F.col("term2").alias("term")).distinct()
+    seconds = postings.join(bounded(pairs.select("term").distinct()), "term", "left_semi")
+    asked = begun.join(bounded(pairs), ["test", "q1"]).withColumn("at", F.col("off") + F.col("q2"))
+    left = settle(
+        asked.join(seconds, _same(asked, seconds, names, "term", "at"), "left_semi")
+        .select(*names, "test", "off", "q1", "q2")
+        .distinct(),
+        "phrase-candidates",
     )
-    after = equal_run(F.zip_with(F.slice("around", here + 1, on), F.slice("words", there + 1, on), compare))
+    # All other terms of the windows that are left, at their places.
+    places = (
+        left.join(bounded(may), ["test", "q1", "q2"])
+        .select(*names, "test", "off", F.explode(F.expr("sequence(s, s + need - 1)")).alias("q"))
+        .distinct()
+    )
+    expected = places.join(bounded(placed.select("test", "q", "term")), ["test", "q"]).withColumn("at", F.col("off") + F.col("q"))
+    held = bounded(left.select(*names).distinct())
+    there = postings.join(held, _same(postings, held, names), "left_semi")
+    found = expected.join(there, _same(expected, there, names, "term", "at"), "left_semi")
+    # Places that follow one another without a gap form a run.
+    of_test = Window.partitionBy(*names, "test", "off").orderBy("q")
+    needed = bounded(may.select("test", "need").distinct())
     return (
-        joined.withColumn("before", before)
-        .withColumn("after", after)
-        .where((F.col("after") > 0) & (F.col("before") + F.col("after") >= F.col("need")))
-        .select(
-            *names,
-            "item",
-            (F.col("at") - F.col("before")).alias("first"),
-            (F.col("at") + F.col("after") - 1).alias("last"),
-        )
+        found.withColumn("run", F.col("q") - F.row_number().over(of_test))
+        .groupBy(*names, "test", "off", "run")
+        .agg(F.min("at").alias("first"), F.max("at").alias("last"))
+        .join(needed, "test")
+        .where(F.col("last") - F.col("first") + 1 >= F.col("need"))
+        .select(*names, "test", "first", "last")
     )
 
 
-def near_matches(postings: DataFrame, anchored: DataFrame, names: list[str], span: int = WINDOW) -> DataFrame:
-    """Proximity matches: documents that have at least two different anchors of an item within ``span``
-    words of the distance they have in the item, in any order: the keys, ``item`` and the ``anchors``
-    found, for every such document and item."""
-    cell = F.floor((F.col("at") - F.col("q")) / span)
-    # Items with one anchor cannot have two, and their anchor may be a frequent word.
-    several = anchored.groupBy("item").agg(F.countDistinct("q").alias("n")).where("n >= 2").select("item")
-    hits = postings.drop("around").join(
-        bounded(anchored.join(several, "item", "left_semi").drop("words", "need", "exact")), "term"
-    )
+def near_matches(postings: DataFrame, windows: DataFrame, names: list[str], span: int = WINDOW) -> DataFrame:
+    """Proximity matches: documents that have at least two of a test's rarest terms about as far apart as the
+    test has them, in any order: the keys, ``test`` and the number of places (``anchors``) found. Where the
+    test would begin by each of them must lie in one or in neighbouring stretches of ``span`` words."""
+    anchored = windows.select("test", "q1", F.col("term1").alias("term")).distinct()
+    # Tests with one anchor cannot have two, and their anchor may be a frequent word.
+    several = anchored.groupBy("test").agg(F.count("*").alias("n")).where("n >= 2").select("test")
+    hits = postings.join(bounded(anchored.join(several, "test", "left_semi")), "term")
+    cell = F.floor((F.col("at") - F.col("q1")) / span)
     # An offset counts for its own stretch of the document and the next, so neighbours meet in one.
     return (
-        hits.select(*names, "item", "q", F.explode(F.array(cell, cell + 1)).alias("cell"))
-        .groupBy(*names, "item", "cell")
-        .agg(F.countDistinct("q").alias("anchors"))
+        hits.select(*names, "test", "q1", F.explode(F.array(cell, cell + 1)).alias("cell"))
+        .groupBy(*names, "test", "cell")
+        .agg(F.countDistinct("q1").alias("anchors"))
         .where("anchors >= 2")
-        .groupBy(*names, "item")
+        .groupBy(*names, "test")
         .agg(F.max("anchors").alias("anchors"))
     )
 
@@ -174,18 +184,23 @@ def search(
     item: str = "item_id",
     text: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
-    """Exact and proximity matches of test items in documents. Documents are named by ``key`` and
+    """Exact and proximity matches of test items in documents: documents are named by ``_key`` and
     ``_text_hash``, so rows that repeat a key with another text are apart, and equal rows have equal
-    matches (they are found once for each row)."""
-    tests = settle(item_words(items, item, text), "test-items")
+    matches. Both results have ``item``."""
+    numbered = item_words(items, item, text).withColumn("test", F.monotonically_increasing_id())
+    tests = settle(numbered, "test-items")
     names = ["_key", "_text_hash"]
     keys = [F.col(key).alias("_key"), F.xxhash64(text).alias("_text_hash")]
-    terms = tests.select(F.explode("words").alias("term")).distinct()
-    counts = settle(term_counts(docs, settle(terms, "test-terms"), text), "term-counts")
-    chosen = settle(anchors(tests, counts, window), "anchors")
-    rare = settle(chosen.select("term").distinct(), "anchor-terms")
-    postings = settle(index(docs, rare, keys, text, window), "positional-index")
-    return matches(postings, chosen, names), near_matches(postings, chosen, names, window)
+    words = tests.select(F.explode("words").alias("word")).distinct()
+    terms = settle(words.withColumn("term", F.monotonically_increasing_id()), "test-terms")
+    postings = settle(index(docs, terms, keys, text), "positional-index")
+    placed = settle(placed_terms(tests, term_counts(terms, postings)), "test-places")
+    windows = settle(windows_of(placed, window), "test-windows")
+    named = bounded(tests.select("test", "item"))
+    return (
+        matches(postings, placed, windows, names).join(named, "test").drop("test"),
+        near_matches(postings, windows, names, window).join(named, "test").drop("test"),
+    )
 
 
 def report(
@@ -223,7 +238,7 @@ def report(
         .groupBy(*names)
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
     )
-    close = near.groupBy(*names).agg(F.count("*").alias("n_near"))
+    close = near.select(*names, "item").distinct().groupBy(*names).agg(F.count("*").alias("n_near"))
     totals = docs.select(
         F.col(key).alias("_key"), F.xxhash64(text).alias("_text_hash"), raw_words(F.col(text)).alias("words")
     ).select(*names, n_words("words").cast("bigint").alias("n_words"))

@@ -232,7 +232,7 @@ def op9_ring(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_contamination(spark: SparkSession, sf: str) -> DataFrame:
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
-    return finished(spark, lambda: contamination.report(docs, items).drop("n_near"), "op10")
+    return finished(spark, lambda: contamination.report(docs, items), "op10")
 
 
 ORACLES["op10_contamination"] = r"""
@@ -259,11 +259,36 @@ WITH cut AS (
 ), which AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+), said AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS here FROM cut
+), counts AS (
+  SELECT word, count(*) AS n FROM said GROUP BY word
+), tests AS (
+  SELECT item_id, w, row_number() OVER () AS test FROM items WHERE len(w) > 0
+), placed AS (
+  SELECT item_id, test, len(w) AS size, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS q FROM tests
+), ranked AS (
+  SELECT p.item_id, p.test, s.q AS s, p.q, p.word,
+         row_number() OVER (PARTITION BY p.test, s.q ORDER BY n, p.word, p.q) AS nth
+  FROM placed s JOIN placed p ON p.test = s.test AND p.q >= s.q AND p.q < s.q + least(13, s.size)
+  JOIN counts ON counts.word = p.word WHERE s.q + least(13, s.size) <= s.size
+), anchors AS (
+  SELECT DISTINCT item_id, test, q, word FROM ranked WHERE nth = 1
+), several AS (
+  SELECT * FROM anchors WHERE test IN (SELECT test FROM anchors GROUP BY test HAVING count(*) >= 2)
+), cells AS (
+  SELECT doc_id, item_id, test, q, floor((here - q) / 13.0) + step AS cell
+  FROM said JOIN several USING (word), (VALUES (0), (1)) k(step)
+), close AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_near FROM (
+    SELECT doc_id, item_id FROM cells GROUP BY doc_id, item_id, test, cell HAVING count(DISTINCT q) >= 2
+  ) GROUP BY doc_id
 )
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN which USING (doc_id)
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(n_near, 0) AS n_near
+FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN which USING (doc_id) LEFT JOIN close USING (doc_id)
 """
 
 

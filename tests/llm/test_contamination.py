@@ -87,20 +87,67 @@ def test_no_items_no_documents_and_clashing_columns(spark, documents):
     assert contamination.report(clash, some).select("n_hit").first()[0] == 2
 
 
-def test_only_anchor_terms_are_stored_and_python_is_not_used(spark, documents, prose, plan):
+def brute_near(docs, items, window=13):
+    """n_near of each document: at least two anchors of an item at about their distance."""
+    from collections import Counter
+
+    counts = Counter(w for _, t in docs for w in words_of(t))
+    out = []
+    for key, text in docs:
+        words, near = words_of(text), set()
+        for item, other in set(items):
+            theirs = words_of(other)
+            need = min(window, len(theirs))
+            anchors = set()
+            for s in range(len(theirs) - need + 1) if need else ():
+                ranked = sorted((counts[theirs[q]], theirs[q].encode(), q) for q in range(s, s + need) if counts[theirs[q]])
+                anchors |= {q for _, _, q in ranked[:1]}
+            cells = {}
+            for q in anchors if len(anchors) > 1 else ():
+                for at, word in enumerate(words):
+                    if word == theirs[q]:
+                        for cell in ((at - q) // window, (at - q) // window + 1):
+                            cells.setdefault(cell, set()).add(q)
+            if any(len(qs) >= 2 for qs in cells.values()):
+                near.add(item)
+        out.append((key, len(near)))
+    return sorted(out, key=repr)
+
+
+def test_proximity_equals_brute_force(spark, documents, prose):
+    items = [(i, prose(40, seed=i, words=300)) for i in range(6)] + [(9, "one"), (10, "a b"), (11, None), (12, prose(15, seed=2))]
+    docs = [(i, "- " * (i % 2) + prose(90, seed=100 + i, words=300)) for i in range(15)]
+    docs += [(50 + i, " ".join("new" if j % 5 == 0 else w for j, w in enumerate(items[i][1].split()))) for i in range(4)]
+    docs += [(70, "b b b a"), (71, ""), (72, None)]
+    rows = contamination.report(documents(docs), spark.createDataFrame(items, ITEMS)).select("doc_id", "n_near").collect()
+    assert sorted(map(tuple, rows), key=repr) == brute_near(docs, items)
+    assert sum(r["n_near"] for r in rows) >= 4
+
+
+def test_windows_name_their_two_rarest_terms(spark):
+    tests = spark.createDataFrame([(1, 5, "x", ["a", "b", "c", "b", "d"])], "test bigint, size int, item string, words array<string>")
+    counts = spark.createDataFrame([(0, "a", 9), (1, "b", 2), (2, "c", 2), (3, "d", 0)], "term bigint, word string, n bigint")
+    placed = contamination.placed_terms(tests, counts)
+    rows = {r["s"]: r for r in contamination.windows_of(placed, 3).collect()}
+    assert [(r["q1"], r["q2"], r["exact"], r["need"]) for _, r in sorted(rows.items())] == [
+        (1, 2, True, 3),
+        (1, 3, True, 3),
+        (3, 2, False, 3),
+    ]
+
+
+def test_no_text_and_no_python_after_the_index(spark, documents, prose, plan):
+    """Only the index and the word counts read texts; no array of words crosses an exchange."""
     items = spark.createDataFrame([(1, prose(40, seed=1))], ITEMS)
     docs = documents([(i, prose(100, seed=i)) for i in range(1, 9)])
-    tests = contamination.item_words(items, "item_id", "text")
-    # All words of the item are in the corpus, so each window may occur.
-    terms = tests.selectExpr("explode(words) term").distinct()
-    counts = contamination.term_counts(docs.union(documents([(9, prose(40, seed=1))])), terms, "text")
-    chosen = contamination.anchors(tests, counts)
-    # Every window of 13 holds an anchor.
-    at = sorted(r["q"] for r in chosen.collect())
-    assert at[0] <= 12 and at[-1] >= 27 and all(b - a <= 13 for a, b in zip(at[:-1], at[1:], strict=True))
-    assert len(at) < 28
+    exact, near = contamination.search(docs, items)
+    for frame in (exact, near):
+        text = plan(frame)
+        assert "words" not in text and "text" not in text.replace("_text_hash", "")
     text = plan(contamination.report(docs, items))
     assert "PythonUDF" not in text and "EvalPython" not in text and "InArrow" not in text
+    shuffled = [line for line in text.split("\n") if line.startswith("Arguments: hashpartitioning")]
+    assert shuffled and not any("words#" in line for line in shuffled)
 
 
 def test_proximity_matches_allow_changed_words(spark, documents, prose):
