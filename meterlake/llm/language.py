@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import as_code_points, letter_table, map_texts, text_blocks
+from .text import as_code_points, first_texts, hash_sample, letter_table, map_texts, text_blocks
 
 UNDETERMINED = "und"
 BREAK = 1  # stands for a stretch without letters; no letter has this code point
 MAX_N = 3
+LETTER_BITS = 21  # every code point fits, and three letters fit in a signed number of 64 bits
 
 
 class Profiles(NamedTuple):
@@ -29,10 +30,9 @@ class Profiles(NamedTuple):
 
 def letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower-case letters of all texts, with one BREAK before, after and for each stretch of others; and for
-    each text the place of the BREAK before it (one more than texts). Code points beyond 16 bits share one
-    value."""
+    each text the place of the BREAK before it (one more than texts)."""
     points, at = as_code_points(data, offsets)
-    low = np.minimum(letter_table()[points], 0xFFFF)
+    low = letter_table()[points]
     joined = np.insert(low, at, 0)
     blank = joined == 0
     kept = ~blank
@@ -54,7 +54,7 @@ def grams(codes: np.ndarray) -> np.ndarray:
             break
         value = np.zeros(count, np.uint64)
         for j in range(n):
-            value = (value << np.uint64(16)) | wide[j : j + count]
+            value = (value << np.uint64(LETTER_BITS)) | wide[j : j + count]
         good = np.ones(count, bool)
         for j in range(1, n - 1):
             good &= inner[j : j + count]
@@ -89,17 +89,17 @@ def fit(
     """Profiles of all languages found in ``lang`` where ``learn`` holds.
 
     They are learned from at most ``per_language`` texts of each language of no more than ``max_chars``
-    (whole texts, taken in the order of a hash of their key). N-grams are counted in the tasks and summed
+    (whole texts, taken in the order of a hash of their key; of texts under one key the one with the least
+    hash). N-grams are counted in the tasks and summed
     by Spark; only the ``size`` most frequent of each language come to the driver.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
     usable = rows.where(learn & F.col("lang").isNotNull()).where(
         (F.length("text") > 0) & (F.length("text") <= max_chars)
     )
-    chosen = usable.select("key", "lang").distinct().withColumn("nth", rank).where(F.col("nth") <= per_language)
+    chosen = hash_sample(usable.select("key", "lang").distinct(), "lang", ["key"], per_language)
     # Bounded: per_language rows of a number and a short name for each language.
-    sample = usable.join(F.broadcast(chosen.drop("nth")), ["key", "lang"]).dropDuplicates(["key", "lang"])
+    sample = first_texts(usable.join(F.broadcast(chosen), ["key", "lang"]), ["key", "lang"])
 
     def count(batches):
         for batch in batches:

@@ -34,35 +34,30 @@ def boilerplate(
     text: str = "text",
     ratio: float = 0.02,
     min_pages: int = 5,
-    copies_once: bool = False,
+    page: str | None = None,
 ) -> DataFrame:
     """For each host (a null host is one) the keys of its boilerplate lines, in an array: lines that are on
     more than the share ``ratio`` of its pages, and on at least ``min_pages``. A page counts once however
-    often it repeats a line; blank lines are never boilerplate. With ``copies_once``, pages of a host that
-    are equal as texts are one page, in the lines' counts and in the host's.
+    often it repeats a line; blank lines are never boilerplate. Rows of a host with one value of the column
+    ``page`` are one page, in the lines' counts and in the host's; without it each row is a page.
 
     Each page sends its distinct line keys; Spark adds them up before they are shuffled, so neither a
     host nor a line that many pages share gathers in one task.
     """
     rows = pages.select(
-        F.col(host).alias("host"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copy"),
+        F.col(f"`{host}`").alias("host"),
+        (F.lit(0) if page is None else F.col(f"`{page}`")).alias("page"),
         F.array_distinct(
             F.transform(
-                F.filter(lines_of(F.col(text)), lambda x: F.trim(x, F.lit(_BLANKS)) != _EMPTY), line_key
+                F.filter(lines_of(F.col(f"`{text}`")), lambda x: F.trim(x, F.lit(_BLANKS)) != _EMPTY), line_key
             )
         ).alias("keys"),
     )
-    if copies_once:
-        # Equal texts have equal keys, so it does not matter which copy stays.
-        rows = rows.dropDuplicates(["host", "copy"])
+    said = rows.select("host", "page", F.explode("keys").alias("line"))
+    if page is not None:
+        rows, said = rows.select("host", "page").distinct(), said.distinct()
     totals = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = (
-        rows.select("host", F.explode("keys").alias("line"))
-        .groupBy("host", "line")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= min_pages)
-    )
+    counts = said.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     often = counts.join(totals, counts["host"].eqNullSafe(totals["host"])).where(
         F.col("n") > F.col("pages") * ratio
     )
@@ -76,7 +71,7 @@ def clean(
     text: str = "text",
     ratio: float = 0.02,
     min_pages: int = 5,
-    copies_once: bool = False,
+    page: str | None = None,
 ) -> DataFrame:
     """All rows and columns, with ``text`` freed of its host's boilerplate lines, and two columns more:
     ``n_lines`` (lines before) and ``n_dropped``; these names take the place of columns that have them.
@@ -85,27 +80,27 @@ def clean(
 
     A host has at most (lines per page) / ratio boilerplate lines, so the array per host is small.
     """
-    found = boilerplate(
-        pages, host=host, text=text, ratio=ratio, min_pages=min_pages, copies_once=copies_once
-    )
-    found = settle(found.select(F.col("host").alias("_host"), F.col("drop").alias("_drop")), "boilerplate")
+    found = boilerplate(pages, host=host, text=text, ratio=ratio, min_pages=min_pages, page=page)
+    found = settle(found.select(F.col("host").alias("of"), "drop"), "boilerplate")
     columns = [c for c in pages.columns if c.lower() not in ("n_lines", "n_dropped")]
-    if found.agg(F.coalesce(F.sum(F.size("_drop")), F.lit(0))).first()[0] <= BROADCAST_ROWS:
+    if found.agg(F.coalesce(F.sum(F.size("drop")), F.lit(0))).first()[0] <= BROADCAST_ROWS:
         found = F.broadcast(found)
-    joined = pages.select(*columns).join(found, F.col(host).eqNullSafe(F.col("_host")), "left")
-    kept = F.filter(lines_of(F.col(text)), lambda x: ~F.array_contains("_drop", line_key(x)))
+    # The user's columns travel as one, so theirs and these cannot clash.
+    rows = pages.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns if c != text]).alias("row"),
+        F.col(f"`{host}`").alias("host"),
+        F.col(f"`{text}`").alias("text"),
+    )
+    joined = rows.join(found, F.col("host").eqNullSafe(F.col("of")), "left")
+    kept = F.filter(lines_of(F.col("text")), lambda x: ~F.array_contains("drop", line_key(x)))
     marked = joined.withColumn(
-        "_kept", F.when(F.col("_drop").isNotNull() & F.col(text).isNotNull(), kept)
-    ).withColumn("n_lines", F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines_of(F.col(text)))))
+        "kept", F.when(F.col("drop").isNotNull() & F.col("text").isNotNull(), kept)
+    ).withColumn("before", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines_of(F.col("text")))))
+    cleaned = F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(F.col("text"))
     return marked.select(
-        *[
-            F.when(F.col("_kept").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col(text)).alias(c)
-            if c == text
-            else F.col(f"`{c}`")
-            for c in columns
-        ],
-        F.col("n_lines").cast("bigint").alias("n_lines"),
-        F.when(F.col("_kept").isNotNull(), F.col("n_lines") - F.size("_kept"))
+        *[cleaned.alias(c) if c == text else F.col("row")[c].alias(c) for c in columns],
+        F.col("before").cast("bigint").alias("n_lines"),
+        F.when(F.col("kept").isNotNull(), F.col("before") - F.size("kept"))
         .otherwise(F.lit(0))
         .cast("bigint")
         .alias("n_dropped"),

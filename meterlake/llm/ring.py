@@ -13,7 +13,7 @@ from ..session import settle
 
 POSITIONS = 1 << 14  # places on the ring
 VIRTUAL_NODES = 64  # places of each shard
-DEALS = 16  # parts into which the keys of one place are ranked
+ROWS_PER_DEAL = 1 << 20  # rows of one place that are ranked together
 
 
 def nodes(shards: int, virtual: int = VIRTUAL_NODES) -> dict[int, list[int]]:
@@ -81,38 +81,51 @@ def shard(
     the numbers of rows differ by one at most.
 
     A row's place on the ring is the hash of its key. Within a place, rows are ranked by the hash of
-    ``row_id`` in DEALS parts, so a key that many rows share is not sorted in one task. The driver sees
-    POSITIONS counts, whatever the input, and gives back ranges, which are bounded by the ring and so are
-    broadcast. ``row_id`` must tell rows apart and be the same when a task runs again. Rows with a null key
-    share a place.
+    ``row_id`` in as many parts as their number fills at ``ROWS_PER_DEAL``, so a key that many rows share is
+    not sorted in one task. The driver sees POSITIONS counts, whatever the input, and gives back ranges, which
+    are bounded by the ring and so are broadcast. ``row_id`` must tell rows apart and be the same when a task
+    runs again. Rows with a null key share a place.
     """
     columns = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    ids = [f"id{i}" for i in range(len(row_id))]
+    # The user's columns travel as one, so theirs and these cannot clash.
     placed = docs.select(
-        *[f"`{c}`" for c in columns],
-        F.pmod(F.xxhash64(key), F.lit(POSITIONS)).cast("int").alias("_place"),
-        F.pmod(F.xxhash64(*row_id, F.lit(1)), F.lit(DEALS)).cast("int").alias("_deal"),
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
+        F.pmod(F.xxhash64(key), F.lit(POSITIONS)).cast("int").alias("place"),
+        F.xxhash64(*row_id, F.lit(1)).alias("hash"),
+        *[F.col(c).alias(i) for c, i in zip(row_id, ids, strict=True)],
     )
-    sizes = settle(placed.groupBy("_place", "_deal").agg(F.count("*").alias("n")), "ring-counts")
+    found = settle(placed.groupBy("place").agg(F.count("*").alias("n")), "ring-places").collect()
     counts = [0] * POSITIONS
-    for row in sizes.groupBy("_place").agg(F.sum("n").alias("n")).collect():
-        counts[row["_place"]] = row["n"]
-    ranges = docs.sparkSession.createDataFrame(
+    for row in found:
+        counts[row["place"]] = row["n"]
+    spark = docs.sparkSession
+    # Both have at most POSITIONS rows and a few for each virtual node.
+    deals = spark.createDataFrame(
+        [(place, -(-n // ROWS_PER_DEAL)) for place, n in enumerate(counts) if n > ROWS_PER_DEAL],
+        "place int, deals bigint",
+    )
+    ranges = spark.createDataFrame(
         assign(counts, shards, slack, virtual) or [(-1, 0, 0, 0, 0)],
-        "_of int, _low bigint, _high bigint, shard int, _first bigint",
+        "of int, low bigint, high bigint, shard int, first bigint",
+    )
+    dealt = placed.join(F.broadcast(deals), "place", "left").withColumn(
+        "deal", F.pmod("hash", F.coalesce("deals", F.lit(1))).cast("int")
     )
+    sizes = settle(dealt.groupBy("place", "deal").agg(F.count("*").alias("n")), "ring-counts")
     before = F.sum("n").over(
-        Window.partitionBy("_place").orderBy("_deal").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("place").orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = sizes.select("_place", "_deal", F.coalesce(before, F.lit(0)).alias("_before"))
-    rank: Column = F.row_number().over(Window.partitionBy("_place", "_deal").orderBy(*row_id)) - 1
+    starts = sizes.select("place", "deal", F.coalesce(before, F.lit(0)).alias("before"))
+    rank: Column = F.row_number().over(Window.partitionBy("place", "deal").orderBy(*ids)) - 1
     ranked = (
-        placed.withColumn("_nth", rank)
-        .join(starts, ["_place", "_deal"])
-        .withColumn("_rank", F.col("_before") + F.col("_nth"))
+        dealt.withColumn("nth", rank)
+        .join(starts, ["place", "deal"])
+        .withColumn("rank", F.col("before") + F.col("nth"))
     )
-    found = ranked.join(
+    owned = ranked.join(
         F.broadcast(ranges),
-        (F.col("_place") == F.col("_of")) & (F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high")),
+        (F.col("place") == F.col("of")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")),
     )
-    slot = (F.col("_first") + F.col("_rank") - F.col("_low")).cast("bigint")
-    return found.select(*[f"`{c}`" for c in columns], "shard", slot.alias("slot"))
+    slot = (F.col("first") + F.col("rank") - F.col("low")).cast("bigint")
+    return owned.select(*[F.col("row")[c].alias(c) for c in columns], "shard", slot.alias("slot"))

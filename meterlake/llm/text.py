@@ -252,22 +252,25 @@ def labelled_sample(
     text: str = "text",
 ) -> DataFrame:
     """At most ``per_class`` labelled rows of each class (0 and 1), outside the held-out fold, of texts no
-    longer than ``max_chars``: the bounded sample a classifier is fitted on. Rows are taken in the order of
-    a hash of their key, so the sample does not depend on how rows lie in files. Columns: label, text.
+    longer than ``max_chars``: the bounded sample a classifier is fitted on. Keys are taken in the order of
+    their hash (``hash_sample``), and of rows that repeat a key with other texts the one with the least hash
+    of its text, so the sample does not depend on how rows lie in files. Columns: key, label, text.
     """
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("key"), "key"))
-    chosen = (
+    judged = (
         labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
         .where("key IS NOT NULL AND label IN (0, 1)")
         .where(~held_out)
         .distinct()
-        .withColumn("nth", rank)
-        .where(F.col("nth") <= per_class)
-        .drop("nth")
     )
+    chosen = hash_sample(judged, "label", ["key"], per_class)
     texts = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     # chosen has at most 2 * per_class rows of two numbers.
     joined = texts.where(F.length("text") <= max_chars).join(F.broadcast(chosen), "key")
-    return joined.dropDuplicates(["key", "label"]).select("key", "label", "text")
+    return first_texts(joined, ["key", "label"])
+
+
+def first_texts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of each key: that with the least hash of its ``text``. A partial aggregate, so a key that many
+    rows repeat is reduced where they lie."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return rows.groupBy(*keys).agg(least).select(*keys, "least.text")

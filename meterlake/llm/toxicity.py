@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .text import LOWER, labelled_sample, map_texts, mix, span_hashes, spans, text_of
 
-WINDOW, STRIDE = 32, 24  # words; neighbouring windows share a quarter
+WINDOW, STRIDE = 32, 16  # words; a passage of up to 17 words is whole in some window
 WORD_BITS, CHAR_BITS = 12, 14  # rows of the two embedding tables
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
 GRAM_SIZES = (3, 4)

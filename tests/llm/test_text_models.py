@@ -49,7 +49,7 @@ def test_grams(text):
     values, counts = np.unique(language.grams(codes[at[1] : at[2] + 1]), return_counts=True)
     names = {}
     for v, c in zip(values.tolist(), counts.tolist(), strict=True):
-        points = [(v >> s) & 0xFFFF for s in (32, 16, 0)]
+        points = [(v >> s * language.LETTER_BITS) & (2**language.LETTER_BITS - 1) for s in (2, 1, 0)]
         names["".join(chr(p) for p in points if p)] = c
     assert names == brute_grams(text)
 
