@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import contamination, jaccard, lines, packing, quality
 from meterlake.llm.queries import RANKS, SPECIAL, held_out, table
+from meterlake.llm.text import unused
 from meterlake.operators.lookup import measure
 from meterlake.session import fresh_path, scratch, settle
 
@@ -16,13 +17,20 @@ BROADCAST_BYTES = 32 << 20
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Documents that are not among the rejected, which have ``doc_id`` and ``text_hash``. Up to a measured
-    size they are broadcast, and texts stay where they are."""
-    stored = settle(rejected.select("doc_id", "text_hash").distinct(), "rejected").toDF("_id", "_hash")
-    if measure(stored).bytes <= BROADCAST_BYTES:
-        stored = F.broadcast(stored)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(stored, same, "left_anti")
+    """Documents that are not among the rejected, which have ``doc_id`` and ``text_hash``."""
+    stored = settle(rejected.select("doc_id", "text_hash").distinct(), "rejected")
+    return docs.join(*_matching(docs, stored), "left_anti")
+
+
+def _matching(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows that name documents, under column names that the documents lack, and the condition that joins
+    them. Up to a measured size they are broadcast, and texts stay where they are."""
+    fresh = {c: unused(f"_{c}", docs.columns) for c in named.columns}
+    renamed = named.toDF(*fresh.values())
+    if measure(named).bytes <= BROADCAST_BYTES:
+        renamed = F.broadcast(renamed)
+    same = F.col("doc_id").eqNullSafe(F.col(fresh["doc_id"])) & (F.xxhash64("text") == F.col(fresh["text_hash"]))
+    return renamed, same
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -40,11 +48,22 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the boilerplate of their source; ``n_chars`` follows. All documents stay. Copies of a
-    document are still there, so they count as one page: their lines are no boilerplate."""
-    cleaned = lines.clean(docs, host="source", copies_once=True)
+    """Texts without the boilerplate of their source; ``n_chars`` follows. All documents stay. Copies and near
+    copies of a document are still there, so each group of them counts as one page: what they share is no
+    boilerplate, however many they are."""
+    linked = settle(jaccard.join(_named(docs), key="id", k=5, num=4, den=5), "near-copies")
+    copies = linked.where("n_shingles > 0 AND id <> component_id").select(
+        "id.doc_id", "id.text_hash", F.col("component_id.text_hash").alias("group")
+    )
+    page = unused("page", docs.columns)
+    found, same = _matching(docs, settle(copies.distinct(), "near-copies-of"))
+    group = found.columns[-1]
+    labelled = docs.join(found, same, "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.coalesce(group, F.xxhash64("text")).alias(page)
+    )
+    cleaned = lines.clean(labelled, host="source", page=page)
     length = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", length).select(*docs.columns)
+    return cleaned.withColumn("n_chars", length).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,11 +78,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
     if repeated.isEmpty():
         return kept
-    copies = kept.join(
-        repeated.toDF("_id", "_hash"),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")),
-        "left_semi",
-    )
+    copies = kept.join(*_matching(kept, repeated), "left_semi")
     return _without(kept, repeated).unionByName(copies.dropDuplicates(["doc_id", "text"]))
 
 
