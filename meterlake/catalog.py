@@ -45,6 +45,7 @@ SERVICE_ALIASES = {
 METRIC_FEATURES = ("requests", "cpu_hours", "storage_gb_hours")
 
 # Quarantine reasons -------------------------------------------------------------------
+UNREADABLE_LINE = "unreadable landing line"
 NULL_EVENT_ID = "null event_id"
 DUPLICATE_EVENT_ID = "duplicate event_id"
 VALUE_WITHOUT_UNIT = "null unit with non-null value"
@@ -90,7 +91,9 @@ class MasterTable:
         return T.StructType(self.bronze.fields + columns("silver_ts timestamp").fields)
 
 
-LINEAGE = columns("source_file string, ingest_ts timestamp, ingest_date date")
+# The text of a landed line of which nothing but its key could be read; null for all other rows.
+UNREADABLE = "unreadable"
+LINEAGE = columns(f"source_file string, ingest_ts timestamp, ingest_date date, {UNREADABLE} string")
 
 MASTERS: dict[str, MasterTable] = {
     t.name: t
@@ -166,7 +169,7 @@ EVENT_BRONZE = columns(
     "event_id string, timestamp string, org_id string, resource_id string, service string, region string, "
     "metric string, value double, unit string, cost_usd_increment double, schema_version int, "
     "carbon_kg double, genai_tokens bigint, event_ts timestamp, source_file string, ingest_ts timestamp, "
-    "event_latency_sec bigint, is_late_arrival boolean, ingest_date date"
+    f"event_latency_sec bigint, is_late_arrival boolean, ingest_date date, {UNREADABLE} string"
 )
 EVENT_RELAID = T.StructType(EVENT_BRONZE.fields + columns("usage_date date").fields)
 

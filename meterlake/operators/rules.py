@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..catalog import UNREADABLE, UNREADABLE_LINE
+
 REASON = "error_reason"
 REASONS = "error_reasons"
 
@@ -17,6 +19,13 @@ class Rule(NamedTuple):
     broken: Column
 
 
+def unreadable_rule(df: DataFrame) -> list[Rule]:
+    """The rule of lines that could not be read, for frames that keep the text of such lines."""
+    if UNREADABLE not in df.columns:
+        return []
+    return [Rule(UNREADABLE_LINE, F.col(UNREADABLE).isNotNull())]
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add REASONS (all broken rules) and REASON (the first). An undecided condition is not broken."""
     marks = F.array(*[F.when(F.coalesce(r.broken, F.lit(False)), F.lit(r.reason)) for r in rules])

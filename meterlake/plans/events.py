@@ -15,7 +15,7 @@ from ..functions.text import RULES, clean_region, clean_service, clean_text, unk
 from ..operators.anomaly import COST, GROUP, cost_profile, with_flags
 from ..operators.dedupe import SURPLUS, kept_copies, with_surplus
 from ..operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join
-from ..operators.rules import Rule, apply_rules
+from ..operators.rules import Rule, apply_rules, unreadable_rule
 from ..session import Measured, settle, settle_measured
 from ..sources.tables import ROW_ID
 
@@ -35,6 +35,8 @@ def to_bronze(landed: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
             **{c: RULES[rule](F.col(c)) for c, rule in EVENT_TEXT.items()},
         }
     )
+    if fixed.UNREADABLE not in landed.columns:
+        parsed = parsed.withColumn(fixed.UNREADABLE, F.lit(None).cast("string"))
     clocked = parsed.withColumn("ingest_ts", F.col("event_ts") if ingest_ts is None else ingest_ts)
     latency = F.unix_timestamp("ingest_ts") - F.unix_timestamp("event_ts")
     return clocked.withColumns(
@@ -165,7 +167,7 @@ COPY_ORDER = (
 def classify(marked: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Every event (with its SURPLUS mark) once, with the reasons it breaks: valid + quarantined = all, by
     construction."""
-    return apply_rules(marked, event_rules(as_of)).drop(SURPLUS)
+    return apply_rules(marked, [*unreadable_rule(marked), *event_rules(as_of)]).drop(SURPLUS)
 
 
 # What silver needs of every event before it can judge one.

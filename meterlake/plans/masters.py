@@ -7,13 +7,14 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..catalog import NULL_KEY, UNKNOWN_ORG, MasterTable
+from ..catalog import NULL_KEY, UNKNOWN_ORG, UNREADABLE, MasterTable
 from ..functions.parse import typed
 from ..functions.text import conform
 from ..operators.dedupe import content_order, keep_latest
 from ..operators.lookup import lookup_join
-from ..operators.rules import Rule, apply_rules
+from ..operators.rules import Rule, apply_rules, unreadable_rule
 from ..sources.tables import read_landing_csv
 
 _KNOWN = "_known_org"
@@ -32,7 +33,9 @@ def landed_master(
 ) -> DataFrame:
     """The CSV typed and stamped, before the dedupe."""
     label = F.lit("landing/" + path.rstrip("/").rsplit("/", 1)[-1])
-    return with_lineage(typed(read_landing_csv(spark, table, path), table.typed), label, ingest_ts)
+    kept = T.StructType([*table.typed.fields, T.StructField(UNREADABLE, T.StringType())])
+    landed = with_lineage(typed(read_landing_csv(spark, table, path), kept), label, ingest_ts)
+    return landed.select(*table.bronze.names)
 
 
 def bronze_master(landed: DataFrame, table: MasterTable) -> DataFrame:
@@ -48,9 +51,10 @@ def _without_key(table: MasterTable) -> Column:
 
 
 def classify_master(bronze: DataFrame, table: MasterTable, customers: DataFrame | None = None) -> DataFrame:
-    """Conformed text plus the reason, if any, to quarantine the row: a null key, or an unknown org."""
+    """Conformed text plus the reason, if any, to quarantine the row: a line that could not be read, a null
+    key, or an unknown org."""
     rows = conform(bronze, table.conform)
-    rules = [Rule(NULL_KEY, _without_key(table))]
+    rules = [*unreadable_rule(rows), Rule(NULL_KEY, _without_key(table))]
     if not table.owned_by_org or customers is None:
         return apply_rules(rows, rules)
     orgs = customers.select("org_id").distinct().withColumn(_KNOWN, F.lit(True))

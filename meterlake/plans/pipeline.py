@@ -113,7 +113,7 @@ class Lake:
 
     def silver(self, name: str) -> DataFrame:
         judged = self.silver_table(name).read().where(F.col(OUTCOME) == VALID)
-        return judged.drop(REASON, REASONS, OUTCOME)
+        return judged.drop(REASON, REASONS, OUTCOME, fixed.UNREADABLE)
 
     def quarantine(self, name: str) -> DataFrame:
         rows = self.silver_table(name).read().where(F.col(OUTCOME) == QUARANTINED)

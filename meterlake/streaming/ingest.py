@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import catalog as fixed
 from ..plans.events import to_bronze
+from ..sources.tables import KEEP_BROKEN, unreadable_lines, with_broken_lines
 from .counters import counted, listen
 
 # What an ingest counts: rows read with and without an event id, and rows let through.
@@ -21,21 +22,21 @@ def event_stream(
     files_per_trigger: int = fixed.FILES_PER_TRIGGER,
     folder_label: str = "landing/usage_events_stream",
 ) -> DataFrame:
-    """JSON-lines files as a stream, each row stamped with the file it came from."""
+    """JSON-lines files as a stream, each row stamped with the file it came from. Lines that cannot be read
+    are rows without an id that hold their text."""
     landed = (
-        spark.readStream.schema(fixed.EVENT_LANDING)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        spark.readStream.schema(with_broken_lines(fixed.EVENT_LANDING))
+        .options(maxFilesPerTrigger=files_per_trigger, **KEEP_BROKEN)
         .json(path)
     )
-    return landed.select(
-        "*", F.concat(F.lit(folder_label + "/"), F.col("_metadata.file_name")).alias("source_file")
-    )
+    label = F.concat(F.lit(folder_label + "/"), F.col("_metadata.file_name"))
+    return unreadable_lines(landed.select("*", label.alias("source_file")), ["source_file", "event_id"])
 
 
 def dedupe_stream(
     events: DataFrame, *, watermark: str, mode: str = "bounded", spread_copies: int = 1
 ) -> DataFrame:
-    """Each event id once. Rows without an id are not copies of one another: they pass beside the operator
+    """Each event id once. Rows without an id, and lines that cannot be read, are not copies of one another: they pass beside the operator
     that remembers ids and leave nothing in its state. Silver quarantines them.
 
     ``bounded`` forgets an id when it has not come in for as long as ``watermark``, so state stays small; an
@@ -48,9 +49,10 @@ def dedupe_stream(
     """
     if mode not in ("global", "bounded"):
         raise ValueError(f"mode is global or bounded, not {mode}")
-    # One source feeds both branches, and each counts what it takes.
-    named = counted(events.where(F.col("event_id").isNotNull()), NAMED)
-    unnamed = counted(events.where(F.col("event_id").isNull()), UNNAMED)
+    # One source feeds both branches, and each counts what it takes. The reader tests simple conditions while
+    # it parses: on the id alone, it would drop a line that breaks off behind the id from both.
+    no_id = F.col("event_id").isNull() | F.col(fixed.UNREADABLE).isNotNull()
+    named, unnamed = counted(events.where(~no_id), NAMED), counted(events.where(no_id), UNNAMED)
     distinct = DataFrame.dropDuplicates
     if mode == "bounded":
         named = named.withColumn("_read_at", F.current_timestamp()).withWatermark("_read_at", watermark)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.catalog import EVENT_BRONZE, EVENT_LANDING, EVENT_RELAID, MASTERS
+from meterlake.catalog import EVENT_BRONZE, EVENT_LANDING, EVENT_RELAID, MASTERS, NULL_EVENT_ID, UNREADABLE
+from meterlake.operators.rules import REASON, Rule, apply_rules, unreadable_rule
 from meterlake.plans import checks, marts, serving
 from meterlake.plans.layout import relayout
-from meterlake.plans.masters import bronze_master, landed_master
+from meterlake.plans.masters import bronze_master, classify_master, landed_master
 from meterlake.session import fresh_path, settle
 from meterlake.sinks.parquet import save_to, write_partitioned
 from meterlake.sources.tables import read_parquet
@@ -17,7 +18,7 @@ from meterlake.streaming.counters import finish
 from meterlake.streaming.ingest import NAMED, UNNAMED, start_ingest
 from meterlake.streaming.publish import load_frame, load_stream, merge_batch, refused_table
 
-from .proxies import AS_OF, bronze_events, landed, table
+from .proxies import AS_OF, bronze_events, landed, silver, table
 from .queries import _LINE_ORDER, tickets_mart, usage
 from .registry import query, rounded, rounded_sql
 
@@ -39,7 +40,42 @@ def csv_typed_ingest(spark, sf):
     landed(spark, sf, "users").write.option("header", True).csv(path)
     users = MASTERS["users"]
     found = bronze_master(landed_master(spark, users, path), users)
-    return found.drop("ingest_ts", "ingest_date")
+    return found.drop("ingest_ts", "ingest_date", UNREADABLE)
+
+
+@query(
+    "unreadable_lines",
+    """SELECT 'users' AS source, coalesce(reason, 'valid') AS reason, count(*)::BIGINT AS n FROM (
+           SELECT CASE WHEN user_id IS NULL THEN 'null primary key'
+                       WHEN NOT EXISTS (SELECT 1 FROM customers c WHERE c.org_id = u.org_id)
+                       THEN 'org_id not found in customers_orgs' END AS reason FROM users_typed u
+           UNION ALL SELECT 'unreadable landing line' FROM nation) GROUP BY ALL
+       UNION ALL
+       SELECT 'events', reason, count(*)::BIGINT FROM (
+           SELECT CASE WHEN event_id IS NULL THEN 'null event_id' ELSE 'valid' END AS reason FROM events_raw
+           UNION ALL SELECT 'unreadable landing line' FROM nation) GROUP BY ALL""",
+)
+def unreadable_lines(spark, sf):
+    """CSV and JSON files with a broken line for each nation among them: each line is a row that some rule
+    judges, and none is lost. An event id that comes twice is one here, so each gets its own."""
+    broken = table(spark, sf, "nation").select(F.concat(F.lit("#"), F.col("n_nationkey").cast("string")).alias("key"))
+    csv, json_lines = fresh_path(spark, "landing"), fresh_path(spark, "landing-events")
+    users = MASTERS["users"]
+    landed(spark, sf, "users").write.option("header", True).csv(f"{csv}/users.csv")
+    # One file with one header, as a CSV file has.
+    lines = F.concat_ws("\n", F.lit(",".join(users.landing.names)), F.array_sort(F.collect_list("key")))
+    broken.agg(lines).write.mode("append").text(f"{csv}/users.csv")
+    found = bronze_master(landed_master(spark, users, f"{csv}/users.csv"), users)
+    judged = classify_master(found, users, silver(spark, sf, "customers_orgs"))
+    counted = judged.groupBy(F.lit("users").alias("source"), F.coalesce(REASON, F.lit("valid")).alias("reason"))
+
+    _landing_rows(spark, sf).write.json(json_lines)
+    broken.select(F.concat(F.lit('{"event_id": "'), "key", F.lit('", "timesta'))).write.mode("append").text(json_lines)
+    streamed = _ingested(spark, json_lines, fresh_path(spark, "stream"))[1]
+    rules = [*unreadable_rule(streamed), Rule(NULL_EVENT_ID, F.col("event_id").isNull())]
+    events = apply_rules(streamed, rules)
+    by_event = events.groupBy(F.lit("events").alias("source"), F.coalesce(REASON, F.lit("valid")).alias("reason"))
+    return counted.agg(F.count("*").alias("n")).unionAll(by_event.agg(F.count("*").alias("n")))
 
 
 @query(
