@@ -31,7 +31,6 @@ from .text import LOWER, NOT_SPACE, map_texts, ngram_hashes, span_hashes, spans,
 BROADCAST_BYTES = 32 << 20
 PIVOTS = 2
 VERIFY_COST = 0.05  # of one token of a set, in posting entries
-GRADES = 16  # into which classes are dealt by their share of private tokens
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
@@ -85,14 +84,12 @@ class Threshold:
         whole = own(a) + own(b) + F.greatest(*shared)
         return F.least(*shared) * self.den >= whole * self.num
 
-    def grade(self, n: str, own: str) -> Column:
-        """From 0 up by the share u = own / (n - own) of private tokens, GRADES where no other set can be
-        similar. Similar sets have private tokens of at most r = den / num - 1 times the smaller rest, so
-        u_a + u_b <= r, and their grades, GRADES * u / r rounded down, sum up to GRADES at most."""
-        if self.num == self.den:
-            return F.when(F.col(own) > 0, F.lit(GRADES + 1)).otherwise(F.lit(0))
-        whole = F.expr(f"({own} * {self.num * GRADES}) div (({n} - {own}) * {self.den - self.num})")
-        return F.when(F.col(n) > F.col(own), F.least(whole, F.lit(GRADES + 1))).otherwise(F.lit(GRADES + 1)).cast("int")
+    def light(self, side: str = "") -> Column:
+        """Whether a set has so few private tokens (``own`` of ``n``) that a set of as many may be similar.
+        Similar sets have private tokens of at most den / num - 1 times the smaller rest in all, so at least
+        one of the two is light."""
+        n, own = F.col(f"n{side}"), F.col(f"own{side}")
+        return own * (2 * self.num) <= (n - own) * (self.den - self.num)
 
     def prefix_overlap(self, a: str, b: str) -> Column:
         """Tokens that the chosen prefixes of two similar sets share at least."""
@@ -243,18 +240,15 @@ def pivot_pairs(entries: DataFrame, limit: Threshold) -> DataFrame:
     return shared.withColumn("nth", best).where(F.col("nth") <= PIVOTS).select("a", "b")
 
 
-def meeting(entries: DataFrame, prefixes: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs of entries of one list whose grades allow a link, both ways round: ``token`` and the columns of
-    each under ``_a`` and ``_b``. An entry is repeated once for each grade of its list that it may meet."""
-    graded = entries.withColumn("grade", limit.grade("n", "own"))
-    grades = graded.select("token", F.col("grade").alias("other")).distinct()
-    asking = graded.join(grades, "token").where(F.col("grade") + F.col("other") <= GRADES)
-    columns = ["c", "n", "l", "own", "component", "prefix"]
-    side = lambda x, rows, grade: rows.join(prefixes, "c").select(
-        "token", F.col(grade).alias("at"), *[F.col(c).alias(f"{c}_{x}") for c in columns]
-    )
-    asked = graded.where(F.col("grade") <= GRADES)
-    return side("a", asking, "other").join(side("b", asked, "grade"), ["token", "at"]).drop("at")
+def meeting(entries: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs of entries of one list of which the first is light (``Threshold.light``): ``token`` and the
+    columns of each under ``_a`` and ``_b``. Two light ones meet once, in the order of their classes."""
+    columns = [c for c in entries.columns if c != "token"]
+    side = lambda x, rows: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in columns])
+    light = side("a", entries.where(limit.light()))
+    every = side("b", entries).withColumn("light_b", limit.light("_b"))
+    once = ~F.col("light_b") | (F.col("c_a") < F.col("c_b"))
+    return light.join(every, "token").where(once).drop("light_b")
 
 
 def candidate_pairs(entries: DataFrame, limit: Threshold, united: DataFrame | None = None) -> DataFrame:
@@ -264,9 +258,8 @@ def candidate_pairs(entries: DataFrame, limit: Threshold, united: DataFrame | No
     An entry carries its class's prefix, so the join counts the shared tokens itself and gives a pair once,
     at the smallest of them.
 
-    Classes of a list meet by grade (``Threshold.grade``): one of many private tokens is joined only with
-    those grades that leave room for them. Pages that share a template, but each have too much of their own,
-    never meet.
+    Of two classes that meet, one has few private tokens (``meeting``). So pages that share a template, but
+    each have too much of their own to be similar, do not meet in pairs.
     """
     if united is not None:
         entries = entries.join(united, "c", "left").withColumn("component", F.coalesce("component", "c"))
@@ -279,14 +272,15 @@ def candidate_pairs(entries: DataFrame, limit: Threshold, united: DataFrame | No
     else:
         entries = entries.withColumn("component", F.col("c"))
     prefixes = entries.groupBy("c").agg(F.collect_list("token").alias("prefix"))
+    entries = entries.join(prefixes, "c").select("token", "c", "n", "l", "own", "component", "prefix")
     shared = F.array_intersect("prefix_a", "prefix_b")
     return (
-        meeting(entries, prefixes, limit)
-        .where((F.col("c_a") < F.col("c_b")) & (F.col("component_a") != F.col("component_b")))
+        meeting(entries, limit)
+        .where(F.col("component_a") != F.col("component_b"))
         .where(limit.may_link("a", "b"))
         .where(F.size(shared) >= limit.prefix_overlap("a", "b"))
         .where(F.array_min(shared) == F.col("token"))
-        .select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+        .select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b"))
     )
 
 
