@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import catalog as fixed
@@ -96,6 +96,15 @@ def reconcile(
     return _check(left.withColumn("actual", right), table, check, fixed.BALANCE_TOLERANCE)
 
 
+def observed(
+    spark: SparkSession, table: str, check: str, expected: float | None, actual: float | None, tolerance: float | None = None
+) -> DataFrame:
+    """A check of two values that were taken while the tables were written; nothing counts as zero."""
+    values = {"expected": expected, "actual": actual}
+    one = spark.range(1).select(*[F.lit(float(value or 0)).alias(name) for name, value in values.items()])
+    return _check(one, table, check, tolerance)
+
+
 def suite(checks: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, checks)
 
@@ -149,6 +158,12 @@ def ingest_counters(landed: DataFrame, kept: DataFrame, dataset: str) -> DataFra
     return counted.withColumn("removed_duplicates", F.col("raw_count") - F.col("deduped_count"))
 
 
+def counted_snapshot(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """(metric, n) of counts that are known already, such as those that versions carry."""
+    pairs = [F.struct(F.lit(m).alias("metric"), F.lit(n).cast("bigint").alias("n")) for m, n in counts.items()]
+    return spark.range(1).select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+
+
 def compare_snapshots(before: DataFrame, after: DataFrame) -> DataFrame:
     """Two (metric, n) snapshots side by side; a metric that only one side has is not ok."""
     left, right = before.withColumnRenamed("n", "before"), after.withColumnRenamed("n", "after")

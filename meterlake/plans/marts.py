@@ -149,24 +149,28 @@ def marketing(touches: DataFrame, customers: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Mart:
-    """A mart's builder, the tables it reads (by parameter), its grain, and how it reconciles: an
-    aggregate over the first table that must equal an aggregate over the mart."""
+    """A mart's builder, the tables it reads (by parameter), its grain, and how it reconciles: the sum of a
+    measure over the rows of the first table must equal an aggregate over the mart."""
 
     name: str
     build: Callable[..., DataFrame]
     reads: tuple[str, ...]
     grain: tuple[str, ...]
     partition: str
-    source_total: Column | None = None
+    source_measure: Column | None = None
     mart_total: Column | None = None
 
+    @property
+    def source_total(self) -> Column:
+        return F.sum(self.source_measure)
+
 
 def _marts() -> list[Mart]:
     by_service = ("org_id", "usage_date", "service")
     return [
         Mart(
             "org_daily_usage_by_service", org_daily_usage, ("org_service_daily",), by_service, "usage_date",
-            F.sum("daily_cost_usd"), F.sum("total_daily_cost_usd"),
+            F.col("daily_cost_usd"), F.sum("total_daily_cost_usd"),
         ),
         Mart(
             "org_top_services_by_cost", top_services, ("org_daily_usage_by_service",),
@@ -174,31 +178,47 @@ def _marts() -> list[Mart]:
         ),
         Mart(
             "revenue_by_org_month", revenue, ("billing_monthly", "customers_orgs"),
-            ("org_id", "billing_month"), "billing_month", rows(), F.sum("invoice_count"),
+            ("org_id", "billing_month"), "billing_month", F.lit(1), F.sum("invoice_count"),
         ),
         Mart(
             "cost_anomaly_mart", cost_anomalies, ("usage_events",), by_service, "usage_date",
-            hits(F.col("is_cost_anomaly")), F.sum("anomaly_event_count"),
+            F.when(F.col("is_cost_anomaly"), 1), F.sum("anomaly_event_count"),
         ),
         Mart(
             "tickets_by_org_date", tickets, ("support_tickets", "customers_orgs"),
-            ("org_id", "ticket_date", "severity"), "ticket_date", rows(), F.sum("ticket_count"),
+            ("org_id", "ticket_date", "severity"), "ticket_date", F.lit(1), F.sum("ticket_count"),
         ),
         Mart(
             "genai_tokens_by_org_date", genai_tokens, ("usage_events",), ("org_id", "usage_date"),
-            "usage_date", F.sum(F.when(genai_use(), F.col("genai_tokens"))), F.sum("total_genai_tokens"),
+            "usage_date", F.when(genai_use(), F.col("genai_tokens")), F.sum("total_genai_tokens"),
         ),
         Mart(
             "nps_by_org_date", nps, ("nps_surveys", "customers_orgs"), ("org_id", "survey_date"),
-            "survey_date", rows(), F.sum("survey_count"),
+            "survey_date", F.lit(1), F.sum("survey_count"),
         ),
         Mart(
             "marketing_touches_by_org_channel", marketing, ("marketing_touches", "customers_orgs"),
-            ("org_id", "touch_date", "channel"), "touch_date", rows(), F.sum("touch_count"),
+            ("org_id", "touch_date", "channel"), "touch_date", F.lit(1), F.sum("touch_count"),
         ),
     ]
 
 
+# What is observed of a mart while it is written: its side of the reconciliation.
+MART_TOTAL = "mart_total"
+
+
+def source_metrics(table: str, counts: Column | None = None) -> dict[str, Column]:
+    """What is observed of a table while it is written: for each mart that reconciles with it the sum of the
+    mart's measure, over the rows where ``counts`` holds."""
+    reading = [m for m in _marts() if m.source_measure is not None and m.reads[0] == table]
+    measured = {m.name: m.source_measure for m in reading}
+    return {n: F.sum(v if counts is None else F.when(counts, v)).cast("double") for n, v in measured.items()}
+
+
+def mart_metrics(mart: Mart) -> dict[str, Column]:
+    return {} if mart.mart_total is None else {MART_TOTAL: mart.mart_total.cast("double")}
+
+
 def marts() -> dict[str, Mart]:
     """All eight marts in build order. A call, not a constant: Columns need an active session."""
     return {m.name: m for m in _marts()}

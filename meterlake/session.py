@@ -131,6 +131,13 @@ def total_bytes(df: DataFrame) -> Column:
     return F.coalesce(F.sum(sum(sizes, F.lit(0).cast("bigint"))), F.lit(0)).cast("bigint")
 
 
+def settle_observed(df: DataFrame, label: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """``settle``, with aggregates of the rows taken while they are written, in the tasks that write."""
+    seen = Observation()
+    stored = settle(df.observe(seen, *[value.alias(name) for name, value in metrics.items()]), label)
+    return stored, dict(seen.get)
+
+
 def settle_measured(df: DataFrame, label: str) -> Measured:
     """``settle``, with the size taken while the rows are written."""
     seen = Observation()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 
 from ..functions.measures import rows
 
@@ -17,8 +17,10 @@ def write_partitioned(
     files: int | None = None,
     arranged: bool = False,
     mode: str = "errorifexists",
-) -> int:
-    """Write a hive-partitioned Parquet folder; give the number of rows written.
+    metrics: Mapping[str, Column] | None = None,
+) -> dict:
+    """Write a hive-partitioned Parquet folder; give the number of ``rows`` written and the aggregates that
+    ``metrics`` names, all taken in the tasks that write.
 
     By default the rows are rebalanced on the partition columns: adaptive execution merges small pieces
     and splits a value that holds too much, so a hot day or org becomes several files instead of one
@@ -32,11 +34,12 @@ def write_partitioned(
         out = df.hint("rebalance", *partition_by)
     # Counted after the shuffle, in the tasks that write: a map task that runs again is not counted twice.
     counted = Observation()
-    writer = out.observe(counted, rows().alias("rows")).write.mode(mode)
+    taken = {"rows": rows(), **(metrics or {})}
+    writer = out.observe(counted, *[value.alias(name) for name, value in taken.items()]).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return counted.get["rows"]
+    return dict(counted.get)
 
 
 def save_to(

@@ -13,12 +13,12 @@ import json
 import time
 import uuid
 from collections import Counter
-from collections.abc import Callable, Collection, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import NamedTuple
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +70,11 @@ class Version:
     def folders(self) -> list[str]:
         return [f"{self.root}/data/{folder}" for folder in dict.fromkeys(part.folder for part in self.parts)]
 
+    @property
+    def metrics(self) -> dict:
+        """What was observed while the version was written; nothing of rows that it has kept."""
+        return self.note.get("metrics", {})
+
     @property
     def in_cells(self) -> bool:
         """Whether every part is one cell, so that some can be replaced."""
@@ -180,14 +185,18 @@ class VersionedTable:
         expect_rows: int | None = None,
         token: str | None = None,
         note: dict | None = None,
+        metrics: Mapping[str, Column] | None = None,
     ) -> Version:
         """Write a new version and commit it. ``append`` keeps all parts of the last one and adds to them;
         ``keep`` keeps those it says, whose files stay as they are. ``in_cells`` takes an inventory of the
         partitions written, so that later loads can keep some. ``arranged`` keeps the frame's own partitions
         and order; a row count other than ``expect_rows`` leaves the old version current. ``note`` is kept
-        with the version."""
+        with the version, and so are the values of ``metrics``, aggregates of the rows it writes."""
         folder = f"load={uuid.uuid4().hex}"
-        written = write_partitioned(df, f"{self.root}/data/{folder}", partition_by, arranged=arranged)
+        seen = write_partitioned(
+            df, f"{self.root}/data/{folder}", partition_by, arranged=arranged, metrics=metrics
+        )
+        written = seen.pop("rows")
         if expect_rows is not None and written != expect_rows:
             raise ValueError(f"{self.root}: {written} rows written, {expect_rows} expected; not published")
         parts = self._inventory(folder, partition_by) if in_cells else [Part(folder, "", written)]
@@ -204,7 +213,7 @@ class VersionedTable:
             [*kept, *parts],
             token,
             df.schema.json(),
-            {**(note or {}), "cells": cells},
+            {**(note or {}), "cells": cells, **({"metrics": seen} if seen else {})},
         )
         line = {
             "version": version.version,

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 N = "n"
+BATCHES = "_batches"  # how many batches have counted, among the rows by name
 
 
 def counted(df: DataFrame, name: str) -> DataFrame:
@@ -80,7 +81,7 @@ def totals(spark: SparkSession, query: StreamingQuery) -> Counter[str]:
     """Rows by name over all batches so far; a name that has not counted gives zero."""
     out: Counter[str] = Counter()
     for counts in by_batch(spark, query).values():
-        out.update(counts)
+        out.update({**counts, BATCHES: 1})
     return out
 
 

@@ -171,7 +171,8 @@ def test_generic_sink(spark, tmp_path, rows):
 
 def test_partitioned_write(spark, tmp_path, rows, plan):
     df = spark.range(100).select((F.col("id") % 3).cast("string").alias("p"), "id")
-    assert write_partitioned(df, str(tmp_path / "a"), ["p"]) == 100
+    written = write_partitioned(df, str(tmp_path / "a"), ["p"], metrics={"top": F.max("id"), "none": F.sum(F.lit(None))})
+    assert written == {"rows": 100, "top": 99, "none": None}
     stored = spark.read.schema(df.schema).parquet(str(tmp_path / "a"))
     assert rows(stored, "p", "id") == rows(df, "p", "id")
     assert "PartitionFilters: [isnotnull(p" in plan(stored.where("p = '1'"))

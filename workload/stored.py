@@ -14,8 +14,10 @@ from meterlake.session import fresh_path, settle
 from meterlake.sinks.parquet import save_to, write_partitioned
 from meterlake.sources.tables import read_parquet
 from meterlake.sources.versioned import VersionedTable
-from meterlake.streaming.counters import finish
-from meterlake.streaming.ingest import NAMED, UNNAMED, start_ingest
+from meterlake.plans.events import to_bronze
+from meterlake.plans.pipeline import Lake
+from meterlake.streaming.counters import BATCHES, counted, finish, listen
+from meterlake.streaming.ingest import NAMED, UNNAMED, event_stream, start_ingest
 from meterlake.streaming.publish import load_frame, load_stream, merge_batch, refused_table
 
 from .proxies import AS_OF, bronze_events, landed, silver, table
@@ -169,6 +171,82 @@ def stream_dedupe(spark, sf):
     return _streamed(_ingested(spark, landing, fresh_path(spark, "stream"), dedupe="bounded")[1])
 
 
+@query(
+    "stream_global",
+    f"SELECT * FROM ({_STREAMED_SQL}) UNION ALL SELECT * FROM ({_STREAMED_SQL}) WHERE event_id IS NULL",
+)
+def stream_global(spark, sf):
+    """As ``stream_dedupe``, with ids that are never forgotten; the second copies come in a second run."""
+    rows = _landing_rows(spark, sf)
+    landing, folder = fresh_path(spark, "landing-events"), fresh_path(spark, "stream")
+    rows.write.json(landing)
+    _ingested(spark, landing, folder, dedupe="global")
+    rows.write.mode("append").json(landing)
+    return _streamed(_ingested(spark, landing, folder, dedupe="global")[1])
+
+
+@query(
+    "load_counters",
+    """SELECT * FROM (VALUES
+           ('read', (SELECT count(*) FROM events_raw)),
+           ('without_id', (SELECT count(*) FROM events_raw WHERE event_id IS NULL)),
+           ('without_time', (SELECT count(*) FROM bronze WHERE event_ts IS NULL)),
+           ('batches', 120)) t(counter, n)""",
+)
+def load_counters(spark, sf):
+    """Rows counted in 120 batches of one file each, more than a query's own progress remembers."""
+    landing = fresh_path(spark, "landing-events")
+    _landing_rows(spark, sf).repartition(120).write.json(landing)
+    events = counted(to_bronze(event_stream(spark, landing, files_per_trigger=1)), "read")
+    no_id = counted(events.where(F.col("event_id").isNull()), "without_id")
+    no_time = counted(events.where(F.col("event_ts").isNull()), "without_time")
+    listen(spark)
+    query_ = (
+        no_id.select("event_ts").unionAll(no_time.select("event_ts"))
+        .writeStream.format("noop")
+        .option("checkpointLocation", fresh_path(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    seen = finish(spark, query_)
+    found = {name: seen[name] for name in ("read", "without_id", "without_time")}
+    counts = checks.counted_snapshot(spark, {**found, "batches": seen[BATCHES]})
+    return counts.withColumnRenamed("metric", "counter")
+
+
+@query(
+    "rerun_compare",
+    """SELECT * FROM (VALUES ('bronze_customers_orgs', (SELECT count(*) FROM customer), true),
+           ('bronze_users', (SELECT count(*) FROM users_typed), true),
+           ('bronze_events', (SELECT count(*) FROM events_raw), true),
+           ('silver_customers_orgs', (SELECT count(*) FROM customer), true),
+           ('silver_users', (SELECT count(*) FROM users_typed), true)) t(metric, n, ok)""",
+)
+def rerun_compare(spark, sf):
+    """Two masters and the events of a lake, from landing to silver, twice: the second run changes nothing."""
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    names = ("customers_orgs", "users")
+    for name in names:
+        rows = landed(spark, sf, name)
+        rows.write.option("header", True).csv(f"{lake.root}/landing/{name}.csv")
+    _landing_rows(spark, sf).coalesce(2).write.json(f"{lake.root}/landing/usage_events_stream/all.jsonl")
+
+    def run() -> DataFrame:
+        for name in names:
+            lake.ingest_master(name)
+            lake.build_silver_master(name)
+        lake.ingest_events()
+        counts = {
+            **{f"bronze_{n}": lake.bronze_table(n).current().rows for n in names},
+            "bronze_events": lake.bronze_events_table().current().rows,
+            **{f"silver_{n}": lake.silver_table(n).current().rows for n in names},
+        }
+        return checks.counted_snapshot(spark, counts)
+
+    compared = checks.compare_snapshots(run(), run())
+    return compared.select("metric", F.col("after").alias("n"), "ok")
+
+
 @query(
     "stream_resume",
     """SELECT schema_version,
