@@ -160,10 +160,6 @@ class Mart:
     source_measure: Column | None = None
     mart_total: Column | None = None
 
-    @property
-    def source_total(self) -> Column:
-        return F.sum(self.source_measure)
-
 
 def _marts() -> list[Mart]:
     by_service = ("org_id", "usage_date", "service")

@@ -41,12 +41,6 @@ def read_landing_csv(spark: SparkSession, table: MasterTable, path: str) -> Data
     return unreadable_lines(reader.csv(path), table.keys)
 
 
-def read_landing_json(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-    """JSON lines of events as one batch: the same files the event stream reads."""
-    lines = spark.read.schema(with_broken_lines(schema)).options(**KEEP_BROKEN).json(path)
-    return unreadable_lines(lines, ["event_id"])
-
-
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A layer table. The schema names the partition columns too, so their types are never guessed, and
     files written before a column existed give null for it without merging footers."""

@@ -7,7 +7,6 @@ from landing import event
 from meterlake.catalog import EVENT_BRONZE, EVENT_LANDING
 from meterlake.plans import pipeline
 from meterlake.plans.events import to_bronze
-from meterlake.sources.tables import read_landing_json
 from meterlake.streaming.counters import counted, finish, listen
 from meterlake.streaming.ingest import NAMED, UNNAMED, dedupe_stream, event_stream, start_ingest
 
@@ -137,7 +136,7 @@ def test_batch_and_stream_agree(spark, ingest, rows, tmp_path):
     land, run, stored = ingest
     land("a", event("e1", value="3"), event("e2", region="EU_West", service="AI"), event("e3", "no time"))
     run()
-    batch = to_bronze(read_landing_json(spark, EVENT_LANDING, f"{tmp_path}/landing/*.jsonl"))
+    batch = to_bronze(spark.read.schema(EVENT_LANDING).json(f"{tmp_path}/landing/*.jsonl"))
     picked = [c for c in EVENT_BRONZE.names if c != "source_file"]
     assert rows(batch, *picked) == rows(stored(), *picked)
 

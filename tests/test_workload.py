@@ -5,6 +5,8 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import DataFrameWriter
+
 import __spark_entry__ as entry_point
 from meterlake.operators import lookup
 from meterlake.plans import events
@@ -55,3 +57,17 @@ def test_same_results_where_nothing_fits_a_broadcast(spark, duck, name, monkeypa
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def test_events_are_parsed_twice_for_silver(spark, plan, monkeypatch):
+    """Once for the narrow columns that are stored, once for the full rows."""
+    reads = []
+    write = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        reads.append(plan(self._df).count("/events.parquet"))
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    found = entry_point.queries()["quarantine_split"](spark, SF)
+    assert sum(reads) == 1 and plan(found).count("/events.parquet") == 1
