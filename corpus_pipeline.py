@@ -48,20 +48,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the boilerplate of their source; ``n_chars`` follows. All documents stay. Copies and near
-    copies of a document are still there, so each group of them counts as one page: what they share is no
-    boilerplate, however many they are."""
-    linked = settle(jaccard.join(_named(docs), key="id", k=5, num=4, den=5), "near-copies")
-    copies = linked.where("n_shingles > 0 AND id <> component_id").select(
-        "id.doc_id", "id.text_hash", F.col("component_id.text_hash").alias("group")
-    )
+    """Texts without the boilerplate of their source; ``n_chars`` follows. All documents stay. Copies of a
+    document are still there, so they count as one page: their lines are no boilerplate. Near copies count one
+    by one: where they are more than the boilerplate ratio of a source, the lines they share go."""
     page = unused("page", docs.columns)
-    found, same = _matching(docs, settle(copies.distinct(), "near-copies-of"))
-    group = found.columns[-1]
-    labelled = docs.join(found, same, "left").select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.coalesce(group, F.xxhash64("text")).alias(page)
-    )
-    cleaned = lines.clean(labelled, host="source", page=page)
+    cleaned = lines.clean(docs.withColumn(page, F.xxhash64("text")), host="source", page=page)
     length = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", length).select(*[f"`{c}`" for c in docs.columns])
 
