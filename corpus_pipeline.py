@@ -49,10 +49,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the boilerplate of their source; ``n_chars`` follows. All documents stay. Copies of a
-    document are still there, so they count as one page: their lines are no boilerplate. Near copies count one
-    by one: where they are more than the boilerplate ratio of a source, the lines they share go."""
+    document, and near copies by their lines, are still there, so they count as one page: their lines are no
+    boilerplate."""
     page = unused("page", docs.columns)
-    cleaned = lines.clean(docs.withColumn(page, F.xxhash64("text")), host="source", page=page)
+    cleaned = lines.clean(docs.withColumn(page, F.xxhash64("text")), host="source", page=page, alike=0.8)
     length = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", length).select(*[f"`{c}`" for c in docs.columns])
 
