@@ -334,3 +334,59 @@ def test_copies_keep_one_whole_text(spark, prose, tmp_path):
     assert all(texts[i] == "\n".join(shared) for i in range(30))
     left = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, cleaned, str(tmp_path)).collect()]
     assert sorted(left) == [0, *range(100, 200)]
+
+
+def test_near_copies_keep_one_whole_text(spark, prose, tmp_path):
+    """30 near copies of 20 shared lines, each with a line of its own or a line changed, in 130 pages of a
+    source; a footer is on every page."""
+    shared = [prose(9, seed=i, words=3000) for i in range(20)]
+    near = [[*shared, prose(8, seed=900 + i, words=3000)] for i in range(30)]
+    for i in range(15):
+        near[i] = [prose(9, seed=950 + i, words=3000) if n == i else line for n, line in enumerate(shared)]
+    rows = [(i, "\n".join([*parts, "footer of the site"]), "s") for i, parts in enumerate(near)]
+    rows += [(100 + i, "\n".join([prose(40, seed=500 + i, words=3000), "footer of the site"]), "s") for i in range(100)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    cleaned = settle(corpus_pipeline.line_dedup(spark, docs, str(tmp_path)), "near-test")
+    texts = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert all(texts[i] == "\n".join(parts) for i, parts in enumerate(near))
+    assert not any("footer" in t for t in texts.values())
+    left = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, cleaned, str(tmp_path)).collect()}
+    assert 0 in left and set(range(100, 200)) <= left
+
+
+def brute_near(rows, alike):
+    """Near copies of rows (host, page, text), plainly: (host, page) and the key of the longest shared line."""
+    pages = {(h, p): {x.strip(" \t\r\x0b\x0c") for x in (t or "").split("\n")} - {""} for h, p, t in rows}
+    on = Counter((h, line) for (h, _), lines_ in pages.items() for line in lines_)
+    out = {}
+    for (h, p), lines_ in pages.items():
+        both = [x for x in lines_ if on[h, x] > 1]
+        common, whole = sum(map(len, both)), sum(map(len, lines_))
+        if both and common * (1 + alike) >= whole * 2 * alike:
+            out[h, p] = {x for x in both if len(x) == max(map(len, both))}
+    return out
+
+
+def test_near_pages_agree_with_brute_force(spark, hard, prose):
+    rng = random.Random(3)
+    base = [[prose(rng.randint(1, 12), seed=100 * b + i, words=3000) for i in range(8)] for b in range(6)]
+    rows = []
+    for i in range(120):
+        parts = list(rng.choice(base))
+        for _ in range(rng.randint(0, 3)):
+            parts[rng.randrange(8)] = prose(rng.randint(1, 9), seed=2000 + rng.randrange(150), words=3000)
+        rows.append((rng.choice(["a", "b", None]), i, "\n".join(parts + ["Menu"] * rng.randint(0, 2))))
+    rows += [("a", 200 + i, t) for i, t in enumerate(hard)] + rows[:3]
+    docs = spark.createDataFrame(rows, "host string, page bigint, text string").repartition(3)
+    found = lines.near_pages(lines.page_lines(docs, "host", "text", "page"), 0.8).collect()
+    expected = brute_near(rows, 0.8)
+    assert 10 < len(expected) < 120 and len(found) == len(expected)
+    key = {x: k for x, k in spark.createDataFrame([(x,) for v in expected.values() for x in v], "x string").select("x", lines.line_key(F.col("x"))).collect()}
+    assert all(r["copy_of"] in {key[x] for x in expected[r["host"], r["page"]]} for r in found)
+
+
+def test_near_pages_of_no_rows_and_without_page(spark):
+    empty = spark.createDataFrame([], "doc_id bigint, source string, text string, page bigint")
+    assert lines.clean(empty, host="source", page="page", alike=0.8).collect() == []
+    with pytest.raises(ValueError, match="alike"):
+        lines.clean(empty, host="source", alike=0.8)
