@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 
 from .text import (
@@ -76,17 +77,18 @@ def dual_coordinate_descent(
     rows: Sequence[np.ndarray], labels: np.ndarray, ratios: np.ndarray, *, cost: float, rounds: int
 ) -> tuple[np.ndarray, float]:
     """Linear hinge-loss model on normalised scaled indicators. Both classes weigh the same in total.
-    Returns weights (already times the ratios) and bias."""
+    Returns weights (already times the ratios) and bias. A row's values are looked up when it is its turn;
+    those of all rows are never held."""
     rng = np.random.default_rng(0)
-    values = [ratios[b] for b in rows]
-    values = [v / max(float(np.sqrt(v @ v)), 1e-12) for v in values]
-    squares = np.array([v @ v + 1.0 for v in values])
+    lengths = [max(float(np.sqrt(v @ v)), 1e-12) for v in (ratios[b] for b in rows)]
+    squares = np.array([v @ v + 1.0 for v in (ratios[b] / n for b, n in zip(rows, lengths, strict=True))])
     signs = np.where(labels == 1, 1.0, -1.0)
     most = np.where(labels == 1, cost / max(1, (labels == 1).sum()), cost / max(1, (labels == 0).sum()))
     weights, bias, alphas = np.zeros(1 << BITS), 0.0, np.zeros(len(rows))
     for _ in range(rounds):
         for i in rng.permutation(len(rows)):
-            at, x = rows[i], values[i]
+            at = rows[i]
+            x = ratios[at] / lengths[i]
             gradient = signs[i] * (weights[at] @ x + bias) - 1.0
             new = min(max(alphas[i] - gradient / squares[i], 0.0), most[i])
             if new != alphas[i]:
@@ -175,11 +177,17 @@ def fit(
     made = sample.select("key", "label", "text").mapInArrow(
         features, f"key {key_type}, label int, buckets array<int>"
     )
-    found = made.toArrow().sort_by([("key", "ascending"), ("label", "ascending")])
+    found = made.toArrow()
+    order = pc.sort_indices(found.select(["key", "label"]), [("key", "ascending"), ("label", "ascending")]).to_numpy()
+    of = found.column("label").to_numpy()[order]
     lists = found.column("buckets").combine_chunks()
+    del found
     flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
-    rows = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-    return fit_rows(rows, found.column("label").to_numpy(), cost=cost, rounds=rounds)
+    model = fit_rows([flat[at[i] : at[i + 1]] for i in order], of, cost=cost, rounds=rounds)
+    # The driver lives on: what the sample took goes back to the system.
+    del lists, flat, at
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def scorer(model: Model, threshold: float) -> Callable:
