@@ -74,3 +74,49 @@ def test_only_rows_of_repeated_keys_are_sorted(spark, tmp_path, monkeypatch):
     plans = {label: df._jdf.queryExecution().executedPlan().toString() for label, df in settled}
     assert "SortAggregate" not in plans["repeated-keys"] and "HashAggregate" in plans["repeated-keys"]
     assert "_repeated" in plans["kept-copies"]
+
+
+MIXED = [
+    *[("hot", i % 7, "x") for i in range(400)],
+    *[("hot", 6, "y")] * 3,
+    *[(f"k{i % 40}", i % 3, "z") for i in range(100)],
+    *[(None, 1, "n")] * 5,
+    ("one", None, "x"),
+    ("two", None, "x"),
+    ("two", None, "x"),
+]
+
+
+def by_id(marked):
+    return sorted((r["_row_file"], r["_row_number"], r["k"] or "", r[SURPLUS]) for r in marked.collect())
+
+
+def test_too_many_repeated_keys_to_broadcast_give_the_same_marks(spark, tmp_path):
+    """With and without a key that is too frequent to be ranked in one task."""
+    df = stored(spark, tmp_path, MIXED, "k string, t int, v string")
+    small = mark_surplus(df, ["k"], ["t", "v"])
+    assert Counter(r[SURPLUS] for r in small.collect()) == {True: 402 + 60 + 1, False: 1 + 40 + 5 + 1 + 1}
+    for rows_per_task in (1_000, 50):
+        ranked = mark_surplus(df, ["k"], ["t", "v"], limit_bytes=-1, rows_per_task=rows_per_task)
+        assert ranked.columns == small.columns
+        assert by_id(ranked) == by_id(small)
+        kept = dedupe.kept_copies(df, ["k"], ["t", "v"], limit_bytes=-1)
+        assert by_id(dedupe.with_surplus(df, kept, ["k"])) == by_id(small)
+
+
+def test_too_many_repeated_keys_to_broadcast_cost_one_shuffle_of_the_rows(spark, tmp_path, plan, monkeypatch):
+    settled = []
+    real = dedupe.settle_measured
+    monkeypatch.setattr(dedupe, "settle_measured", lambda df, label: settled.append(label) or real(df, label))
+    df = stored(spark, tmp_path, MIXED, "k string, t int, v string")
+    marked = mark_surplus(df, ["k"], ["t", "v"], limit_bytes=-1)
+    tree = plan(marked, "simple")
+    assert tree.count("Exchange") == 1 and "Join" not in tree
+    assert settled == ["repeated-keys", "hot-keys"]
+
+
+def test_a_key_over_the_rows_of_a_task_is_not_ranked_in_one(spark, tmp_path):
+    df = stored(spark, tmp_path, MIXED, "k string, t int, v string")
+    marked = mark_surplus(df, ["k"], ["t", "v"], limit_bytes=-1, rows_per_task=50)
+    held = marked.withColumn("part", F.spark_partition_id()).where("k = 'hot'").groupBy("part").count().collect()
+    assert max(r["count"] for r in held) < 300
