@@ -198,14 +198,16 @@ def landed(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return _columns(table(spark, sf, proxy[1]), proxy)
 
 
-def billing(spark: SparkSession, sf: str) -> DataFrame:
+def billing(spark: SparkSession, sf: str, customers: DataFrame | None = None) -> DataFrame:
     """Invoices of silver: one per id, of known orgs."""
+    if customers is None:
+        customers = silver(spark, sf, "customers_orgs")
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     raw = _columns(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), BILLING)
     invoices = MASTERS["billing_monthly"]
     stamped = with_lineage(raw, F.lit("landing/billing_monthly"), F.lit(AS_OF).cast("timestamp"))
     bronze_rows = bronze_master(stamped, invoices)
-    return valid_rows(classify_master(bronze_rows, invoices, silver(spark, sf, "customers_orgs")))
+    return valid_rows(classify_master(bronze_rows, invoices, customers))
 
 
 def bronze(spark: SparkSession, sf: str, name: str) -> DataFrame:

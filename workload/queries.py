@@ -27,10 +27,11 @@ ORG = "org-3"
 
 
 # Shared steps -----------------------------------------------------------------------------------------
-def _event_inputs(spark: SparkSession, sf: str) -> list[DataFrame]:
+def _event_inputs(spark: SparkSession, sf: str, customers: DataFrame | None = None) -> list[DataFrame]:
     """Bronze events, customers, resources and users. Customers, which several steps read, are stored first,
-    as they are in the lake; each pass over events parses the columns it needs."""
-    customers = settle(silver(spark, sf, "customers_orgs"), "customers")
+    as they are in the lake, unless they are given; each pass over events parses the columns it needs."""
+    if customers is None:
+        customers = settle(silver(spark, sf, "customers_orgs"), "customers")
     masters = [silver(spark, sf, name, customers) for name in ("resources", "users")]
     return [bronze_events(spark, sf), customers, *masters]
 
@@ -40,12 +41,12 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
     return events.enrich(bronze_rows, events.dimensions(*masters))
 
 
-def classified(spark: SparkSession, sf: str) -> DataFrame:
-    return events.silver_events(*_event_inputs(spark, sf), as_of=F.lit(AS_OF).cast("timestamp"))
+def classified(spark: SparkSession, sf: str, customers: DataFrame | None = None) -> DataFrame:
+    return events.silver_events(*_event_inputs(spark, sf, customers), as_of=F.lit(AS_OF).cast("timestamp"))
 
 
-def valid(spark: SparkSession, sf: str) -> DataFrame:
-    return valid_rows(classified(spark, sf))
+def valid(spark: SparkSession, sf: str, customers: DataFrame | None = None) -> DataFrame:
+    return valid_rows(classified(spark, sf, customers))
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -749,8 +750,8 @@ def _sources(spark: SparkSession, sf: str) -> _Written:
     customers = out.tables["customers_orgs"]
     for name in ("support_tickets", "marketing_touches", "nps_surveys"):
         out.add(name, silver(spark, sf, name, customers), marts.source_metrics(name))
-    out.add("billing_monthly", billing(spark, sf), marts.source_metrics("billing_monthly"))
-    out.add("usage_events", valid(spark, sf), marts.source_metrics("usage_events"))
+    out.add("billing_monthly", billing(spark, sf, customers), marts.source_metrics("billing_monthly"))
+    out.add("usage_events", valid(spark, sf, customers), marts.source_metrics("usage_events"))
     daily_ = events.service_daily(out.tables["usage_events"])
     out.add("org_service_daily", daily_, marts.source_metrics("org_service_daily"))
     return out
